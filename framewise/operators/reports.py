@@ -150,13 +150,14 @@ def crash_histogram(seq: DataFrame, bins: int = 30) -> DataFrame:
     ``bins`` rows are produced, empty ones with count 0.
     """
     x = F.col("crash_count")
-    data = seq.where(x.isNotNull())
-    rng_df = data.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
+    # No null filter on the input: min/max/count(x) skip nulls, and the null
+    # bin they form is dropped by the join to the bin edges.
+    rng_df = seq.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
     rng = one_row(rng_df)
     lo, hi = rng["lo"], rng["hi"]
     bin_expr = F.when(hi == lo, F.lit(bins // 2).cast("long")).otherwise(
         F.least(F.lit(bins - 1).cast("long"), F.floor(((x - lo) * bins) / (hi - lo)).cast("long")))
-    counts = data.groupBy(bin_expr.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    counts = seq.groupBy(bin_expr.alias("bin")).agg(F.count(x).alias("count"))
     lo_c, hi_c = F.col("lo"), F.col("hi")
     start = F.when(hi_c == lo_c, lo_c - 0.5).otherwise(lo_c.cast("double"))
     step = F.when(hi_c == lo_c, F.lit(1.0) / bins).otherwise((hi_c - lo_c).cast("double") / bins)

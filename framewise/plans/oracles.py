@@ -217,8 +217,9 @@ oracle("drop_duplicates", w("SELECT DISTINCT * FROM cin"))
 oracle("clean_records", w("SELECT * FROM cln"))
 
 # ---------------------------------------------------------- sources / sinks
-oracle("scan_records", w(f"SELECT {_ATTRS}, " + _frame_pivot()
-                         + f" FROM fr GROUP BY sequence_id, {_ATTRS}"))
+oracle("scan_records", w(f"SELECT {_ATTRS}, " + ", ".join(f"frame_{i}" for i in range(1, N + 1))
+                         + " FROM rec JOIN pv USING (sequence_id)",
+                         "pv AS (SELECT sequence_id, " + _frame_pivot() + " FROM fr GROUP BY sequence_id)"))
 oracle("scan_catalog", w(f"SELECT {_ATTRS} FROM rec"))
 oracle("scan_clean_parquet", w("SELECT * FROM cln"))
 oracle("sink_parquet", ORACLES["crash_summary"])

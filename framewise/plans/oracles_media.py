@@ -1 +1,66 @@
 """SQL oracles for the image, feature and incremental queries."""
+
+from __future__ import annotations
+
+from framewise.plans.oracles import ORACLES, oracle
+
+DOCS = """
+docs AS (
+  SELECT vec_id AS image_id, vec_id // 50 + 1 AS video, CAST(vec_id % 50 + 1 AS BIGINT) AS frame,
+         printf('C_%06d_%02d.jpg', vec_id // 50 + 1, vec_id % 50 + 1) AS filename,
+         CASE vec_id % 3 WHEN 0 THEN true WHEN 1 THEN false END AS processed
+  FROM embeddings),
+manifest AS (
+  SELECT video, CAST(f AS BIGINT) AS frame, printf('C_%06d_%02d.jpg', video, f) AS filename
+  FROM (SELECT DISTINCT video FROM docs), range(1, 51) AS g(f)),
+px AS (
+  SELECT vec_id // 50 AS video, vec_id % 50 AS frame,
+         CAST(unnest(range(len(embedding))) AS INTEGER) AS pixel,
+         CAST(floor(least(255, greatest(0, (CAST(unnest(embedding) AS DOUBLE) + 1) * 127.5))) AS BIGINT) AS v
+  FROM embeddings),
+win AS (
+  SELECT video, frame, pixel, v,
+         count(v) OVER w AS n,
+         coalesce(sum(v) OVER w, 0) AS s,
+         coalesce(sum(v * v) OVER w, 0) AS q
+  FROM px
+  WINDOW w AS (PARTITION BY video, pixel ORDER BY frame ROWS BETWEEN 500 PRECEDING AND 1 PRECEDING)),
+fg AS (
+  SELECT video, frame, pixel, v,
+         CAST(n > 0 AND (n * v - s) * (n * v - s) > 16 * greatest(4 * n * n, least(75 * n * n, n * q - s * s))
+              AS INTEGER) AS foreground
+  FROM win),
+dens AS (SELECT video, frame, avg(foreground) AS traffic_density FROM fg GROUP BY video, frame),
+feats AS (
+  SELECT video * 50 + frame AS image_id, printf('C_%06d_%02d.jpg', video + 1, frame + 1) AS filename,
+         traffic_density FROM dens)
+"""
+
+
+def m(select: str) -> str:
+    return f"WITH {DOCS.strip()}\n{select}"
+
+
+oracle("image_manifest", m("SELECT * FROM manifest"))
+oracle("missing_images", m("SELECT * FROM manifest WHERE filename NOT IN "
+                           "(SELECT filename FROM docs WHERE image_id % 7 <> 0)"))
+oracle("basename", "SELECT page_id, string_split(url, '/')[-1] AS filename FROM pages")
+oracle("field_defaults", "SELECT c_custkey, coalesce(nullif(c_mktsegment, 'HOUSEHOLD'), 'unknown') AS filename, "
+                         "nullif(c_mktsegment, 'BUILDING') IS NOT NULL AS has_payload FROM customer")
+oracle("unprocessed_filter", m("SELECT image_id, filename, processed FROM docs "
+                               "WHERE processed IS DISTINCT FROM true"))
+oracle("next_batch", m("SELECT image_id, filename, processed FROM docs "
+                       "WHERE processed IS DISTINCT FROM true ORDER BY image_id LIMIT 10"))
+oracle("pixel_foreground", m("SELECT * FROM fg"))
+oracle("traffic_density", m("SELECT video, frame, round(traffic_density, 6) AS traffic_density FROM dens"))
+oracle("feature_upsert", m("SELECT image_id, filename, "
+                           "round(CASE WHEN image_id % 2 = 0 THEN traffic_density ELSE 0.0 END, 6) "
+                           "AS traffic_density FROM feats"))
+oracle("processed_flag", m("SELECT image_id, filename, coalesce(processed, false) OR image_id % 2 = 0 "
+                           "AS processed FROM docs"))
+oracle("batch_progress", m(
+    "SELECT batch_id, processed, CAST(sum(processed) OVER (ORDER BY batch_id) AS BIGINT) AS running_total "
+    "FROM (SELECT image_id // 10 AS batch_id, count(*) AS processed FROM docs "
+    "WHERE processed IS DISTINCT FROM true GROUP BY 1)"))
+
+__all__ = ["ORACLES"]

@@ -1 +1,95 @@
 """Image, feature, incremental and model queries (registered on import)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from framewise.functions.columns import basename
+from framewise.operators import features as FT
+from framewise.operators import images as IM
+from framewise.plans import tables as TB
+from framewise.plans.registry import query
+from framewise.sources import bindings as B
+from framewise.streaming import incremental as INC
+
+
+def _docs(spark, d):
+    return B.image_documents(TB.table(spark, d, "embeddings"))
+
+
+def _density(spark, d):
+    return FT.traffic_density(FT.pixel_foreground(TB.pixels(spark, d)))
+
+
+def _density_features(spark, d):
+    """Per-frame density keyed like the image documents."""
+    dens = _density(spark, d)
+    return dens.select((F.col("video") * 50 + F.col("frame")).alias("image_id"),
+                       IM.image_key(F.col("video") + 1, F.col("frame") + 1).alias("filename"),
+                       "traffic_density")
+
+
+@query("image_manifest")
+def _image_manifest(spark, d):
+    videos = _docs(spark, d).select("video")
+    return IM.image_manifest(videos)
+
+
+@query("missing_images")
+def _missing_images(spark, d):
+    docs = _docs(spark, d)
+    stored = docs.where(F.col("image_id") % 7 != 0)
+    return IM.missing_images(IM.image_manifest(docs.select("video")), stored)
+
+
+@query("basename")
+def _basename(spark, d):
+    return TB.table(spark, d, "pages").select("page_id", basename("url").alias("filename"))
+
+
+@query("field_defaults")
+def _field_defaults(spark, d):
+    docs = B.customer_documents(TB.table(spark, d, "customer"))
+    return IM.field_defaults(docs).select("c_custkey", "filename", "has_payload")
+
+
+@query("unprocessed_filter")
+def _unprocessed_filter(spark, d):
+    return IM.unprocessed(_docs(spark, d)).select("image_id", "filename", "processed")
+
+
+@query("next_batch")
+def _next_batch(spark, d):
+    return INC.next_batch(_docs(spark, d)).select("image_id", "filename", "processed")
+
+
+@query("pixel_foreground")
+def _pixel_foreground(spark, d):
+    return FT.pixel_foreground(TB.pixels(spark, d))
+
+
+@query("traffic_density")
+def _traffic_density(spark, d):
+    return _density(spark, d)
+
+
+@query("feature_upsert")
+def _feature_upsert(spark, d):
+    feats = _density_features(spark, d)
+    base = feats.withColumn("traffic_density", F.lit(0.0))
+    updates = feats.where(F.col("image_id") % 2 == 0)
+    return INC.upsert_latest(base, updates, "image_id")
+
+
+@query("processed_flag")
+def _processed_flag(spark, d):
+    feats = _density_features(spark, d).where(F.col("image_id") % 2 == 0)
+    return INC.mark_processed(_docs(spark, d), feats).select("image_id", "filename", "processed")
+
+
+@query("batch_progress")
+def _batch_progress(spark, d):
+    todo = IM.unprocessed(_docs(spark, d))
+    batches = (todo.groupBy(F.expr("image_id div 10").alias("batch_id"))
+               .agg(F.count(F.lit(1)).alias("processed")))
+    return INC.running_total(batches, "batch_id", "processed")

@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 # Settings that matter at scale; all are plain public Spark options.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.driver.memory": "8g",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

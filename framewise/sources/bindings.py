@@ -94,3 +94,27 @@ def video_pixels(embeddings: DataFrame, frames_per_video: int = 50) -> DataFrame
     )
     v = F.floor(F.least(F.lit(255.0), F.greatest(F.lit(0.0), (F.col("x").cast("double") + 1) * 127.5)))
     return exploded.select("video", "frame", "pixel", v.cast("long").alias("v"))
+
+
+def image_documents(embeddings: DataFrame, frames_per_video: int = 50) -> DataFrame:
+    """Image-document stand-in: ``image_id, video, frame, filename, processed``.
+
+    ``processed`` cycles true / false / null over ``vec_id % 3`` so all three
+    states of the flag occur.
+    """
+    from framewise.operators.images import image_key
+
+    video = F.expr(f"vec_id div {int(frames_per_video)}") + 1
+    frame = F.col("vec_id") % frames_per_video + 1
+    m = F.col("vec_id") % 3
+    processed = F.when(m == 0, F.lit(True)).when(m == 1, F.lit(False))
+    return embeddings.select(F.col("vec_id").alias("image_id"), video.alias("video"),
+                             frame.cast("long").alias("frame"),
+                             image_key(video, frame).alias("filename"), processed.alias("processed"))
+
+
+def customer_documents(customer: DataFrame) -> DataFrame:
+    """Documents with gaps: ``filename`` and ``image`` are null for some segments."""
+    return customer.select("c_custkey",
+                           F.expr("nullif(c_mktsegment, 'HOUSEHOLD')").alias("filename"),
+                           F.expr("nullif(c_mktsegment, 'BUILDING')").alias("image"))
