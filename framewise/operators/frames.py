@@ -46,7 +46,7 @@ def to_frame_rows(records: DataFrame, n_frames: int = N_FRAMES, id_col: str = "s
     Null flags stay as rows (``posexplode`` keeps null elements), so they count
     in ``count(*)`` but not in ``sum``/``avg``.
     """
-    flags = F.array(*[F.col(c) for c in frame_cols(n_frames)])
+    flags = F.expr("array(" + ", ".join(f"`{c}`" for c in frame_cols(n_frames)) + ")")
     return (records
             .select(id_col, "timing", "egoinvolve", "weather", "vidname", "startframe",
                     F.posexplode(flags).alias("frame_number", "crash_detected"))

@@ -63,25 +63,30 @@ def sequence_stats_from_records(records: DataFrame, n_frames: int = N_FRAMES,
     from framewise.functions.columns import time_of_day
 
     cols = frame_cols(n_frames)
-    # Flat column arithmetic (no array allocation, no lambdas): stays in codegen.
-    total = _sum_cols([F.coalesce(F.col(c).cast("long"), F.lit(0).cast("long")) for c in cols])
-    n_valid = _sum_cols([F.col(c).isNotNull().cast("int") for c in cols])
-    return records.select(
+    # Flat column arithmetic as SQL text (no array allocation, no lambdas, one
+    # JVM call per expression): stays inside whole-stage codegen.
+    total = _balanced_sum([f"coalesce(CAST(`{c}` AS BIGINT), 0L)" for c in cols])
+    n_valid = _balanced_sum([f"CAST(`{c}` IS NOT NULL AS INT)" for c in cols])
+    sums = records.select(
         F.col(id_col).alias("sequence_id"),
         time_of_day("timing").alias("time_of_day"),
         "weather", "egoinvolve",
-        F.when(n_valid > 0, total).alias("crash_count"),
-        F.when(n_valid > 0, total.cast("double") / n_valid.cast("double")).alias("crash_density"),
+        F.expr(total).alias("_total"), F.expr(n_valid).alias("_valid"))
+    return sums.select(
+        "sequence_id", "time_of_day", "weather", "egoinvolve",
+        F.expr("CASE WHEN _valid > 0 THEN _total END").alias("crash_count"),
+        F.expr("CASE WHEN _valid > 0 THEN CAST(_total AS DOUBLE) / CAST(_valid AS DOUBLE) END")
+        .alias("crash_density"),
         F.lit(n_frames).cast("long").alias("total_frames"),
     )
 
 
-def _sum_cols(exprs):
-    """Balanced sum of column expressions (shallow expression tree)."""
-    while len(exprs) > 1:
-        exprs = [exprs[i] + exprs[i + 1] if i + 1 < len(exprs) else exprs[i]
-                 for i in range(0, len(exprs), 2)]
-    return exprs[0]
+def _balanced_sum(terms: list[str]) -> str:
+    """SQL text of a balanced sum (shallow expression tree)."""
+    while len(terms) > 1:
+        terms = [f"({terms[i]} + {terms[i + 1]})" if i + 1 < len(terms) else terms[i]
+                 for i in range(0, len(terms), 2)]
+    return terms[0]
 
 
 def threshold_stats(seq: DataFrame) -> DataFrame:

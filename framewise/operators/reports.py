@@ -122,9 +122,8 @@ def crash_heatmap(frames: DataFrame, n_frames: int = N_FRAMES) -> DataFrame:
     partial/final aggregate keyed by sequence (Spark's two-phase pivot would
     shuffle twice).
     """
-    cells = [F.coalesce(F.sum(F.when(F.col("frame_number") == i, F.col("crash_detected"))),
-                        F.lit(0)).cast("long").alias(heatmap_col(i))
-             for i in range(n_frames)]
+    cells = [F.expr(f"CAST(coalesce(sum(CASE WHEN frame_number = {i} THEN crash_detected END), 0) AS BIGINT)")
+             .alias(heatmap_col(i)) for i in range(n_frames)]
     return frames.groupBy("sequence_id").agg(*cells)
 
 

@@ -60,11 +60,11 @@ def crash_records(part: DataFrame, lineitem: DataFrame, n_frames: int = N_FRAMES
     masks = crash_masks(lineitem, n_frames)
     attrs = record_attributes(part)
     joined = attrs.join(masks, attrs["sequence_id"] == masks["l_partkey"], "left")
-    flags = [
-        F.coalesce(F.shiftright(F.col("mask"), i).bitwiseAND(F.lit(1)).cast("int"), F.lit(0)).alias(c)
-        for i, c in enumerate(frame_cols(n_frames))
-    ]
-    return joined.select(*attrs.columns, *flags)
+    # Wide projections are written as SQL expression text: one JVM call for
+    # the whole list instead of several per column.
+    flags = [f"coalesce(CAST(shiftright(mask, {i}) & 1 AS INT), 0) AS {c}"
+             for i, c in enumerate(frame_cols(n_frames))]
+    return joined.selectExpr(*attrs.columns, *flags)
 
 
 def cleaning_input(part: DataFrame) -> DataFrame:
@@ -75,10 +75,9 @@ def cleaning_input(part: DataFrame) -> DataFrame:
 
 def severity_training_rows(records: DataFrame, n_frames: int = N_FRAMES, cutoff: int = 11) -> DataFrame:
     """Model input: attributes with ``crash_severity`` = crash_count > cutoff."""
-    flags = F.array(*[F.col(c) for c in frame_cols(n_frames)])
-    count = F.aggregate(flags, F.lit(0).cast("long"), lambda acc, x: acc + F.coalesce(x, F.lit(0)))
+    count = " + ".join(f"coalesce({c}, 0)" for c in frame_cols(n_frames))
     return records.select("sequence_id", "timing", "weather", "egoinvolve",
-                          F.when(count > cutoff, 1).otherwise(0).alias("crash_severity"))
+                          F.expr(f"CASE WHEN ({count}) > {int(cutoff)} THEN 1 ELSE 0 END").alias("crash_severity"))
 
 
 def video_pixels(embeddings: DataFrame, frames_per_video: int = 50) -> DataFrame:
