@@ -93,3 +93,86 @@ def _batch_progress(spark, d):
     batches = (todo.groupBy(F.expr("image_id div 10").alias("batch_id"))
                .agg(F.count(F.lit(1)).alias("processed")))
     return INC.running_total(batches, "batch_id", "processed")
+
+
+# ------------------------------------------------ image files (rows-only)
+
+def _image_dir(spark, d) -> str:
+    """Write the embedding frames as PNG files under the shared folder."""
+    from framewise.session import shared_dir
+    from framewise.sources import images as SI
+    from framewise.sources import sinks as SK
+
+    out = shared_dir(spark, "frames")
+    rows = B.frame_image_rows(TB.table(spark, d, "embeddings"))
+    SK.sink_parquet(SI.write_frame_images(rows, out), shared_dir(spark, "frames_log"))
+    return out
+
+
+def _decoded_rows(spark, d):
+    from framewise.sources import images as SI
+    return SI.image_rows(SI.decode_images(spark, _image_dir(spark, d)))
+
+
+@query("scan_images")
+def _scan_images(spark, d):
+    from framewise.sources import images as SI
+    return SI.scan_images(spark, _image_dir(spark, d)).select(basename("path").alias("filename"), "length", "content")
+
+
+@query("decode_images")
+def _decode_images(spark, d):
+    return _decoded_rows(spark, d)
+
+
+@query("list_images")
+def _list_images(spark, d):
+    from framewise.sources import images as SI
+    return SI.list_images(spark, _image_dir(spark, d))
+
+
+def _ingested(spark, d):
+    from framewise.session import shared_dir
+    from framewise.sources import images as SI
+    table = shared_dir(spark, "image_table")
+    src = _image_dir(spark, d)
+    SI.ingest_images(spark, src, table)
+    SI.ingest_images(spark, src, table, skip_existing=True)  # re-run adds nothing
+    return SI.scan_image_table(spark, table)
+
+
+@query("ingest_images")
+def _ingest_images(spark, d):
+    return _ingested(spark, d).select("filename", "height", "width", "nChannels", "mode", "processed")
+
+
+@query("scan_image_table")
+def _scan_image_table(spark, d):
+    return IM.unprocessed(_ingested(spark, d)).select("filename", "height", "width")
+
+
+@query("image_profile")
+def _image_profile(spark, d):
+    from framewise.sources import images as SI
+    return IM.image_profile(SI.decode_images(spark, _image_dir(spark, d)))
+
+
+@query("bad_images")
+def _bad_images(spark, d):
+    from framewise.sources import images as SI
+    _, bad = IM.split_decoded(SI.decode_images(spark, _image_dir(spark, d)))
+    return bad
+
+
+@query("resize_images")
+def _resize_images(spark, d):
+    from framewise.operators.resize import resize_images
+    return resize_images(_decoded_rows(spark, d)).select("filename", "height", "width", "nChannels")
+
+
+@query("frame_features")
+def _frame_features(spark, d):
+    rows = _decoded_rows(spark, d).where("height > 0")
+    frames = rows.select(*IM.parse_image_key("filename"), "*")
+    # 8x8 frames: the default vehicle area (500 px) cannot occur, use 4.
+    return FT.frame_features(frames, min_area=4).drop("processing_timestamp")

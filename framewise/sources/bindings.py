@@ -117,3 +117,25 @@ def customer_documents(customer: DataFrame) -> DataFrame:
     return customer.select("c_custkey",
                            F.expr("nullif(c_mktsegment, 'HOUSEHOLD')").alias("filename"),
                            F.expr("nullif(c_mktsegment, 'BUILDING')").alias("image"))
+
+
+def frame_image_rows(embeddings: DataFrame, frames_per_video: int = 50) -> DataFrame:
+    """Embedding vectors as square grey frames in image-row form (BGR bytes).
+
+    ``video, frame`` are 1-based; ``filename`` follows the image key format
+    with ``.png``; ``corrupt`` marks the rows written as damaged files
+    (vec_id % 97 = 0), so the dead-letter path has input.
+    """
+    from framewise.operators.images import image_key
+
+    level = "CAST(floor(least(255D, greatest(0D, (CAST(x AS DOUBLE) + 1) * 127.5))) AS INT)"
+    hexed = f"array_join(transform(embedding, x -> repeat(lpad(hex({level}), 2, '0'), 3)), '')"
+    video = F.expr(f"vec_id div {int(frames_per_video)} + 1")
+    frame = F.expr(f"vec_id % {int(frames_per_video)} + 1")
+    side = F.expr("CAST(sqrt(size(embedding)) AS INT)")
+    return embeddings.select(
+        video.alias("video"), frame.cast("long").alias("frame"),
+        image_key(video, frame, ".png").alias("filename"),
+        side.alias("height"), side.alias("width"), F.lit(3).alias("nChannels"), F.lit(16).alias("mode"),
+        F.expr(f"unhex({hexed})").alias("data"),
+        (F.col("vec_id") % 97 == 0).alias("corrupt"))
