@@ -176,3 +176,48 @@ def _frame_features(spark, d):
     frames = rows.select(*IM.parse_image_key("filename"), "*")
     # 8x8 frames: the default vehicle area (500 px) cannot occur, use 4.
     return FT.frame_features(frames, min_area=4).drop("processing_timestamp")
+
+
+# ------------------------------------------------------- model (rows-only)
+
+def _training_rows(spark, d):
+    return B.severity_training_rows(TB.records(spark, d))
+
+
+@query("ml_split")
+def _ml_split(spark, d):
+    from framewise.operators.model import ml_split
+    train, test = ml_split(_training_rows(spark, d))
+    return (train.withColumn("split", F.lit("train"))
+            .unionByName(test.withColumn("split", F.lit("test"))))
+
+
+@query("severity_model")
+def _severity_model(spark, d):
+    from framewise.operators.model import ml_split, predict, train_severity_model
+    train, test = ml_split(_training_rows(spark, d))
+    model = train_severity_model(train)
+    return predict(model, test).select("sequence_id", "crash_severity", "prediction")
+
+
+@query("model_accuracy")
+def _model_accuracy(spark, d):
+    from framewise.operators.model import ml_split, model_accuracy, predict, train_severity_model
+    train, test = ml_split(_training_rows(spark, d))
+    return model_accuracy(predict(train_severity_model(train), test))
+
+
+# -------------------------------------------------- streaming (rows-only)
+
+@query("incremental_features")
+def _incremental_features(spark, d):
+    from framewise.session import shared_dir
+    from framewise.streaming import features_stream as FS
+    root = shared_dir(spark, "incremental")
+    rows = B.frame_image_rows(TB.table(spark, d, "embeddings"))
+    src = FS.write_chunks(rows, f"{root}/source", rows_per_file=10)
+    feats, prog, ckpt = f"{root}/features", f"{root}/progress", f"{root}/checkpoint"
+    FS.run_incremental_features(spark, src, feats, prog, ckpt, files_per_trigger=5, min_area=4)
+    # A restart on the same checkpoint finds no new files and adds nothing.
+    FS.run_incremental_features(spark, src, feats, prog, ckpt, files_per_trigger=5, min_area=4)
+    return spark.read.parquet(feats).drop("processing_timestamp")
