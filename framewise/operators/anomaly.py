@@ -33,7 +33,7 @@ def anomaly_metrics(flagged: DataFrame, q: float = 0.9) -> DataFrame:
                  F.stddev_samp("crash_count").alias("std_crashes"),
                  F.percentile("crash_count", q).alias("percentile_threshold"))
             .withColumn("anomaly_percentage",
-                        F.col("anomalies_count") / F.col("total_sequences") * 100)
+                        F.try_divide(F.col("anomalies_count"), F.col("total_sequences")) * 100)
             .withColumn("statistical_threshold",
                         F.col("avg_crashes_per_sequence") + F.col("std_crashes"))
             .withColumn("final_threshold",

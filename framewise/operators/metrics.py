@@ -130,7 +130,7 @@ def crash_share(frames: DataFrame) -> DataFrame:
             .agg(F.count_if(F.col("crash_detected") == 1).alias("total_crashes"),
                  F.count(F.lit(1)).alias("total_frames"))
             .withColumn("crash_share_pct",
-                        F.col("total_crashes") / F.col("total_frames") * 100))
+                        F.try_divide(F.col("total_crashes"), F.col("total_frames")) * 100))
 
 
 def rate_by_condition(frames: DataFrame,

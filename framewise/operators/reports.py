@@ -68,7 +68,7 @@ def crash_distribution(frames: DataFrame) -> DataFrame:
              .otherwise(F.col("crash_detected").cast("string")))
     total = F.sum("frame_count").over(Window.partitionBy())
     return (counts.select("crash_detected", label.alias("label"), "frame_count",
-                          (F.col("frame_count") / total * 100).alias("percentage"))
+                          (F.try_divide(F.col("frame_count"), total) * 100).alias("percentage"))
             .orderBy(F.desc("frame_count")))
 
 
