@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framewise.operators.metrics import anomaly_thresholds, one_row
+from framewise.operators.metrics import anomaly_thresholds, with_one_row
 
 
 def flag_anomalies(seq: DataFrame, thresholds: DataFrame | None = None, q: float = 0.9) -> DataFrame:
@@ -42,5 +42,5 @@ def anomaly_metrics(flagged: DataFrame, q: float = 0.9) -> DataFrame:
 
 def analysis_metrics(frames_metrics: DataFrame, anomaly: DataFrame) -> DataFrame:
     """Merge the crash metrics row and the anomaly metrics row into one row."""
-    cols = one_row(frames_metrics)
-    return anomaly.select(*[v.alias(k) for k, v in cols.items()], *anomaly.columns)
+    merged = with_one_row(anomaly, frames_metrics, "_m")
+    return merged.select(*[F.col(f"_m.{c}").alias(c) for c in frames_metrics.columns], *anomaly.columns)

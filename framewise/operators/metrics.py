@@ -14,12 +14,19 @@ from pyspark.sql import functions as F
 from framewise.schemas import N_FRAMES, SEQUENCE_KEYS, frame_cols
 
 
-def one_row(df: DataFrame, *cols: str):
-    """Columns of a one-row DataFrame as scalar-subquery columns.
+def with_one_row(df: DataFrame, row: DataFrame, name: str = "_row") -> DataFrame:
+    """Attach the single row of ``row`` to every row of ``df`` as struct ``name``.
 
-    The row is packed into one struct so the subquery runs once however many
-    fields are used.
+    The row is packed into one struct and referenced once, so Spark runs one
+    scalar subquery however many of its fields are used; fields are then read
+    as ``F.col(f"{name}.{field}")``.
     """
+    packed = row.select(F.struct(*[F.col(c) for c in row.columns]).alias(name)).scalar()
+    return df.withColumn(name, packed)
+
+
+def one_row(df: DataFrame, *cols: str):
+    """Columns of a one-row DataFrame as scalar-subquery columns (one subquery per use)."""
     packed = df.select(F.struct(*[F.col(c) for c in (cols or df.columns)]).alias("r")).scalar()
     return {c: packed.getField(c) for c in (cols or df.columns)}
 

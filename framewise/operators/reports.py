@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewise.operators.frames import crash_frames
-from framewise.operators.metrics import one_row
+from framewise.operators.metrics import with_one_row
 from framewise.schemas import DAY, N_FRAMES, NIGHT
 
 
@@ -152,11 +152,11 @@ def crash_histogram(seq: DataFrame, bins: int = 30) -> DataFrame:
     # No null filter on the input: min/max/count(x) skip nulls, and the null
     # bin they form is dropped by the join to the bin edges.
     rng_df = seq.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
-    rng = one_row(rng_df)
-    lo, hi = rng["lo"], rng["hi"]
+    lo, hi = F.col("_rng.lo"), F.col("_rng.hi")
     bin_expr = F.when(hi == lo, F.lit(bins // 2).cast("long")).otherwise(
         F.least(F.lit(bins - 1).cast("long"), F.floor(((x - lo) * bins) / (hi - lo)).cast("long")))
-    counts = seq.groupBy(bin_expr.alias("bin")).agg(F.count(x).alias("count"))
+    counts = (with_one_row(seq.select("crash_count"), rng_df, "_rng")
+              .groupBy(bin_expr.alias("bin")).agg(F.count(x).alias("count")))
     lo_c, hi_c = F.col("lo"), F.col("hi")
     start = F.when(hi_c == lo_c, lo_c - 0.5).otherwise(lo_c.cast("double"))
     step = F.when(hi_c == lo_c, F.lit(1.0) / bins).otherwise((hi_c - lo_c).cast("double") / bins)
@@ -217,7 +217,6 @@ def density_by_sequence(flagged: DataFrame, thresholds: DataFrame) -> DataFrame:
 
 def kpi_cards(frames_metrics: DataFrame, anomaly: DataFrame) -> DataFrame:
     """One row: total crashes, anomaly percentage, crash rate."""
-    c = one_row(frames_metrics, "total_crashes", "crash_rate")
-    return anomaly.select(c["total_crashes"].alias("total_crashes"),
-                          F.col("anomaly_percentage"),
-                          c["crash_rate"].alias("crash_rate"))
+    return (with_one_row(anomaly, frames_metrics.select("total_crashes", "crash_rate"), "_c")
+            .select(F.col("_c.total_crashes").alias("total_crashes"), "anomaly_percentage",
+                    F.col("_c.crash_rate").alias("crash_rate")))
