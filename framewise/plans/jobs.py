@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from framewise.operators import anomaly as A
 from framewise.operators import clean as C
+from framewise.operators import cube as CB
 from framewise.operators import frames as FR
 from framewise.operators import images as IM
 from framewise.operators import metrics as M
@@ -41,15 +42,18 @@ def analyse_crash_records(spark: SparkSession, records: DataFrame, out_dir: str,
     seq = seq.checkpoint(eager=True)
     thresholds = M.anomaly_thresholds(seq)
     flagged = A.flag_anomalies(seq, thresholds)
-    crash = M.crash_metrics(frames)
+    # All frame-level reports come from one aggregate pass over the frames;
+    # the cube is bounded by category cardinalities, not by the frame count.
+    cube = CB.frame_cube(frames).checkpoint(eager=True)
+    crash = CB.crash_metrics(cube)
     anomaly = A.anomaly_metrics(flagged)
     paths = {"metrics": SK.metrics_export(A.analysis_metrics(crash, anomaly), f"{out}/metrics")}
     paths["frames_json"] = SK.sink_json(frames, f"{out}/analysis_results")
     reports = {
         "frame_level_data": FR.frame_level_data(frames),
         "sequence_level_data": flagged,
-        "crash_summary": R.crash_summary(frames),
-        "crashes_by_time": R.crashes_by_time(frames),
+        "crash_summary": CB.crash_summary(cube),
+        "crashes_by_time": CB.crashes_by_time(cube),
         "anomaly_summary": R.anomaly_summary(flagged),
     }
     paths.update(SK.report_bundle(reports, f"{out}/report"))
@@ -62,15 +66,16 @@ def analyse_crash_records(spark: SparkSession, records: DataFrame, out_dir: str,
         "anomaly_crosstab": R.anomaly_crosstab(flagged),
         "density_timeline": R.density_timeline(flagged),
         "density_by_sequence": R.density_by_sequence(flagged, thresholds),
-        "crash_distribution": R.crash_distribution(frames),
-        "crash_heatmap": R.crash_heatmap(frames, n_frames),
-        "crashes_by_ego": R.crashes_by_ego(frames),
-        "crashes_by_weather": R.crashes_by_weather(frames),
-        "startframe_counts": R.startframe_counts(frames),
-        "frame_timeline": R.frame_timeline(frames),
-        "crash_share": M.crash_share(frames),
+        "crash_distribution": CB.crash_distribution(cube),
+        "crash_heatmap": (CB.heatmap_from_records(records, n_frames) if unique_ids
+                          else R.crash_heatmap(frames, n_frames)),
+        "crashes_by_ego": CB.crashes_by_ego(cube),
+        "crashes_by_weather": CB.crashes_by_weather(cube),
+        "startframe_counts": CB.startframe_counts(cube),
+        "frame_timeline": CB.frame_timeline(cube),
+        "crash_share": CB.crash_share(cube),
         "kpi_cards": R.kpi_cards(crash, anomaly),
-        "rate_by_condition": M.rate_by_condition(frames),
+        "rate_by_condition": CB.rate_by_condition(cube),
     }
     for name, df in charts.items():
         paths[name] = SK.sink_parquet(df, f"{out}/charts/{name}")

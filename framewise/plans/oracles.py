@@ -207,6 +207,10 @@ oracle("density_by_sequence", w("SELECT sequence_id, " + r6("crash_density", "cr
                                 + ", crash_count, is_anomaly, " + r6("t.final_threshold", "final_threshold")
                                 + " FROM flg, thr t"))
 
+oracle("frame_cube", w("SELECT time_of_day, weather, egoinvolve, startframe, frame_number, crash_detected, "
+                       "count(*) AS n, count(vidname) AS n_vidname FROM fr "
+                       "GROUP BY time_of_day, weather, egoinvolve, startframe, frame_number, crash_detected"))
+
 # -------------------------------------------------------------------- clean
 _ATTRS = "vidname, startframe, youtubeid, timing, weather, egoinvolve"
 oracle("project_columns", w(f"SELECT {_ATTRS} FROM cin"))

@@ -244,6 +244,12 @@ def _density_by_sequence(spark, d):
     return R.density_by_sequence(A.flag_anomalies(seq), M.anomaly_thresholds(seq))
 
 
+@query("frame_cube")
+def _frame_cube(spark, d):
+    from framewise.operators.cube import frame_cube
+    return frame_cube(TB.frames(spark, d))
+
+
 # -------------------------------------------------------------------- clean
 
 @query("project_columns")
