@@ -1,9 +1,9 @@
 """Whole jobs: the public entry points a user of the original scripts runs.
 
 Each job reads, computes lazily, and writes; intermediate tables that several
-outputs reuse are cut with a reliable ``checkpoint()`` into the shared folder
-named by ``spark.checkpoint.dir`` (never a local-only checkpoint), so a lost
-executor re-reads the checkpoint instead of recomputing the lineage.
+outputs reuse are written once as Parquet tables in the shared folder named
+by ``spark.checkpoint.dir`` (never a local-only checkpoint), so a lost
+executor re-reads them instead of recomputing the lineage.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from framewise.operators import images as IM
 from framewise.operators import metrics as M
 from framewise.operators import reports as R
 from framewise.schemas import N_FRAMES
-from framewise.session import ensure_checkpoint_dir
+from framewise.session import ensure_checkpoint_dir, materialize
 from framewise.sources import images as SI
 from framewise.sources import sinks as SK
 
@@ -35,16 +35,16 @@ def analyse_crash_records(spark: SparkSession, records: DataFrame, out_dir: str,
     """
     ensure_checkpoint_dir(spark)
     out = out_dir.rstrip("/")
-    records = records.checkpoint(eager=True)          # source read once
+    records = materialize(records, "records")           # source read once
     frames = FR.to_frame_rows(records, n_frames)        # narrow explode, never stored
     seq = (M.sequence_stats_from_records(records, n_frames) if unique_ids
            else M.sequence_stats(frames))
-    seq = seq.checkpoint(eager=True)
+    seq = materialize(seq, "sequences")
     thresholds = M.anomaly_thresholds(seq)
     flagged = A.flag_anomalies(seq, thresholds)
     # All frame-level reports come from one aggregate pass over the frames;
     # the cube is bounded by category cardinalities, not by the frame count.
-    cube = CB.frame_cube(frames).checkpoint(eager=True)
+    cube = materialize(CB.frame_cube(frames), "frame_cube")
     crash = CB.crash_metrics(cube)
     anomaly = A.anomaly_metrics(flagged)
     paths = {"metrics": SK.metrics_export(A.analysis_metrics(crash, anomaly), f"{out}/metrics")}

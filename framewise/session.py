@@ -84,3 +84,17 @@ def local_path(path: str) -> str:
 
 def is_local(path: str) -> bool:
     return "://" not in path or path.startswith("file:") or os.path.isabs(path)
+
+
+def materialize(df, name: str):
+    """Cut lineage: write ``df`` as Parquet under the shared folder and read it back.
+
+    Unlike ``Dataset.checkpoint()``, which computes an un-persisted input twice
+    (once to count, once to write), this computes it once.  The table lives on
+    the cluster's shared storage, so a lost executor re-reads it instead of
+    recomputing the lineage.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, "tables", name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
