@@ -68,7 +68,7 @@ def test_features_on_scenes(spark):
             _write(d, f"C_{video:06d}_{t + 1:02d}.png", _scene(t, kind))
     rows = SI.image_rows(SI.decode_images(spark, d))
     frames = rows.select(*IM.parse_image_key("filename"), "*")
-    feats = {(r.video, r.frame): r for r in FT.frame_features(frames, band_rows=48).collect()}
+    feats = {(r.video, r.frame): r for r in FT.frame_features(frames, tile=(48, 40)).collect()}
     assert len(feats) == 120
     assert all(feats[(1, f)].traffic_density == 0.0 for f in range(5, 41))
     # The square appears at frame 21: one outer contour, larger than 500 px.
