@@ -64,3 +64,5 @@ oracle("batch_progress", m(
     "WHERE processed IS DISTINCT FROM true GROUP BY 1)"))
 
 __all__ = ["ORACLES"]
+
+oracle("incremental_density", ORACLES["traffic_density"])

@@ -221,3 +221,17 @@ def _incremental_features(spark, d):
     # A restart on the same checkpoint finds no new files and adds nothing.
     FS.run_incremental_features(spark, src, feats, prog, ckpt, files_per_trigger=5, min_area=4)
     return spark.read.parquet(feats).drop("processing_timestamp")
+
+
+@query("incremental_density")
+def _incremental_density(spark, d):
+    from framewise.session import shared_dir
+    from framewise.streaming import features_stream as FS
+    root = shared_dir(spark, "incremental_density")
+    rows = TB.table(spark, d, "embeddings").withColumn("video", F.expr("vec_id div 50"))
+    src = f"{root}/source"
+    (rows.select("vec_id", "embedding", "label", "video").sortWithinPartitions("vec_id")
+     .write.mode("overwrite").option("maxRecordsPerFile", 10).parquet(src))
+    FS.run_incremental_density(spark, src, f"{root}/table", f"{root}/progress", f"{root}/checkpoint",
+                               files_per_trigger=5)
+    return spark.read.parquet(f"{root}/table").select("video", "frame", "traffic_density")
