@@ -214,7 +214,7 @@ def _incremental_features(spark, d):
     from framewise.session import shared_dir
     from framewise.streaming import features_stream as FS
     root = shared_dir(spark, "incremental")
-    rows = B.frame_image_rows(TB.table(spark, d, "embeddings"))
+    rows = B.frame_image_rows(TB.table(spark, d, "embeddings")).select(*FS.IMAGE_ROW_SCHEMA.fieldNames())
     src = FS.write_chunks(rows, f"{root}/source", rows_per_file=10)
     feats, prog, ckpt = f"{root}/features", f"{root}/progress", f"{root}/checkpoint"
     FS.run_incremental_features(spark, src, feats, prog, ckpt, files_per_trigger=5, min_area=4)
@@ -229,9 +229,7 @@ def _incremental_density(spark, d):
     from framewise.streaming import features_stream as FS
     root = shared_dir(spark, "incremental_density")
     rows = TB.table(spark, d, "embeddings").withColumn("video", F.expr("vec_id div 50"))
-    src = f"{root}/source"
-    (rows.select("vec_id", "embedding", "label", "video").sortWithinPartitions("vec_id")
-     .write.mode("overwrite").option("maxRecordsPerFile", 10).parquet(src))
+    src = FS.write_chunks(rows.select("vec_id", "embedding", "label", "video"), f"{root}/source", 10)
     FS.run_incremental_density(spark, src, f"{root}/table", f"{root}/progress", f"{root}/checkpoint",
                                files_per_trigger=5)
     return spark.read.parquet(f"{root}/table").select("video", "frame", "traffic_density")

@@ -13,8 +13,18 @@ from framewise.operators import metrics as M
 from framewise.sources import bindings as B
 
 
+_READERS: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The test table as a DataFrame; the reader (file listing and footer
+    schema) is built once per session and path -- the tables are read-only."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    df = _READERS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _READERS[key] = spark.read.parquet(path)
+    return df
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:

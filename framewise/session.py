@@ -24,6 +24,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Exchange reuse lets a scalar subquery share the shuffle of its parent.
     "spark.sql.exchange.reuse": "true",
+    # Skip Python call-site capture on every Column call (it only decorates
+    # error messages and costs several JVM round-trips per expression).
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
