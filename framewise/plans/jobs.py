@@ -25,13 +25,15 @@ from framewise.sources import sinks as SK
 
 
 def analyse_crash_records(spark: SparkSession, records: DataFrame, out_dir: str,
-                          n_frames: int = N_FRAMES, unique_ids: bool = True) -> dict[str, str]:
+                          n_frames: int = N_FRAMES, unique_ids: bool = True,
+                          parallel_writes: int = 8) -> dict[str, str]:
     """J1: frames, metrics, anomalies, report and chart tables.
 
     ``records`` are wide crash records with ``sequence_id`` (add one with
     ``frames.add_sequence_id`` first).  With ``unique_ids`` the per-sequence
     table is folded from the record arrays without a shuffle; otherwise it is
-    grouped from the frame rows.
+    grouped from the frame rows.  Up to ``parallel_writes`` independent output
+    jobs run at the same time.
     """
     ensure_checkpoint_dir(spark)
     out = out_dir.rstrip("/")
@@ -39,16 +41,18 @@ def analyse_crash_records(spark: SparkSession, records: DataFrame, out_dir: str,
     frames = FR.to_frame_rows(records, n_frames)        # narrow explode, never stored
     seq = (M.sequence_stats_from_records(records, n_frames) if unique_ids
            else M.sequence_stats(frames))
-    seq = materialize(seq, "sequences")
-    thresholds = M.anomaly_thresholds(seq)
-    flagged = A.flag_anomalies(seq, thresholds)
+    # Flagged once: the threshold subquery runs a single time for all outputs.
+    flagged = materialize(A.flag_anomalies(seq), "sequences")
+    thresholds = M.anomaly_thresholds(flagged)
     # All frame-level reports come from one aggregate pass over the frames;
     # the cube is bounded by category cardinalities, not by the frame count.
     cube = materialize(CB.frame_cube(frames), "frame_cube")
     crash = CB.crash_metrics(cube)
     anomaly = A.anomaly_metrics(flagged)
-    paths = {"metrics": SK.metrics_export(A.analysis_metrics(crash, anomaly), f"{out}/metrics")}
-    paths["frames_json"] = SK.sink_json(frames, f"{out}/analysis_results")
+    writes = {
+        "metrics": lambda: SK.metrics_export(A.analysis_metrics(crash, anomaly), f"{out}/metrics"),
+        "frames_json": lambda: SK.sink_json(frames, f"{out}/analysis_results"),
+    }
     reports = {
         "frame_level_data": FR.frame_level_data(frames),
         "sequence_level_data": flagged,
@@ -56,9 +60,11 @@ def analyse_crash_records(spark: SparkSession, records: DataFrame, out_dir: str,
         "crashes_by_time": CB.crashes_by_time(cube),
         "anomaly_summary": R.anomaly_summary(flagged),
     }
-    paths.update(SK.report_bundle(reports, f"{out}/report"))
+    for name, df in reports.items():
+        writes[name] = (lambda n, d: lambda: SK.sink_csv(d, f"{out}/report/{n}",
+                                                         single_file=n != "frame_level_data"))(name, df)
     charts = {
-        "crash_histogram": R.crash_histogram(seq),
+        "crash_histogram": R.crash_histogram(flagged),
         "anomalies_by_time": R.anomalies_by_time(flagged),
         "anomalies_by_weather": R.anomalies_by_weather(flagged),
         "ego_scatter": R.ego_scatter(flagged),
@@ -78,8 +84,8 @@ def analyse_crash_records(spark: SparkSession, records: DataFrame, out_dir: str,
         "rate_by_condition": CB.rate_by_condition(cube),
     }
     for name, df in charts.items():
-        paths[name] = SK.sink_parquet(df, f"{out}/charts/{name}")
-    return paths
+        writes[name] = (lambda n, d: lambda: SK.sink_parquet(d, f"{out}/charts/{n}"))(name, df)
+    return SK.run_writes(writes, parallel_writes)
 
 
 def clean_job(spark: SparkSession, source: DataFrame | str, out_path: str) -> str:

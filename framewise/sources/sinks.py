@@ -50,10 +50,27 @@ def metrics_export(metrics: DataFrame, path: str, mode: str = "overwrite") -> st
     return path
 
 
-def report_bundle(tables: dict[str, DataFrame], root: str, single_file_reports: bool = True) -> dict:
+def run_writes(writes: dict, parallel: int = 8) -> dict:
+    """Run independent write actions concurrently; returns ``name -> result``.
+
+    ``writes`` maps a name to a zero-argument callable that performs one write.
+    Spark schedules jobs submitted from several driver threads side by side,
+    so many small output jobs share the executors instead of queueing one
+    after another.  Any failure is re-raised after all writes finish.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    if parallel <= 1:
+        return {name: fn() for name, fn in writes.items()}
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        futures = {name: pool.submit(fn) for name, fn in writes.items()}
+    return {name: f.result() for name, f in futures.items()}
+
+
+def report_bundle(tables: dict[str, DataFrame], root: str, single_file_reports: bool = True,
+                  parallel: int = 1) -> dict:
     """Write report tables as CSV under ``root/<name>``; frame-level data stays split."""
-    paths = {}
-    for name, df in tables.items():
-        paths[name] = sink_csv(df, f"{root.rstrip('/')}/{name}",
-                               single_file=single_file_reports and name != "frame_level_data")
-    return paths
+    def writer(name, df):
+        return lambda: sink_csv(df, f"{root.rstrip('/')}/{name}",
+                                single_file=single_file_reports and name != "frame_level_data")
+    return run_writes({name: writer(name, df) for name, df in tables.items()}, parallel)
