@@ -233,3 +233,15 @@ def _incremental_density(spark, d):
     FS.run_incremental_density(spark, src, f"{root}/table", f"{root}/progress", f"{root}/checkpoint",
                                files_per_trigger=5)
     return spark.read.parquet(f"{root}/table").select("video", "frame", "traffic_density")
+
+
+@query("incremental_image_features")
+def _incremental_image_features(spark, d):
+    from framewise.session import shared_dir
+    from framewise.streaming import features_stream as FS
+    folder = _image_dir(spark, d)
+    root = shared_dir(spark, "incremental_images")
+    tables = (f"{root}/images", f"{root}/features", f"{root}/dead_letter", f"{root}/progress", f"{root}/checkpoint")
+    for _ in range(2):  # the second run finds no new files
+        FS.run_image_folder_features(spark, folder, *tables, files_per_trigger=50, min_area=4)
+    return spark.read.parquet(tables[1]).drop("processing_timestamp")
