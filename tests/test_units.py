@@ -153,3 +153,16 @@ def test_unprocessed_is_null_safe(spark):
     from framewise.operators.images import unprocessed
     df = spark.createDataFrame([(1, True), (2, False), (3, None)], "image_id long, processed boolean")
     assert sorted(r.image_id for r in unprocessed(df).collect()) == [2, 3]
+
+
+def test_csv_source_with_dirty_flags(spark, tmp_path):
+    from framewise.sources.records import scan_records
+    header = "vidname,startframe,youtubeid,timing,weather,egoinvolve,frame_1,frame_2,frame_3"
+    lines = [header, "a,1,y,Day,Normal,Yes,1,zz,0", "b,2,y,,Rainy,No,,1,1"]
+    path = tmp_path / "records.csv"
+    path.write_text("\n".join(lines) + "\n")
+    df = scan_records(spark, str(path), format="csv", options={"header": "true"}, n_frames=3)
+    rows = {r.vidname: (r.frame_1, r.frame_2, r.frame_3, r.timing) for r in df.collect()}
+    assert rows == {"a": (1, None, 0, "Day"), "b": (None, 1, 1, None)}
+    frames = FR.to_frame_rows(df.withColumn("sequence_id", F.xxhash64("vidname")), 3)
+    assert M.crash_metrics(frames).collect()[0].total_crashes == 3
