@@ -66,3 +66,34 @@ oracle("batch_progress", m(
 __all__ = ["ORACLES"]
 
 oracle("incremental_density", ORACLES["traffic_density"])
+
+# Image files are written by Spark from `embeddings` (square grey frames,
+# stored as 3-channel PNG; every 97th vector is written as a damaged file),
+# so the decoded metadata is known in SQL.
+FRAMES = """
+frames AS (
+  SELECT printf('C_%06d_%02d.png', vec_id // 50 + 1, vec_id % 50 + 1) AS filename,
+         vec_id % 97 = 0 AS corrupt,
+         CAST(sqrt(len(embedding)) AS INTEGER) AS side
+  FROM embeddings),
+decoded AS (
+  SELECT filename,
+         CASE WHEN corrupt THEN -1 ELSE side END AS height,
+         CASE WHEN corrupt THEN -1 ELSE side END AS width,
+         CASE WHEN corrupt THEN -1 ELSE 3 END AS "nChannels",
+         CASE WHEN corrupt THEN -1 ELSE 16 END AS mode,
+         corrupt
+  FROM frames)
+"""
+
+
+def f(select: str) -> str:
+    return f"WITH {FRAMES.strip()}\n{select}"
+
+
+oracle("image_profile", f('SELECT filename, height, width, "nChannels", mode FROM decoded'))
+oracle("bad_images", f("SELECT filename, 'undecodable' AS reason FROM decoded WHERE corrupt"))
+oracle("resize_images", f('SELECT filename, 128 AS height, 128 AS width, "nChannels" FROM decoded WHERE NOT corrupt'))
+oracle("ingest_images", f('SELECT filename, height, width, "nChannels", mode, CAST(NULL AS BOOLEAN) AS processed '
+                          "FROM decoded"))
+oracle("scan_image_table", f("SELECT filename, height, width FROM decoded"))

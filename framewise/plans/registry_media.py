@@ -161,7 +161,7 @@ def _image_profile(spark, d):
 def _bad_images(spark, d):
     from framewise.sources import images as SI
     _, bad = IM.split_decoded(SI.decode_images(spark, _image_dir(spark, d)))
-    return bad
+    return bad.select("filename", "reason")  # the full path differs per run
 
 
 @query("resize_images")
