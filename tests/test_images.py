@@ -96,3 +96,20 @@ def test_basename_and_defaults(spark):
     assert [r.filename for r in rows] == ["unknown", "unknown"]
     assert [r.has_payload for r in rows] == [False, True]
     assert [r.filename for r in IM.with_basename(df).collect()] == ["c.jpg", "x.jpg"]
+
+
+def test_contour_area_and_nesting():
+    from framewise.operators.features import outer_contours, polygon_area, trace_outer_border
+    rect = np.ones((5, 7), bool)
+    assert polygon_area(trace_outer_border(rect)) == 24.0          # (h-1)(w-1)
+    ring = np.ones((9, 9), bool)
+    ring[3:6, 3:6] = False
+    assert polygon_area(trace_outer_border(ring)) == 64.0          # holes do not count
+    assert polygon_area(trace_outer_border(np.ones((1, 6), bool))) == 0.0
+    assert polygon_area(trace_outer_border(np.tril(np.ones((6, 6), bool)))) == 12.5
+    frame = np.zeros((60, 60), bool)
+    frame[5:30, 5:30] = True            # 24 x 24 = 576 > 500
+    frame[40:45, 40:45] = True          # small blob
+    frame[8:27, 8:27] = False           # make the big one a ring ...
+    frame[15:20, 15:20] = True          # ... with a blob nested in its hole
+    assert outer_contours(frame, 500) == (2, 1)
