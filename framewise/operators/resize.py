@@ -8,6 +8,8 @@ image, so work is spread with the rows and no group is ever formed.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -25,6 +27,7 @@ def _cubic(x: np.ndarray, a: float = CUBIC_A) -> np.ndarray:
                     np.where(x < 2, (((x - 5) * x + 8) * x - 4) * a, 0.0))
 
 
+@lru_cache(maxsize=64)
 def resample_matrix(n_in: int, n_out: int) -> np.ndarray:
     """(n_out, n_in) row-normalised weights for one axis."""
     scale = n_in / n_out
@@ -42,7 +45,9 @@ def resize_array(img: np.ndarray, height: int, width: int) -> np.ndarray:
     """(h, w, c) uint8 → (height, width, c) uint8."""
     wy = resample_matrix(img.shape[0], height)
     wx = resample_matrix(img.shape[1], width)
-    out = np.einsum("yh,hwc,xw->yxc", wy, img.astype(np.float64), wx)
+    # Separable: rows first, then columns -- two small matrix products.
+    rows = np.tensordot(wy, img.astype(np.float64), axes=(1, 0))      # (height, w, c)
+    out = np.tensordot(rows, wx, axes=(1, 1)).transpose(0, 2, 1)      # (height, width, c)
     return np.clip(np.rint(out), 0, 255).astype(np.uint8)
 
 
