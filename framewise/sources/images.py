@@ -103,15 +103,17 @@ def image_rows(decoded: DataFrame) -> DataFrame:
 
 def ingest_images(spark: SparkSession, src: str, table_path: str, glob: str = "*.png",
                   skip_existing: bool = False) -> str:
-    """Append ``filename, image (file bytes), height, width, nChannels, mode, data``.
+    """Append ``filename, image (file bytes), height, width, nChannels, mode, processed``.
 
     Both sources are read from the same folder and joined on the basename
-    (they spell the URI differently).  ``skip_existing`` anti-joins filenames
-    already in the table, so a re-run does not duplicate documents.
+    (they spell the URI differently).  Only the decoded metadata crosses the
+    join -- the decoded pixel buffer is dropped before the shuffle, since the
+    table already holds the file bytes.  ``skip_existing`` anti-joins
+    filenames already in the table, so a re-run does not duplicate documents.
     """
     files = scan_images(spark, src, glob).select(basename("path").alias("filename"),
                                                  F.col("content").alias("image"))
-    decoded = image_rows(decode_images(spark, src, glob=glob))
+    decoded = image_rows(decode_images(spark, src, glob=glob)).drop("data")
     docs = files.join(decoded, "filename", "left").withColumn("processed", F.lit(None).cast("boolean"))
     if skip_existing:
         try:
