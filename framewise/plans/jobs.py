@@ -19,7 +19,7 @@ from framewise.operators import images as IM
 from framewise.operators import metrics as M
 from framewise.operators import reports as R
 from framewise.schemas import N_FRAMES
-from framewise.session import ensure_checkpoint_dir, materialize
+from framewise.session import ensure_checkpoint_dir, materialize, scratch
 from framewise.sources import images as SI
 from framewise.sources import sinks as SK
 
@@ -36,17 +36,21 @@ def analyse_crash_records(spark: SparkSession, records: DataFrame, out_dir: str,
     jobs run at the same time.
     """
     ensure_checkpoint_dir(spark)
-    out = out_dir.rstrip("/")
-    records = materialize(records, "records")           # source read once
+    with scratch(spark) as tmp:
+        return _analyse(spark, records, out_dir.rstrip("/"), n_frames, unique_ids, parallel_writes, tmp)
+
+
+def _analyse(spark, records, out, n_frames, unique_ids, parallel_writes, tmp) -> dict[str, str]:
+    records = materialize(records, "records", tmp)      # source read once
     frames = FR.to_frame_rows(records, n_frames)        # narrow explode, never stored
     seq = (M.sequence_stats_from_records(records, n_frames) if unique_ids
            else M.sequence_stats(frames))
     # Flagged once: the threshold subquery runs a single time for all outputs.
-    flagged = materialize(A.flag_anomalies(seq), "sequences")
+    flagged = materialize(A.flag_anomalies(seq), "sequences", tmp)
     thresholds = M.anomaly_thresholds(flagged)
     # All frame-level reports come from one aggregate pass over the frames;
     # the cube is bounded by category cardinalities, not by the frame count.
-    cube = materialize(CB.frame_cube(frames), "frame_cube")
+    cube = materialize(CB.frame_cube(frames), "frame_cube", tmp)
     crash = CB.crash_metrics(cube)
     anomaly = A.anomaly_metrics(flagged)
     writes = {

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -89,15 +90,42 @@ def is_local(path: str) -> bool:
     return "://" not in path or path.startswith("file:") or os.path.isabs(path)
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, keep: list | None = None):
     """Cut lineage: write ``df`` as Parquet under the shared folder and read it back.
 
     Unlike ``Dataset.checkpoint()``, which computes an un-persisted input twice
     (once to count, once to write), this computes it once.  The table lives on
     the cluster's shared storage, so a lost executor re-reads it instead of
-    recomputing the lineage.
+    recomputing the lineage.  The path is appended to ``keep`` (if given) so a
+    ``scratch`` block can remove it afterwards.
     """
     spark = df.sparkSession
     path = shared_dir(spark, "tables", name)
     df.write.mode("overwrite").parquet(path)
+    if keep is not None:
+        keep.append(path)
     return spark.read.parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Recursively delete ``path`` through the Hadoop FileSystem of its scheme."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(hpath, True))
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Intermediate tables for one job: ``materialize(df, name, keep)`` inside
+    the block; every table written that way is deleted when the block exits
+    (after the job's own outputs have been written)."""
+    paths: list[str] = []
+    try:
+        yield paths
+    finally:
+        for path in paths:
+            try:
+                delete_path(spark, path)
+            except Exception:  # best effort: never mask the job's own error
+                pass

@@ -65,3 +65,16 @@ def test_resize_and_profile_jobs(spark):
     profile, count = J.profile_images(spark, table)
     assert count.collect()[0].documents == 4
     assert profile.where("height = -1").count() == 1
+
+
+def test_analysis_job_removes_its_intermediate_tables(spark):
+    from framewise.session import ensure_checkpoint_dir, local_path
+    root = os.path.join(local_path(ensure_checkpoint_dir(spark)), "framewise", "tables")
+
+    def listing():
+        return {(n, u) for n in ("records", "sequences", "frame_cube")
+                for u in (os.listdir(os.path.join(root, n)) if os.path.isdir(os.path.join(root, n)) else [])}
+
+    before = listing()
+    J.analyse_crash_records(spark, TB.records(spark, SF001), tempfile.mkdtemp(prefix="fw-j1c-"))
+    assert listing() == before
