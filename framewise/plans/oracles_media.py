@@ -97,3 +97,12 @@ oracle("resize_images", f('SELECT filename, 128 AS height, 128 AS width, "nChann
 oracle("ingest_images", f('SELECT filename, height, width, "nChannels", mode, CAST(NULL AS BOOLEAN) AS processed '
                           "FROM decoded"))
 oracle("scan_image_table", f("SELECT filename, height, width FROM decoded"))
+
+# Whole jobs: the tables they write equal the operator oracles.
+oracle("job_analysis_metrics", ORACLES["metrics_export"])
+oracle("job_analysis_sequences", ORACLES["sequence_level_data"])
+oracle("job_clean", ORACLES["clean_records"])
+oracle("job_weather_report", ORACLES["weather_counts"])
+oracle("job_ingest", f('SELECT filename, height, width, "nChannels", mode FROM decoded'))
+oracle("job_profile_images", f('SELECT filename, true AS has_payload, height, width, "nChannels", mode FROM decoded'))
+oracle("job_resize", ORACLES["resize_images"])

@@ -329,5 +329,5 @@ def _metrics_export(spark, d):
 
 def queries() -> dict[str, Query]:
     # Import for side effects: the image, feature, streaming and model queries.
-    from framewise.plans import registry_media  # noqa: F401
+    from framewise.plans import registry_jobs, registry_media  # noqa: F401
     return dict(QUERIES)
