@@ -24,6 +24,13 @@ def _scene(t, kind, h=128, w=128):
         img[40:80, x0:x0 + 40] = 230
     if kind == "shadow" and t >= 30:
         img[20:60, 20:60] = 70
+    if kind == "two" and t >= 20:
+        img[20:60, 10:50] = 230          # 40 x 40: a vehicle
+        img[90:100, 90:100] = 230        # 10 x 10: a contour, too small for a vehicle
+    if kind == "ring" and t >= 20:
+        img[20:100, 20:100] = 230        # ring 80 x 80 ...
+        img[35:85, 35:85] = 100          # ... with a hole ...
+        img[55:65, 55:65] = 230          # ... holding a nested blob (not an outer contour)
     return img
 
 
@@ -63,13 +70,13 @@ def test_resize_constant_is_constant():
 
 def test_features_on_scenes(spark):
     d = tempfile.mkdtemp(prefix="fw-scn-")
-    for video, kind in ((1, "static"), (2, "square"), (3, "shadow")):
+    for video, kind in ((1, "static"), (2, "square"), (3, "shadow"), (4, "two"), (5, "ring")):
         for t in range(40):
             _write(d, f"C_{video:06d}_{t + 1:02d}.png", _scene(t, kind))
     rows = SI.image_rows(SI.decode_images(spark, d))
     frames = rows.select(*IM.parse_image_key("filename"), "*")
     feats = {(r.video, r.frame): r for r in FT.frame_features(frames, tile=(48, 40)).collect()}
-    assert len(feats) == 120
+    assert len(feats) == 200
     assert all(feats[(1, f)].traffic_density == 0.0 for f in range(5, 41))
     # The square appears at frame 21: one outer contour, larger than 500 px.
     # (Early on the learning rate is 1/min(2t, 500), so a uniform object that
@@ -79,6 +86,10 @@ def test_features_on_scenes(spark):
     assert feats[(2, 25)].num_contours >= 1
     shade = feats[(3, 31)]
     assert shade.traffic_density > 0 and shade.num_contours == 0
+    two = feats[(4, 21)]
+    assert (two.num_contours, two.vehicle_count) == (2, 1)
+    ring = feats[(5, 21)]
+    assert (ring.num_contours, ring.vehicle_count) == (1, 1)
 
 
 def test_missing_images_against_manifest(spark):
