@@ -60,7 +60,7 @@ IMPL = {
     "J7": "plans.jobs.severity_job", "J8": "plans.jobs.profile_images",
 }
 
-EXTRA_QUERIES = {"T1": ["incremental_image_features", "incremental_density"],
+EXTRA_QUERIES = {"T1": ["incremental_image_features", "incremental_density", "stateful_image_features"],
                  "A1": ["frame_cube"], "A3": ["sequence_stats_records"],
                  # rows the inventory marks "with <parent>": checked by the parent's query
                  "S14": ["resize_images"], "P14": ["metrics_export"], "P15": ["anomaly_summary"],
