@@ -149,14 +149,18 @@ def crash_histogram(seq: DataFrame, bins: int = 30) -> DataFrame:
     ``bins`` rows are produced, empty ones with count 0.
     """
     x = F.col("crash_count")
-    # No null filter on the input: min/max/count(x) skip nulls, and the null
-    # bin they form is dropped by the join to the bin edges.
-    rng_df = seq.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
+    # One pass over the sequences: fold them into a value histogram (partial
+    # aggregate; crash counts take at most n_frames + 1 values), then take
+    # min/max and bins from that small table.  No null filter on the input:
+    # min/max/count(x) skip nulls, and the null value's bin is dropped by the
+    # join to the bin edges.
+    values = seq.groupBy("crash_count").agg(F.count(x).alias("n"))
+    rng_df = values.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
     lo, hi = F.col("_rng.lo"), F.col("_rng.hi")
     bin_expr = F.when(hi == lo, F.lit(bins // 2).cast("long")).otherwise(
         F.least(F.lit(bins - 1).cast("long"), F.floor(((x - lo) * bins) / (hi - lo)).cast("long")))
-    counts = (with_one_row(seq.select("crash_count"), rng_df, "_rng")
-              .groupBy(bin_expr.alias("bin")).agg(F.count(x).alias("count")))
+    counts = (with_one_row(values, rng_df, "_rng")
+              .groupBy(bin_expr.alias("bin")).agg(F.sum("n").alias("count")))
     lo_c, hi_c = F.col("lo"), F.col("hi")
     start = F.when(hi_c == lo_c, lo_c - 0.5).otherwise(lo_c.cast("double"))
     step = F.when(hi_c == lo_c, F.lit(1.0) / bins).otherwise((hi_c - lo_c).cast("double") / bins)
