@@ -10,7 +10,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -46,6 +48,25 @@ def get_session(master: str | None = None, app: str = "framewise",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    return ship_package(spark)
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Make this package importable in the Python workers of every executor.
+
+    The package's modules go out once per Spark context as a small zip through
+    ``addPyFile``, so that pandas functions run on nodes where the package is
+    neither installed nor on ``PYTHONPATH``.
+    """
+    sc = spark.sparkContext
+    if not getattr(sc, "_framewise_shipped", False):
+        root = Path(__file__).resolve().parent
+        target = Path(tempfile.mkdtemp(prefix="framewise-zip-")) / "framewise.zip"
+        with zipfile.ZipFile(target, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        sc.addPyFile(str(target))
+        sc._framewise_shipped = True
     return spark
 
 
