@@ -42,7 +42,12 @@ def op4_wu_manber(spark, sf_dir):
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op5_count_rtree(spark, sf_dir):
+    from framewise.llm import jaccard_join
+    return jaccard_join.components(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
-        op1_toxicity_chain, op2_line_spread, op3_knn_quality, op4_wu_manber,
+        op1_toxicity_chain, op2_line_spread, op3_knn_quality, op4_wu_manber, op5_count_rtree,
     )}
