@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,6 +70,25 @@ def shingle_hashes(hasher: SpanHasher, words: list[bytes], k: int) -> np.ndarray
     return hasher(joined, starts[: len(starts) - k + 1], ends[k - 1:])
 
 
+def runs_of(batches: Iterator[pd.DataFrame], by: list[str]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """(key, rows) of the runs of equal ``by``; rows come sorted by it and runs may span batches."""
+    rows = itertools.chain.from_iterable(
+        zip(zip(*[pdf[c].tolist() for c in by]), pdf.itertuples(index=False, name=None)) for pdf in batches)
+    for key, run in itertools.groupby(rows, key=lambda r: r[0]):
+        yield key, [r[1] for r in run]
+
+
+def merge_labels(label: np.ndarray, members: np.ndarray) -> bool:
+    """Give all that share a label with ``members`` the least of these labels; is all one now?
+
+    ``label`` starts as ``arange``: a label is the least index of its group.
+    """
+    found = np.unique(label[members])
+    if len(found) > 1:
+        label[np.isin(label, found)] = found[0]
+    return not label.any()
+
+
 def connected_components(edges: DataFrame, name: str) -> DataFrame:
     """(node, component) for every node of ``edges`` (columns ``u``, ``v``), component = least node.
 

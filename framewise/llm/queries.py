@@ -47,7 +47,41 @@ def op5_count_rtree(spark, sf_dir):
     return jaccard_join.components(_table(spark, sf_dir, "documents"))
 
 
+def op6_chat_windows(spark, sf_dir):
+    from framewise.llm import chat
+    conversations = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.createDataFrame([(-7, 0, "user", "</s>[INST] ok [/INST]"),
+                                     (-7, 1, "assistant", "</s>[INST] ok [/INST]")], conversations.schema)
+    return chat.read_back(chat.windows(conversations.unionByName(control)))
+
+
+def op7_secret_ownership(spark, sf_dir):
+    from framewise.llm import secret_scan
+    return secret_scan.secrets(_table(spark, sf_dir, "documents"))
+
+
+#: Vocabulary file of a public SentencePiece BPE tokenizer; read on the driver only.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op8_merge_dropout(spark, sf_dir, model: str = PIECES):
+    from framewise.llm import pieces
+    return pieces.tokenized(_table(spark, sf_dir, "documents"), pieces.PieceTable.load(model), alpha=0.1, seed=1)
+
+
+def op9_product_quantisation(spark, sf_dir):
+    from framewise.llm import pq_neardup
+    return pq_neardup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op10_license_minhash(spark, sf_dir):
+    from framewise.llm import licenses
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_toxicity_chain, op2_line_spread, op3_knn_quality, op4_wu_manber, op5_count_rtree,
+        op6_chat_windows, op7_secret_ownership, op8_merge_dropout, op9_product_quantisation,
+        op10_license_minhash,
     )}
