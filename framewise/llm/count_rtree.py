@@ -4,13 +4,37 @@ A set's tokens are hashed into groups; its point holds the number of tokens in
 each group.  The overlap of two sets is at most the sum over groups of the
 smaller count, and for a node that sum with the node's upper corner bounds the
 overlap with every set below it.
+
+The bound tells unrelated sets apart as long as a group holds few tokens, so
+the number of groups grows with the set.  It is a power of two taken from the
+low bits of the hash: the point of a larger set folds to fewer groups by adding
+halves, which makes the points of any two sets comparable.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 FAN = 16
+#: Fewest groups, and the tokens per group beyond which there are more.
+LEAST_GROUPS, PER_GROUP = 64, 6
+
+
+def groups_for(size: int) -> int:
+    """Coordinates of the point of a set of ``size`` tokens."""
+    return max(LEAST_GROUPS, 1 << max(0, (-(-size // PER_GROUP) - 1)).bit_length())
+
+
+def point(hashes: np.ndarray) -> np.ndarray:
+    """Counts of the set's token hashes (uint64) in each of its groups."""
+    g = groups_for(len(hashes))
+    return np.bincount((hashes & np.uint64(g - 1)).astype(np.int64), minlength=g).astype(np.int32)
+
+
+def fold(p: np.ndarray, groups: int) -> np.ndarray:
+    return p.reshape(-1, groups).sum(0)
 
 
 def _tile_order(counts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -54,3 +78,23 @@ class CountRTree:
                 alive = (alive[:, None] * FAN + np.arange(FAN)).ravel()
                 alive = alive[alive < len(self.levels[depth - 1][1])]
         return self.order[alive]
+
+
+def candidate_lists(points: list[np.ndarray], sizes: np.ndarray, num: int, den: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, others): every pair whose bound allows ``den * |A & B| >= num * |A | B|`` shows up at least once.
+
+    One tree per number of groups: over its own sets and over the larger ones,
+    folded, that are near enough in size; its own sets are the queries.
+    """
+    groups = np.array([len(p) for p in points])
+    for g in np.unique(groups):
+        own = np.flatnonzero(groups == g)
+        larger = np.flatnonzero((groups > g) & (num * sizes <= den * sizes[own].max()))
+        ids = np.concatenate((own, larger))
+        if len(ids) < 2:
+            continue
+        counts = np.stack([fold(points[i], g) for i in ids])
+        tree = CountRTree(counts, sizes[ids])
+        for row, i in enumerate(own):
+            near = ids[tree.candidates(counts[row], sizes[i], num, den)]
+            yield i, near[near != i]

@@ -5,17 +5,18 @@
    frequencies is summed over all texts.
 2. Blocks: linked sets share a shingle among the rarest ``n - ceil(0.75 n) + 1``
    of each (prefix principle, rarest first by the table).  Texts are dealt by
-   these shingles, sorted runs yield star edges, and the components of the star
-   edges are the clusters within which all links lie.
-3. Join: each cluster, cut into pairs of bounded blocks when large, is indexed
-   by an R-tree over group counts; the pairs that survive the overlap bound are
-   verified on the full sets.  Only spanning edges leave a task, never pairs.
-4. Components of the verified edges give every document its component.
+   these shingles; the classes of a run of equal shingles form a unit.
+3. Candidates: an R-tree over the group counts of each unit's sets finds the
+   pairs whose overlap bound allows a link.  The components of these pairs are
+   the clusters within which all links lie.
+4. Verification: each cluster, cut into pairs of bounded blocks when large, is
+   joined on the full sets, again behind an R-tree.  Only spanning edges leave
+   a task, never pairs.
+5. Components of the verified edges give every document its component.
 """
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,16 +24,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framewise.llm.common import SpanHasher, connected_components, materialize, mix64, shingle_hashes
-from framewise.llm.count_rtree import CountRTree
+from framewise.llm.common import SpanHasher, connected_components, merge_labels, materialize, mix64, runs_of, shingle_hashes
+from framewise.llm.count_rtree import candidate_lists, groups_for, point
 
 #: Cells of the shingle frequency table: 4 MB of counters whatever the corpus.
 CELLS = 1 << 20
 _CHUNK = 1 << 14
-#: Coordinates of a count vector.
-GROUPS = 64
 #: Members and shingles of one block of a large cluster.
 BLOCK_SETS, BLOCK_SHINGLES = 2000, 1_000_000
+#: Classes of one unit; longer runs become pairs of pieces.
+RUN_SETS = 2000
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -44,12 +45,24 @@ def _shingle_set(hasher: SpanHasher, text: str | None, k: int) -> np.ndarray:
     return np.unique(shingle_hashes(hasher, _words(text), k))
 
 
+_NAME = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
+
+
 def _fingerprint(s: np.ndarray) -> int:
     """64-bit name of a set; does not depend on order."""
     if not len(s):
         return 0
-    a, b = s.sum(dtype=np.uint64), np.bitwise_xor.reduce(mix64(s + np.uint64(0x51ED27)))
-    return int(mix64(np.array([a ^ (b * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(len(s))]))[0].astype(np.int64))
+    parts = np.array([s.sum(dtype=np.uint64), np.bitwise_xor.reduce(mix64(s + np.uint64(0x51ED27))), len(s)], np.uint64)
+    return int(np.bitwise_xor.reduce(mix64(parts * _NAME)).astype(np.int64))
+
+
+def _pack(p: np.ndarray) -> bytes:
+    """A point as bytes: 2 a coordinate, or 4 if a count needs them."""
+    return p.astype(np.uint16 if p.max() < 1 << 16 else np.int32).tobytes()
+
+
+def _unpack(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, np.uint16 if len(raw) == 2 * groups_for(n) else np.int32).astype(np.int32)
 
 
 def _cell(s: np.ndarray) -> np.ndarray:
@@ -57,25 +70,28 @@ def _cell(s: np.ndarray) -> np.ndarray:
 
 
 def _profile(batches: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
-    """Rows (doc_id, t, v, n, -1, null) per text, then the task's frequency table in chunks."""
+    """A row per text (the count vector once per class and task), then the task's frequency table in chunks."""
     hasher, load, seen = SpanHasher(), np.zeros(CELLS, np.int32), set()
     for pdf in batches:
-        vs, ns = [], []
+        vs, ns, points = [], [], []
         for text in pdf["text"]:
             s = _shingle_set(hasher, text, k)
             v = _fingerprint(s)
+            packed = None
             if v not in seen:
                 seen.add(v)
                 np.add.at(load, _cell(s), 1)
+                packed = _pack(point(s))
             vs.append(v)
             ns.append(len(s))
+            points.append(packed)
         yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "t": pdf["t"].astype("Int64"), "v": vs, "n": ns,
-                            "chunk": -1, "load": None})
+                            "counts": points, "chunk": -1, "load": None})
     for c in range(0, CELLS, _CHUNK):
         part = load[c:c + _CHUNK]
         if part.any():
             yield pd.DataFrame({"doc_id": pd.array([None], "Int64"), "t": pd.array([None], "Int64"), "v": [0],
-                                "n": [0], "chunk": [c // _CHUNK], "load": [part.tobytes()]})
+                                "n": [0], "counts": [None], "chunk": [c // _CHUNK], "load": [part.tobytes()]})
 
 
 def _sum_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -109,49 +125,78 @@ def _prefixes(batches: Iterator[pd.DataFrame], k: int, num: int, den: int, load:
             yield pd.DataFrame({"k": np.concatenate(keys), "v": np.concatenate(names)})
 
 
-def _stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Star edges (u, v) of the runs of equal ``k``: rows come sorted by (k, v)."""
-    last_k = leader = None
-    seen: set[tuple[int, int]] = set()
+def _units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(cut, vs): the classes of each run of equal ``k``; rows come sorted by (k, v).
+
+    ``cut`` is 0, or for runs beyond ``RUN_SETS`` the length of the first of
+    two pieces whose cross pairs the unit stands for.  A unit already given by
+    this task is not repeated while it is remembered.
+    """
+    seen: set[bytes] = set()
+    cuts: list[int] = []
+    units: list[np.ndarray] = []
+
+    def add(cut: int, vs: np.ndarray) -> None:
+        mark = vs.tobytes() + bytes(cut > 0)
+        if mark not in seen:
+            seen.add(mark)
+            cuts.append(cut)
+            units.append(vs)
+
+    def run(vs: np.ndarray) -> None:
+        if len(vs) <= RUN_SETS:
+            if len(vs) > 1:
+                add(0, vs)
+            return
+        pieces = [vs[i:i + RUN_SETS] for i in range(0, len(vs), RUN_SETS)]
+        for i, left in enumerate(pieces):
+            add(0, left)
+            for right in pieces[i + 1:]:
+                add(len(left), np.concatenate((left, right)))
+
+    open_k, open_vs = None, []  # the run that may go on in the next batch
     for pdf in batches:
         k, v = pdf["k"].to_numpy(), pdf["v"].to_numpy()
         if not len(k):
             continue
-        new = np.concatenate(([True], k[1:] != k[:-1]))
-        if last_k is not None and k[0] == last_k:
-            new[0] = False
-        start = np.maximum.accumulate(np.where(new, np.arange(len(k)), -1))
-        lead = np.where(start >= 0, v[start], leader if leader is not None else v[0])
-        last_k, leader = k[-1], lead[-1]
-        far = lead != v
-        edges = set(zip(lead[far].tolist(), v[far].tolist())) - seen
-        if len(seen) > 500_000:
-            seen.clear()
-        seen |= edges
-        if edges:
-            yield pd.DataFrame(list(edges), columns=["u", "v"])
-
-
-def _groups(batches: Iterator[pd.DataFrame], by: list[str]) -> Iterator[tuple[tuple, list[tuple]]]:
-    """(key, rows) of the runs of equal ``by``; rows come sorted by it and runs may span batches."""
-    rows = itertools.chain.from_iterable(
-        zip(zip(*[pdf[c].tolist() for c in by]), pdf.itertuples(index=False, name=None)) for pdf in batches)
-    for key, run in itertools.groupby(rows, key=lambda r: r[0]):
-        yield key, [r[1] for r in run]
-
-
-class _Union:
-    def __init__(self, n: int) -> None:
-        self.up = list(range(n))
-
-    def find(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = i = self.up[self.up[i]]
-        return i
-
-    def join(self, i: int, j: int) -> None:
-        i, j = self.find(i), self.find(j)
-        self.up[max(i, j)] = min(i, j)
+        new = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
+        ends = np.append(new[1:], len(k))
+        for a, b in zip(new[(ends - new > 1) | (new == 0) | (ends == len(k))].tolist(),
+                        ends[(ends - new > 1) | (new == 0) | (ends == len(k))].tolist()):
+            if k[a] != open_k:
+                if open_vs:
+                    run(np.unique(np.concatenate(open_vs)))
+                open_k, open_vs = k[a], []
+            open_vs.append(v[a:b])
+        if units:
+            yield pd.DataFrame({"cut": cuts, "vs": units})
+            cuts, units = [], []
+            if len(seen) > 300_000:
+                seen.clear()
+    if open_vs:
+        run(np.unique(np.concatenate(open_vs)))
+    if units:
+        yield pd.DataFrame({"cut": cuts, "vs": units})
+
+
+def _candidate_edges(batches: Iterator[pd.DataFrame], num: int, den: int) -> Iterator[pd.DataFrame]:
+    """Spanning edges (u, v) of the pairs of each unit that its R-tree cannot rule out."""
+    for pdf in batches:
+        us, vs = [], []
+        for cut, points in zip(pdf["cut"], pdf["points"]):
+            points = sorted({p["v"]: p for p in points}.values(), key=lambda p: p["pos"])
+            names = np.array([p["v"] for p in points])
+            sizes = np.array([p["n"] for p in points])
+            side = np.array([p["pos"] >= cut > 0 for p in points])
+            label = np.arange(len(names))
+            for i, near in candidate_lists([_unpack(p["counts"], p["n"]) for p in points], sizes, num, den):
+                if merge_labels(label, np.append(near[side[near] != side[i]] if cut else near, i)):
+                    break
+            far = names[label] != names
+            us.append(names[label][far])
+            vs.append(names[far])
+        if us:
+            yield pd.DataFrame({"u": np.concatenate(us), "v": np.concatenate(vs)})
 
 
 def link_sets(sets: list[np.ndarray], side: list[int] | None, num: int, den: int) -> list[int]:
@@ -160,45 +205,34 @@ def link_sets(sets: list[np.ndarray], side: list[int] | None, num: int, den: int
     With ``side``, only pairs of different sides are compared.  Candidates come
     from an R-tree over group counts; a pair already connected is not compared.
     """
-    m, union = len(sets), _Union(len(sets))
+    m, label = len(sets), np.arange(len(sets))
     sizes = np.array([len(s) for s in sets])
-    counts = np.stack([np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS) for s in sets])
-    tree = CountRTree(counts, sizes)
     side = np.zeros(m, int) if side is None else np.array(side)
     cross = bool(side.any())
-    # Inverted index of the block: shingle -> members, for queries with many candidates.
-    index = None
-    for i in range(m):
-        near = tree.candidates(counts[i], sizes[i], num, den)
-        near = near[(near < i) & ((side[near] != side[i]) if cross else True)]
-        mine = union.find(i)
-        near = [j for j in near.tolist() if union.find(j) != mine]
+    index = None  # inverted index of the block, shingle -> members, for sets with many candidates
+    for i, near in candidate_lists([point(s) for s in sets], sizes, num, den):
+        near = near[(label[near] != label[i]) & ((side[near] != side[i]) if cross else True)]
         if len(near) > 8:
             if index is None:
                 flat = np.concatenate(sets)
-                owner = np.repeat(np.arange(m), sizes)
                 order = np.argsort(flat, kind="stable")
-                index = flat[order], owner[order]
+                index = flat[order], np.repeat(np.arange(m), sizes)[order]
             lo = np.searchsorted(index[0], sets[i], "left")
-            hi = np.searchsorted(index[0], sets[i], "right")
-            spans = hi - lo
-            at = np.repeat(lo - np.concatenate(([0], np.cumsum(spans)[:-1])), spans) + np.arange(spans.sum())
-            shared = np.bincount(index[1][at], minlength=m)
-            for j in near:
-                if den * shared[j] >= num * (sizes[i] + sizes[j] - shared[j]):
-                    union.join(i, j)
+            spans = np.searchsorted(index[0], sets[i], "right") - lo
+            at = np.repeat(lo - (np.cumsum(spans) - spans), spans) + np.arange(spans.sum())
+            shared = np.bincount(index[1][at], minlength=m)[near]
         else:
-            for j in near:
-                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if den * both >= num * (sizes[i] + sizes[j] - both) and union.find(j) != union.find(i):
-                    union.join(i, j)
-    return [union.find(i) for i in range(m)]
+            shared = np.array([len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for j in near], int)
+        linked = near[den * shared >= num * (sizes[i] + sizes[near] - shared)]
+        if len(linked) and merge_labels(label, np.append(linked, i)):
+            break
+    return label.tolist()
 
 
 def _verify(batches: Iterator[pd.DataFrame], k: int, num: int, den: int) -> Iterator[pd.DataFrame]:
     """Spanning edges of the links of each block pair."""
     hasher, us, vs = SpanHasher(), [], []
-    for (_, i, j), rows in _groups(batches, ["cluster", "bi", "bj"]):
+    for (_, i, j), rows in runs_of(batches, ["cluster", "bi", "bj"]):
         texts = {r[3]: (r[4], r[5]) for r in rows}  # one text per class
         names = sorted(texts)
         sets = [_shingle_set(hasher, texts[v][1], k) for v in names]
@@ -223,7 +257,7 @@ def components(docs: DataFrame, *, k: int = 5, num: int = 75, den: int = 100) ->
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"), F.xxhash64("text").alias("t"))
     profile = materialize(docs.mapInPandas(
-        lambda it: _profile(it, k), "doc_id bigint, t bigint, v bigint, n bigint, chunk int, load binary"),
+        lambda it: _profile(it, k), "doc_id bigint, t bigint, v bigint, n bigint, counts binary, chunk int, load binary"),
         "jaccard_profile")
     texts = profile.where("chunk = -1").select("doc_id", "t", "v", "n")
 
@@ -236,8 +270,15 @@ def components(docs: DataFrame, *, k: int = 5, num: int = 75, den: int = 100) ->
 
     runs = (docs.select("text").mapInPandas(lambda it: _prefixes(it, k, num, den, held.value), "k bigint, v bigint")
             .repartition("k").sortWithinPartitions("k", "v"))
-    stars = materialize(runs.mapInPandas(_stars, "u bigint, v bigint").distinct(), "jaccard_stars")
-    clusters = connected_components(stars, "jaccard_cluster")
+    points = (profile.where("counts IS NOT NULL AND n > 0").groupBy(F.col("v").alias("_v"))
+              .agg(F.max("n").alias("n"), F.max("counts").alias("counts")))
+    units = runs.mapInPandas(_units, "cut int, vs array<bigint>").distinct()
+    placed = (units.select(F.xxhash64("vs", "cut").alias("unit"), "cut", F.posexplode("vs").alias("pos", "v"))
+              .join(points, F.col("v") == F.col("_v")))
+    treed = placed.groupBy("unit", "cut").agg(F.collect_list(F.struct("pos", "v", "n", "counts")).alias("points"))
+    near = materialize(treed.select("cut", "points").mapInPandas(
+        lambda it: _candidate_edges(it, num, den), "u bigint, v bigint").distinct(), "jaccard_near")
+    clusters = connected_components(near, "jaccard_cluster")
 
     # One text per class in a cluster; texts come back by (doc_id, text hash).
     classes = (texts.where("n > 0").groupBy("v").agg(F.min("doc_id").alias("doc_id"),
