@@ -95,7 +95,7 @@ def connected_components(edges: DataFrame, name: str) -> DataFrame:
     Alternating large-star / small-star rounds: each is a grouped minimum and a
     join, both partitioned on the node, and each round's edges are written to
     the shared folder, which cuts the lineage and survives lost executors.
-    Only two aggregate numbers per round reach the driver.
+    One number per round reaches the driver.
     """
     spark = edges.sparkSession
 
@@ -112,17 +112,16 @@ def connected_components(edges: DataFrame, name: str) -> DataFrame:
                 low.select("c", "m"))
         return out.where("u <> v").distinct()
 
-    def state(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+    def unfinished(e: DataFrame) -> int:
+        """Nodes with two parents, or with a parent and children: 0 if every component is a star."""
+        ends = e.select(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+            e.select("v", F.lit(0), F.lit(1)))
+        return ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up + down > 1").count()
 
     kept: list[str] = []
-    cur = materialize(edges.where("u <> v").distinct(), f"{name}_e", kept)
-    seen = None
-    while True:
-        now = state(cur)
-        if now == seen or now[0] == 0:
-            break
-        seen = now
+    cur = materialize(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+                      .distinct(), f"{name}_e", kept)
+    while unfinished(cur):
         cur = materialize(star(star(cur, True), False), f"{name}_e", kept)
         if len(kept) > 2:
             delete_path(spark, kept.pop(0))

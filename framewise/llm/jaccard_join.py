@@ -30,6 +30,8 @@ from framewise.llm.count_rtree import candidate_lists, groups_for, point
 #: Cells of the shingle frequency table: 4 MB of counters whatever the corpus.
 CELLS = 1 << 20
 _CHUNK = 1 << 14
+#: Bits of the filter over the hashes of texts in clusters: 1 MB.
+BITMAP = 1 << 23
 #: Members and shingles of one block of a large cluster.
 BLOCK_SETS, BLOCK_SHINGLES = 2000, 1_000_000
 #: Classes of one unit; longer runs become pairs of pieces.
@@ -286,11 +288,24 @@ def components(docs: DataFrame, *, k: int = 5, num: int = 75, den: int = 100) ->
     members = materialize(classes.join(clusters, classes.v == clusters.node).select(
         F.col("component").alias("cluster"), "v", "n", F.col("doc_id").alias("d"), F.col("t").alias("h")),
         "jaccard_members")
+    # Only texts that may be members are shuffled: a fixed-size bitmap of text hashes sorts out most others.
+    word, bit = F.pmod("h", F.lit(BITMAP)), F.expr("shiftleft(1L, int(pmod(h, 64)))")
+    bits = np.zeros(BITMAP // 64, np.int64)
+    for r in members.groupBy(F.shiftright(word, 6).alias("w")).agg(F.bit_or(bit).alias("b")).collect():
+        bits[r.w] = r.b
+    marked = docs.sparkSession.sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def maybe_member(hashes: pd.Series) -> pd.Series:
+        h = hashes.to_numpy(np.int64)
+        return pd.Series((marked.value[(h % BITMAP) >> 6] >> (h % 64)) & 1 == 1)
+
+    wanted = docs.where("text IS NOT NULL").where(maybe_member("t"))
     sizes = members.groupBy("cluster").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"))
     blocks = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     own, other = F.pmod(F.col("v"), F.col("nb")).cast("int"), F.col("other")
     dealt = (members.join(sizes.select(F.col("cluster").alias("c"), blocks.alias("nb")), F.col("cluster") == F.col("c"))
-             .join(docs, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("t")))
+             .join(wanted, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("t")))
              .select("cluster", "v", own.alias("own"), "text",
                      F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("other"))
              .select("cluster", F.least("own", other).alias("bi"), F.greatest("own", other).alias("bj"), "v", "own", "text"))
