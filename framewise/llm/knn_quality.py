@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-TERMS = 4096
+TERMS = 2048
 #: Documents per matrix product: bounds a task's score matrix.
 BLOCK = 256
 
@@ -36,7 +36,7 @@ def term_vector(text: str | None) -> np.ndarray:
     b = np.frombuffer(b" " + data + b" ", np.uint8).astype(np.uint32)
     h = (b[:-2] * np.uint32(0x9E3779B1)) + (b[1:-1] * np.uint32(0x85EBCA77)) + (b[2:] * np.uint32(0xC2B2AE3D))
     h = (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
-    out[:TERMS] = np.bincount(h >> np.uint32(20), minlength=TERMS)
+    out[:TERMS] = np.bincount(h >> np.uint32(21), minlength=TERMS)
     words = data.split()
     out[TERMS] = 4 * sum(map(operator.eq, words, words[1:]))
     np.sqrt(out, out=out)
@@ -75,7 +75,7 @@ class Voter:
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", learn: Column | None = None,
-        max_exemplars: int = 4000, dims: int = 64, k: int = 7, power: int = 4) -> Voter:
+        max_exemplars: int = 3000, dims: int = 64, k: int = 7, power: int = 4) -> Voter:
     """Fit the space and keep the labelled vectors of at most ``max_exemplars`` documents.
 
     That bound (the exemplars with the least id hashes among the rows that
@@ -86,21 +86,24 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", learn: Co
     marks = labels.where(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).alias("_y")).dropna()
     if learn is not None:
         marks = marks.where(learn)
-    picked = (docs.select("doc_id", "text").where("text <> ''").join(marks, "doc_id")
-              .select("doc_id", "text", "_y").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(max_exemplars))
+    found = docs.select("doc_id", "text").where("text <> ''").join(marks, "doc_id")
+    h = F.xxhash64("doc_id")
+    cut = found.select(h.alias("h")).orderBy("h").limit(max_exemplars).agg(F.max("h")).first()[0]
 
-    @F.pandas_udf("array<float>")
+    @F.pandas_udf("binary")
     def terms_of(texts: pd.Series) -> pd.Series:
-        return texts.map(term_vector)
+        return texts.map(lambda t: term_vector(t).tobytes())
 
-    rows = picked.select(F.col("_y").cast("int").alias("y"), terms_of("text").alias("x")).toPandas()
-    if rows.empty:
+    rows = (found.where(h <= F.lit(cut)).select(F.col("_y").cast("int").alias("y"), terms_of("text").alias("x"))
+            .orderBy("y", "x").limit(max_exemplars).collect())
+    if not rows:
         return Voter(np.zeros(TERMS + 1, np.float32), np.zeros((TERMS + 1, 1), np.float32),
                      np.zeros((0, 1), np.float32), np.zeros(0), 0.5, k, power)
-    x = np.stack(rows.x.to_numpy()).astype(np.float32)
-    y = rows.y.to_numpy(float)
-    mean = x.mean(0)
-    a = x - mean
+    y = np.array([r.y for r in rows], float)
+    a = np.stack([np.frombuffer(r.x, np.float32) for r in rows])
+    del rows
+    mean = a.mean(0)
+    a -= mean
     # Truncated SVD by subspace iteration: only tall, thin products.
     rng = np.random.default_rng(11)
     q = rng.standard_normal((a.shape[1], dims + 16)).astype(np.float32)
