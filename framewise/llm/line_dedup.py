@@ -33,14 +33,12 @@ def _lines(docs: DataFrame, site: str, min_words: int) -> DataFrame:
             .select("doc_id", "t", "pos", "site", F.xxhash64("line").alias("h1"), F.hash(F.lit(7), "line").alias("h2")))
 
 
-def boilerplate_lines(docs: DataFrame, *, site: str = "source", min_sites: int = 10,
-                      min_words: int = 5, lg_k: int = 12) -> DataFrame:
-    """(h1, h2, n_sites, owner): hashes of the lines on at least ``min_sites`` sites.
+def boilerplate_lines(lines: DataFrame, *, min_sites: int = 10, lg_k: int = 12) -> DataFrame:
+    """(h1, h2, n_sites, owner): hashes of the ``lines`` on at least ``min_sites`` sites.
 
     ``n_sites`` is the estimate, or the exact count near the threshold;
     ``owner`` is the least doc_id holding the line.  Null sites are no site.
     """
-    lines = _lines(docs, site, min_words)
     key = ["h1", "h2"]
     spread = lines.groupBy(*key).agg(
         F.count("*").alias("n"), F.min("doc_id").alias("owner"),
@@ -70,9 +68,8 @@ def remove_boilerplate(docs: DataFrame, *, site: str = "source", min_sites: int
     have no lines.  Rows that repeat an id and a text get the same result; rows
     of null id own nothing and lose every boilerplate line.
     """
-    bad = materialize(boilerplate_lines(docs, site=site, min_sites=min_sites, min_words=min_words, lg_k=lg_k),
-                      "line_bad")
-    lines = _lines(docs, site, min_words).select("doc_id", "t", "pos", "h1", "h2")
+    lines = materialize(_lines(docs, site, min_words), "line_hashes")  # the texts are split once
+    bad = materialize(boilerplate_lines(lines, min_sites=min_sites, lg_k=lg_k), "line_bad")
     # Positions to take out per text: at most one row per document line.
     gone = (lines.join(bad, ["h1", "h2"])
             .where(~F.col("doc_id").eqNullSafe(F.col("owner")))
