@@ -111,8 +111,11 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *,
         top = counted.where(lift > 0).orderBy(chi.desc(), "w").select("w").limit(words_per_category)
         words.update(r.w for r in top.collect())
     vocabulary = {w: i for i, w in enumerate(sorted(words))}
-    rows = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows).select(
-        "doc_id", *yc, F.filter("_w", lambda w: w.isin(*words) if words else F.lit(False)).alias("_w")).collect()
+    # The fit's rows: those up to the max_rows-th least id hash, and only their vocabulary words.
+    h = F.xxhash64("doc_id")
+    cut = marked.select(h.alias("h")).orderBy("h").limit(max_rows).agg(F.max("h")).first()[0]
+    rows = marked.where(h <= F.lit(cut)).orderBy(h).select(
+        *yc, F.filter("_w", lambda w: w.isin(*words) if words else F.lit(False)).alias("_w")).collect()
     x = np.zeros((len(rows), len(vocabulary)))
     for i, r in enumerate(rows):
         x[i, [vocabulary[w] for w in r["_w"] if w in vocabulary]] = 1.0
