@@ -83,19 +83,21 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *,
     """Train the chain on ``docs`` (doc_id, text) and ``labels`` (doc_id and what ``categories`` read).
 
     ``categories`` maps names, in chain order, to boolean expressions over
-    ``labels``.  The vocabulary comes from document counts over *all* labelled
-    documents (the words of highest chi-square with each category); the linear
-    models are fitted on at most ``max_rows`` labelled documents, chosen by
-    the hash of the id.  Null labels, ids and texts are left out; of several
-    labels for one id a true one wins; without any label the vocabulary is
-    empty and every probability is 0.5.
+    ``labels``.  The fit sees at most ``max_rows`` labelled ids (those of least
+    hash): its vocabulary is the words of highest chi-square with each category,
+    from document counts, and its models are ridge logistic regressions.  Null
+    labels, ids and texts are left out; of several labels for one id a true one
+    wins; without any label the vocabulary is empty and every probability 0.5.
     """
     names = list(categories)
     y = [F.max(c.cast("int")).alias(f"_y{i}") for i, c in enumerate(categories.values())]
     marks = labels.groupBy("doc_id").agg(*y).dropna()
     yc = [f"_y{i}" for i in range(len(names))]
+    # The labelled ids up to the max_rows-th least hash: a bounded side, so the texts are not shuffled.
+    h = F.xxhash64("doc_id")
+    cut = marks.select(h.alias("h")).orderBy("h").limit(max_rows).agg(F.max("h")).first()[0]
     tokens = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0)))
-    marked = materialize(docs.select("doc_id", "text").dropna().join(marks, "doc_id")
+    marked = materialize(docs.select("doc_id", "text").dropna().join(F.broadcast(marks.where(h <= F.lit(cut))), "doc_id")
                          .select("doc_id", *yc, tokens.alias("_w")), "toxicity_train")
     total = marked.agg(F.count("*"), *[F.sum(c) for c in yc]).first()
     n, pos = total[0], [t or 0 for t in total[1:]]
@@ -111,11 +113,8 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *,
         top = counted.where(lift > 0).orderBy(chi.desc(), "w").select("w").limit(words_per_category)
         words.update(r.w for r in top.collect())
     vocabulary = {w: i for i, w in enumerate(sorted(words))}
-    # The fit's rows: those up to the max_rows-th least id hash, and only their vocabulary words.
-    h = F.xxhash64("doc_id")
-    cut = marked.select(h.alias("h")).orderBy("h").limit(max_rows).agg(F.max("h")).first()[0]
-    rows = marked.where(h <= F.lit(cut)).orderBy(h).select(
-        *yc, F.filter("_w", lambda w: w.isin(*words) if words else F.lit(False)).alias("_w")).collect()
+    rows = marked.select("doc_id", *yc, F.filter("_w", lambda w: w.isin(*words) if words else F.lit(False)).alias("_w"))
+    rows = rows.orderBy(h, "doc_id").collect()
     x = np.zeros((len(rows), len(vocabulary)))
     for i, r in enumerate(rows):
         x[i, [vocabulary[w] for w in r["_w"] if w in vocabulary]] = 1.0
