@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 _UNITS = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
 #: Keys that the occurrences of a word take in turn, starting at one of the document's own.
-VARIANTS = 4
+VARIANTS = 2
 #: Remembered words per key, and the length from which a word is not remembered.
-REMEMBERED, LONG = 80_000, 48
+REMEMBERED, LONG = 150_000, 48
 
 
 @dataclass(frozen=True)
@@ -60,18 +60,64 @@ class PieceTable:
         return cls(merges, byte_ids, spelt, by_words)
 
 
+_NONE = float("inf")
+
+
+def _hash(key: int, left: int, right: int, size: int) -> int:
+    """32-bit keyed hash of a candidate merge: the places of its two sides and its length."""
+    x = (key + left * 0xC2B2AE35 + right * 0x27D4EB2F + size * 0x165667B1) & 0xFFFFFFFF
+    x = ((x ^ (x >> 15)) * 0x2C1B3C6D) & 0xFFFFFFFF
+    x = ((x ^ (x >> 12)) * 0x297A2D39) & 0xFFFFFFFF
+    return x ^ (x >> 15)
+
+
 class Encoder:
     def __init__(self, table: PieceTable, alpha: float, seed: int) -> None:
         self.table, self.limit, self.seed = table, int(alpha * (1 << 32)), seed
+        self.rank = {p: -score for p, (score, _) in table.merges.items()}
         self.known: list[dict[str, tuple]] = [{} for _ in range(VARIANTS)]
 
     def segment(self, unit: str, variant: int) -> list[int]:
         """Piece ids of one unit by agenda processing."""
+        key = zlib.crc32(unit.encode(), (self.seed * 0x9E3779B1 + variant * 0x85EBCA6B) & 0xFFFFFFFF)
+        symbols = self._short(unit, key) if len(unit) < LONG else self._long(unit, key)
+        out: list[int] = []
+        for s in symbols:
+            found = self.table.merges.get(s)
+            if found:
+                out.append(found[1])
+            else:
+                out.extend(self.table.byte_ids[b] for b in s.encode())
+        return out
+
+    def _short(self, unit: str, key: int) -> list[str]:
+        """Symbols of a short unit: the agenda is a plain list, one place per adjacent pair."""
+        rank, limit = self.rank.get, self.limit
+        symbols, starts = list(unit), list(range(len(unit)))
+        agenda = [rank(a + b, _NONE) for a, b in zip(symbols, symbols[1:])]
+        while agenda:
+            best = min(agenda)
+            if best == _NONE:
+                break
+            i = agenda.index(best)
+            both = symbols[i] + symbols[i + 1]
+            if limit and _hash(key, starts[i], starts[i + 1], len(both)) < limit:
+                agenda[i] = _NONE
+                continue
+            symbols[i] = both
+            del symbols[i + 1], starts[i + 1], agenda[i]
+            if i < len(agenda):
+                agenda[i] = rank(both + symbols[i + 1], _NONE)
+            if i:
+                agenda[i - 1] = rank(symbols[i - 1] + both, _NONE)
+        return symbols
+
+    def _long(self, unit: str, key: int) -> list[str]:
+        """The same for a long unit, with a heap as agenda."""
         merges, limit = self.table.merges, self.limit
         symbols = list(unit)
         n = len(symbols)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        key = zlib.crc32(unit.encode(), (self.seed * 0x9E3779B1 + variant * 0x85EBCA6B) & 0xFFFFFFFF)
         agenda: list[tuple] = []
 
         def offer(left: int, right: int) -> None:
@@ -87,12 +133,8 @@ class Encoder:
             _, left, right, size = heapq.heappop(agenda)
             if not symbols[left] or not symbols[right] or len(symbols[left]) + len(symbols[right]) != size:
                 continue  # one side has merged with something else meanwhile
-            if limit:
-                x = (key + left * 0xC2B2AE35 + right * 0x27D4EB2F + size * 0x165667B1) & 0xFFFFFFFF
-                x = ((x ^ (x >> 15)) * 0x2C1B3C6D) & 0xFFFFFFFF
-                x = ((x ^ (x >> 12)) * 0x297A2D39) & 0xFFFFFFFF
-                if x ^ (x >> 15) < limit:
-                    continue
+            if limit and _hash(key, left, right, size) < limit:
+                continue
             symbols[left] += symbols[right]
             symbols[right] = ""
             nxt = after[left] = after[right]
@@ -104,15 +146,7 @@ class Encoder:
                     found = merges.get(both)
                     if found:
                         heapq.heappush(agenda, (-found[0], a, b, len(both)))
-        out: list[int] = []
-        for s in symbols:
-            if s:
-                found = merges.get(s)
-                if found:
-                    out.append(found[1])
-                else:
-                    out.extend(self.table.byte_ids[b] for b in s.encode())
-        return out
+        return [s for s in symbols if s]
 
     def _pieces(self, marked: str, start: int) -> list[int]:
         units = _UNITS.findall(marked) if self.table.by_words else [marked]
