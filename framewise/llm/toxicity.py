@@ -79,13 +79,14 @@ def _fit_chain(words: np.ndarray, labels: np.ndarray, folds: np.ndarray, l2: flo
 
 def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *,
         max_rows: int = 8000, words_per_category: int = 160, min_docs: int = 3,
-        folds: int = 3, l2: float = 0.3) -> ChainModel:
+        min_chi: float = 25.0, folds: int = 3, l2: float = 0.3) -> ChainModel:
     """Train the chain on ``docs`` (doc_id, text) and ``labels`` (doc_id and what ``categories`` read).
 
     ``categories`` maps names, in chain order, to boolean expressions over
     ``labels``.  The fit sees at most ``max_rows`` labelled ids (those of least
     hash): its vocabulary is the words of highest chi-square with each category,
-    from document counts, and its models are ridge logistic regressions.  Null
+    from document counts, ``min_chi`` at least (words that differ by chance only
+    would add up in very long texts), and its models are ridge logistic regressions.  Null
     labels, ids and texts are left out; of several labels for one id a true one
     wins; without any label the vocabulary is empty and every probability 0.5.
     """
@@ -109,8 +110,8 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *,
             continue
         a, df = F.col(c), F.col("df")
         lift = a / p - (df - a) / (n - p)
-        chi = lift * lift * n / (df / n * (1 - df / n) + 1.0 / n)
-        top = counted.where(lift > 0).orderBy(chi.desc(), "w").select("w").limit(words_per_category)
+        chi = lift * lift / (df / n * (1 - df / n) + 1.0 / n) * p * (n - p) / n
+        top = counted.where((lift > 0) & (chi >= min_chi)).orderBy(chi.desc(), "w").select("w").limit(words_per_category)
         words.update(r.w for r in top.collect())
     vocabulary = {w: i for i, w in enumerate(sorted(words))}
     rows = marked.select("doc_id", *yc, F.filter("_w", lambda w: w.isin(*words) if words else F.lit(False)).alias("_w"))
