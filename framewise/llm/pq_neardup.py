@@ -12,6 +12,7 @@ at the threshold is lost; a fitted sample only decides how much is pruned.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -158,8 +159,8 @@ def near_duplicates(vectors: DataFrame, *, cosine: float = 0.98, sample: int = 2
 
     Vectors link when their labels are equal and their cosine is at least
     ``cosine``.  Null, zero and empty vectors, vectors with null or non-finite
-    components, null labels, and vectors whose length differs from the least
-    common one of the sample link with nothing.  Equal vectors of a label are
+    components, null labels, and vectors whose length is not the sample's most
+    common one link with nothing.  Equal vectors of a label are
     one class, searched once; every copy counts as a link.  Repeated rows are
     copies too, a null vec_id names a component only where there is no other.
     The quantiser is fitted on at most ``sample`` classes (least hashes first)
@@ -181,7 +182,7 @@ def near_duplicates(vectors: DataFrame, *, cosine: float = 0.98, sample: int = 2
 
     total = classes.count()
     picked = [r.embedding for r in classes.orderBy("node").limit(sample).select("embedding").collect()]
-    dims = min((len(p) for p in picked), default=0)
+    dims = max(Counter(map(len, picked)).items(), key=lambda c: (c[1], c[0]), default=(0, 0))[0]
     links = None
     if total > 1:
         fit = _unit([p for p in picked if len(p) == dims])
