@@ -186,13 +186,17 @@ def decode_ids(table: PieceTable, ids) -> str:
     return raw.decode("utf-8", "replace")[1:]
 
 
+def _key(column: str) -> Column:
+    return F.pmod(F.xxhash64(F.col(column)), F.lit(1 << 20))
+
+
 def encode(docs: DataFrame, table: PieceTable, *, text: str = "text", key: str = "doc_id", alpha: float = 0.1,
            seed: int = 1, to: str = "token_ids") -> DataFrame:
     """``docs`` with the array column ``to``: piece ids, the same for the same seed, key and text.
 
     ``alpha`` is the share of candidate merges that are skipped (0: the plain
     segmentation).  Null texts get null, empty texts an empty array; a null key
-    counts as 0; a column named ``to`` is replaced.  No shuffle: the table (the
+    is a key like others; a column named ``to`` is replaced.  No shuffle: the table (the
     vocabulary's size) is broadcast.
     """
     held = docs.sparkSession.sparkContext.broadcast(table)
@@ -206,8 +210,7 @@ def encode(docs: DataFrame, table: PieceTable, *, text: str = "text", key: str =
         return pd.Series([None if t is None else np.array(e.encode(t, int(k)), np.int32) for t, k in zip(texts, keys)],
                          dtype=object)
 
-    keyed: Column = F.coalesce(F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 20)), F.lit(0))
-    return docs.withColumn(to, run.asNondeterministic()(F.col(text), keyed))
+    return docs.withColumn(to, run.asNondeterministic()(F.col(text), _key(key)))
 
 
 def decode(docs: DataFrame, table: PieceTable, *, ids: str = "token_ids", to: str = "decoded") -> DataFrame:
@@ -223,7 +226,23 @@ def decode(docs: DataFrame, table: PieceTable, *, ids: str = "token_ids", to: st
 
 
 def tokenized(docs: DataFrame, table: PieceTable, **kw) -> DataFrame:
-    """One row per document: doc_id, n_tokens, token_ids, lossless (whether decoding gives the text back)."""
-    coded = decode(encode(docs.select("doc_id", "text"), table, **kw), table)
-    return coded.select("doc_id", F.coalesce(F.size("token_ids"), F.lit(0)).cast("bigint").alias("n_tokens"),
-                        "token_ids", F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+    """One row per document: doc_id, n_tokens, token_ids, lossless (whether decoding gives the text back).
+
+    ``encode`` and ``decode`` of each text in one pass; ``alpha`` and ``seed`` as there.
+    """
+    alpha, seed = kw.get("alpha", 0.1), kw.get("seed", 1)
+    held = docs.sparkSession.sparkContext.broadcast(table)
+    encoders: list[Encoder] = []
+
+    @F.pandas_udf("struct<token_ids:array<int>, lossless:boolean>")
+    def run(texts: pd.Series, keys: pd.Series) -> pd.DataFrame:
+        if not encoders:
+            encoders.append(Encoder(held.value, alpha, seed))
+        ids = [None if t is None else encoders[0].encode(t, int(k)) for t, k in zip(texts, keys)]
+        back = [None if i is None else decode_ids(held.value, i) if i else "" for i in ids]
+        return pd.DataFrame({"token_ids": [None if i is None else np.array(i, np.int32) for i in ids],
+                             "lossless": [b == t for b, t in zip(back, texts)]})
+
+    coded = docs.select("doc_id", run.asNondeterministic()(F.col("text"), _key("doc_id")).alias("_c"))
+    return coded.select("doc_id", F.coalesce(F.size("_c.token_ids"), F.lit(0)).cast("bigint").alias("n_tokens"),
+                        F.col("_c.token_ids").alias("token_ids"), F.col("_c.lossless").alias("lossless"))
