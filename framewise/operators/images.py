@@ -23,11 +23,11 @@ def image_key(video, frame, ext: str = ".jpg"):
 
 
 def parse_image_key(name_col="filename") -> list:
-    """``video``, ``frame`` ints parsed back out of a key or path."""
+    """``video``, ``frame`` ints parsed back out of a key or path; null for other names."""
     name = basename(name_col) if isinstance(name_col, str) else name_col
     pat = r"C_(\d+)_(\d+)"
-    return [F.regexp_extract(name, pat, 1).cast("long").alias("video"),
-            F.regexp_extract(name, pat, 2).cast("long").alias("frame")]
+    return [F.regexp_extract(name, pat, 1).try_cast("long").alias("video"),
+            F.regexp_extract(name, pat, 2).try_cast("long").alias("frame")]
 
 
 def image_manifest(videos: DataFrame, frames_per_video: int = FRAMES_PER_VIDEO,

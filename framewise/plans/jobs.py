@@ -66,7 +66,7 @@ def _analyse(spark, records, out, n_frames, unique_ids, parallel_writes, tmp) ->
     }
     for name, df in reports.items():
         writes[name] = (lambda n, d: lambda: SK.sink_csv(d, f"{out}/report/{n}",
-                                                         single_file=n != "frame_level_data"))(name, df)
+                                                         single_file=n not in ("frame_level_data", "sequence_level_data")))(name, df)
     charts = {
         "crash_histogram": R.crash_histogram(flagged),
         "anomalies_by_time": R.anomalies_by_time(flagged),
@@ -98,13 +98,13 @@ def clean_job(spark: SparkSession, source: DataFrame | str, out_path: str) -> st
     return SK.sink_parquet(C.clean_records(df), out_path)
 
 
-def ingest_job(spark: SparkSession, src: str, table_path: str, glob: str = "*.png") -> str:
+def ingest_job(spark: SparkSession, src: str, table_path: str, glob: str = "*") -> str:
     """J3: image folder → image table (append; re-runs skip stored filenames)."""
     return SI.ingest_images(spark, src, table_path, glob, skip_existing=True)
 
 
 def feature_job(spark: SparkSession, folder: str, out_root: str, files_per_trigger: int = 10,
-                glob: str = "*.png", min_area: float = 500, tile: tuple[int, int] = (32, 32)) -> dict[str, str]:
+                glob: str = "*", min_area: float = 500, tile: tuple[int, int] = (32, 32)) -> dict[str, str]:
     """J4: incremental, restartable feature extraction from an image folder.
 
     Re-running it picks up only files added since the last run (the stream's
@@ -118,7 +118,7 @@ def feature_job(spark: SparkSession, folder: str, out_root: str, files_per_trigg
 
 
 def resize_job(spark: SparkSession, src: str, out_table: str, dead_letter: str, missing_out: str,
-               videos: DataFrame, frames_per_video: int = 50, glob: str = "*.png",
+               videos: DataFrame, frames_per_video: int = 50, glob: str = "*",
                size: tuple[int, int] = (128, 128)) -> dict[str, str]:
     """J5: decode, resize good images to a table, route bad ones aside, list missing keys."""
     from framewise.operators.resize import resize_images

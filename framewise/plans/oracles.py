@@ -229,10 +229,12 @@ oracle("scan_clean_parquet", w("SELECT * FROM cln"))
 oracle("sink_parquet", ORACLES["crash_summary"])
 oracle("sink_json", ORACLES["frame_level_data"])
 oracle("sink_csv", ORACLES["crashes_by_time"])
+_COUNTS = ("total_crashes", "total_frames", "anomalies_count", "total_sequences")
 oracle("metrics_export", w("SELECT " + ", ".join(
-    r6(c, c) for c in ("total_crashes", "crash_rate", "total_frames", "crash_percentage", "anomalies_count",
-                       "total_sequences", "avg_crashes_per_sequence", "std_crashes", "percentile_threshold",
-                       "anomaly_percentage", "statistical_threshold", "final_threshold")) + " FROM fm, am"))
+    f"CAST({c} AS BIGINT) AS {c}" if c in _COUNTS else r6(c, c) for c in (
+        "total_crashes", "crash_rate", "total_frames", "crash_percentage", "anomalies_count",
+        "total_sequences", "avg_crashes_per_sequence", "std_crashes", "percentile_threshold",
+        "anomaly_percentage", "statistical_threshold", "final_threshold")) + " FROM fm, am"))
 
 
 def oracle_sql() -> dict[str, str]:

@@ -190,7 +190,8 @@ def _anomaly_crosstab(spark, d):
 
 @query("crash_heatmap")
 def _crash_heatmap(spark, d):
-    return R.crash_heatmap(TB.frames(spark, d))
+    from framewise.operators.cube import heatmap_from_records
+    return heatmap_from_records(TB.records(spark, d))
 
 
 @query("frame_timeline")

@@ -245,15 +245,3 @@ def _incremental_image_features(spark, d):
     for _ in range(2):  # the second run finds no new files
         FS.run_image_folder_features(spark, folder, *tables, files_per_trigger=50, min_area=4)
     return spark.read.parquet(tables[1]).drop("processing_timestamp")
-
-
-@query("stateful_image_features")
-def _stateful_image_features(spark, d):
-    """Features with the background model carried in streaming state (rows-only)."""
-    from framewise.session import shared_dir
-    from framewise.streaming import features_stream as FS
-    folder = _image_dir(spark, d)
-    root = shared_dir(spark, "stateful_images")
-    FS.run_stateful_features(spark, folder, f"{root}/features", f"{root}/dead_letter", f"{root}/checkpoint",
-                             files_per_trigger=100, min_area=4)
-    return spark.read.parquet(f"{root}/features").drop("processing_timestamp")

@@ -19,7 +19,6 @@ from pyspark.sql import SparkSession
 # Settings that matter at scale; all are plain public Spark options.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
-    "spark.driver.memory": "8g",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -40,6 +39,8 @@ def get_session(master: str | None = None, app: str = "framewise",
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if (master or "").startswith("local"):
+        conf["spark.driver.memory"] = "8g"  # a cluster's own setting is left alone
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -79,9 +80,11 @@ def checkpoint_root(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared folder, creating a local one only when none is set."""
+    """Return the shared folder; a local one is made only for local masters without one."""
     root = checkpoint_root(spark)
     if root is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         root = tempfile.mkdtemp(prefix="framewise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -128,6 +131,15 @@ def materialize(df, name: str, keep: list | None = None):
     return spark.read.parquet(path)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` holds any file; errors of the file system are raised, not taken for "no"."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(hpath)) and any(
+        not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(hpath))
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Recursively delete ``path`` through the Hadoop FileSystem of its scheme."""
     jvm = spark.sparkContext._jvm

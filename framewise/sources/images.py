@@ -6,7 +6,7 @@
   (origin, height, width, nChannels, mode, data) with BGR bytes; undecodable
   files come back with height -1 unless ``drop_invalid``.
 * ``ingest_images``: folder → image table (Parquet) holding the file bytes and
-  the decoded struct, joined on the basename.
+  the decoded struct, joined on the full path.
 * ``write_frame_images``: a distributed sink that encodes image rows as PNG
   files (one file per row, written by the task that holds the row).
 
@@ -20,10 +20,11 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framewise.functions.columns import basename
+from framewise.session import table_exists
 
 
 def encode_png(rgb: np.ndarray) -> bytes:
@@ -78,17 +79,22 @@ def write_frame_images(images: DataFrame, out_dir: str) -> DataFrame:
     return images.select(*cols).mapInPandas(encode, "filename string, path string, length long")
 
 
-def scan_images(spark: SparkSession, path: str, glob: str = "*.png") -> DataFrame:
+def location(path) -> Column:
+    """A file's full path in one spelling: sources differ in the slashes after the scheme."""
+    return F.regexp_replace(path, r"^([a-z0-9+.-]+):/+", "$1:/")
+
+
+def scan_images(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
 
 
-def list_images(spark: SparkSession, path: str, glob: str = "*.png") -> DataFrame:
+def list_images(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """Object listing: path, size, modification time (bytes are not read)."""
     return (scan_images(spark, path, glob)
             .select("path", basename("path").alias("filename"), "length", "modificationTime"))
 
 
-def decode_images(spark: SparkSession, path: str, drop_invalid: bool = False, glob: str = "*.png") -> DataFrame:
+def decode_images(spark: SparkSession, path: str, drop_invalid: bool = False, glob: str = "*") -> DataFrame:
     return (spark.read.format("image").option("dropInvalid", drop_invalid)
             .option("pathGlobFilter", glob).load(path))
 
@@ -101,26 +107,27 @@ def image_rows(decoded: DataFrame) -> DataFrame:
                           F.col("image.data").alias("data"))
 
 
-def ingest_images(spark: SparkSession, src: str, table_path: str, glob: str = "*.png",
+def ingest_images(spark: SparkSession, src: str, table_path: str, glob: str = "*",
                   skip_existing: bool = False) -> str:
-    """Append ``filename, image (file bytes), height, width, nChannels, mode, processed``.
-
-    Both sources are read from the same folder and joined on the basename
-    (they spell the URI differently).  Only the decoded metadata crosses the
-    join -- the decoded pixel buffer is dropped before the shuffle, since the
-    table already holds the file bytes.  ``skip_existing`` anti-joins
-    filenames already in the table, so a re-run does not duplicate documents.
+    """Append ``path, filename, image (file bytes), height, width, nChannels, mode, processed``.
+
+    Every file of the folder is taken unless ``glob`` says otherwise.  Both
+    sources are read from the same folder and joined on the full path, which is
+    the key: equal names in two folders are two documents.  Only the decoded
+    metadata crosses the join -- the decoded pixel buffer is dropped before the
+    shuffle, since the table already holds the file bytes.  ``skip_existing``
+    anti-joins the paths already in the table before the files meet; an
+    existing table that cannot be read is an error.
     """
-    files = scan_images(spark, src, glob).select(basename("path").alias("filename"),
+    files = scan_images(spark, src, glob).select(location("path").alias("path"), basename("path").alias("filename"),
                                                  F.col("content").alias("image"))
-    decoded = image_rows(decode_images(spark, src, glob=glob)).drop("data")
-    docs = files.join(decoded, "filename", "left").withColumn("processed", F.lit(None).cast("boolean"))
-    if skip_existing:
-        try:
-            existing = spark.read.parquet(table_path).select("filename")
-            docs = docs.join(existing, "filename", "left_anti")
-        except Exception:
-            pass
+    decoded = decode_images(spark, src, glob=glob)
+    decoded = decoded.select(location("image.origin").alias("path"), "image.height", "image.width",
+                             "image.nChannels", "image.mode")
+    if skip_existing and table_exists(spark, table_path):
+        stored = spark.read.parquet(table_path).select("path")
+        files = files.join(stored, "path", "left_anti")
+    docs = files.join(decoded, "path", "left").withColumn("processed", F.lit(None).cast("boolean"))
     docs.write.mode("append").parquet(table_path)
     return table_path
 

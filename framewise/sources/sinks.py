@@ -34,10 +34,10 @@ def sink_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: boo
 
 
 def serialisable_metrics(metrics: DataFrame) -> DataFrame:
-    """Numeric metrics as doubles plus a ``validation_timestamp`` string."""
+    """Counts as they are, other numbers as doubles, plus a ``validation_timestamp`` string."""
     cols = []
     for f in metrics.schema.fields:
-        if isinstance(f.dataType, T.NumericType):
+        if isinstance(f.dataType, T.FractionalType):
             cols.append(F.col(f.name).cast("double").alias(f.name))
         else:
             cols.append(F.col(f.name))

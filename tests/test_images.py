@@ -124,3 +124,17 @@ def test_contour_area_and_nesting():
     frame[8:27, 8:27] = False           # make the big one a ring ...
     frame[15:20, 15:20] = True          # ... with a blob nested in its hole
     assert outer_contours(frame, 500) == (2, 1)
+
+
+def test_ingest_takes_every_file_once_under_its_full_path(spark, tmp_path):
+    import numpy as np
+    from framewise.sources.images import encode_png, ingest_images
+    for folder, shade in (("a", 10), ("b", 200)):
+        (tmp_path / folder).mkdir()
+        for name in ("C_000001_01.jpg", "thumb.png"):
+            (tmp_path / folder / name).write_bytes(encode_png(np.full((4 + shade % 7, 5, 3), shade, np.uint8)))
+    for _ in range(2):  # a second run adds nothing
+        ingest_images(spark, f"{tmp_path}/[ab]", f"{tmp_path}/table", skip_existing=True)
+    rows = spark.read.parquet(f"{tmp_path}/table").collect()
+    assert len(rows) == 4 and len({r.path for r in rows}) == 4
+    assert all(r.height == 4 + (10 if "/a/" in r.path else 200) % 7 for r in rows)
