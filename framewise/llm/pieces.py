@@ -7,7 +7,7 @@ Decoding gives back every text: what the table lacks is spelt in byte pieces.
 
 No piece joins across a space (checked when the table is loaded), so words are
 encoded one by one, and a word's segmentation under one of ``VARIANTS`` keys is
-remembered by the task while its bounded memory lasts.
+remembered by the Python worker while its bounded memory lasts.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ _UNITS = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
 #: Keys that the occurrences of a word take in turn, starting at one of the document's own.
 VARIANTS = 2
 #: Remembered words per key, and the length from which a word is not remembered.
-REMEMBERED, LONG = 150_000, 48
+REMEMBERED, LONG = 200_000, 48
 
 
 @dataclass(frozen=True)
@@ -39,6 +39,7 @@ class PieceTable:
     byte_ids: list[int]
     spelt: list[bytes]
     by_words: bool = field(default=True)
+    name: int = 0  # checksum of the model file
 
     @classmethod
     def load(cls, path: str) -> PieceTable:
@@ -57,7 +58,8 @@ class PieceTable:
                 merges[piece] = (sp.get_score(i), i)
                 spelt.append(piece.replace(SPACE, " ").encode())
         by_words = not any(re.search(f"[^{SPACE}]{SPACE}|.\n|\n.", p, re.S) for p in merges)
-        return cls(merges, byte_ids, spelt, by_words)
+        with open(path, "rb") as f:
+            return cls(merges, byte_ids, spelt, by_words, zlib.crc32(f.read()))
 
 
 _NONE = float("inf")
@@ -71,24 +73,37 @@ def _hash(key: int, left: int, right: int, size: int) -> int:
     return x ^ (x >> 15)
 
 
+class _Remembered(dict):
+    """Unit -> ids under one variant; starts anew when it is full."""
+
+    def __init__(self, encoder: Encoder, variant: int) -> None:
+        self.encoder, self.variant = encoder, variant
+
+    def __missing__(self, unit: str) -> tuple:
+        ids = tuple(self.encoder.segment(unit, self.variant))
+        if len(unit) < LONG:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[unit] = ids
+        return ids
+
+
 class Encoder:
     def __init__(self, table: PieceTable, alpha: float, seed: int) -> None:
         self.table, self.limit, self.seed = table, int(alpha * (1 << 32)), seed
         self.rank = {p: -score for p, (score, _) in table.merges.items()}
-        self.known: list[dict[str, tuple]] = [{} for _ in range(VARIANTS)]
+        self.ids = {p: i for p, (_, i) in table.merges.items()}
+        self.known = [_Remembered(self, v) for v in range(VARIANTS)]
 
     def segment(self, unit: str, variant: int) -> list[int]:
         """Piece ids of one unit by agenda processing."""
         key = zlib.crc32(unit.encode(), (self.seed * 0x9E3779B1 + variant * 0x85EBCA6B) & 0xFFFFFFFF)
         symbols = self._short(unit, key) if len(unit) < LONG else self._long(unit, key)
-        out: list[int] = []
-        for s in symbols:
-            found = self.table.merges.get(s)
-            if found:
-                out.append(found[1])
-            else:
-                out.extend(self.table.byte_ids[b] for b in s.encode())
-        return out
+        try:
+            return list(map(self.ids.__getitem__, symbols))
+        except KeyError:  # a character without a piece: its bytes
+            return [i for s in symbols for i in (
+                [self.ids[s]] if s in self.ids else [self.table.byte_ids[b] for b in s.encode()])]
 
     def _short(self, unit: str, key: int) -> list[str]:
         """Symbols of a short unit: the agenda is a plain list, one place per adjacent pair."""
@@ -101,9 +116,13 @@ class Encoder:
                 break
             i = agenda.index(best)
             both = symbols[i] + symbols[i + 1]
-            if limit and _hash(key, starts[i], starts[i + 1], len(both)) < limit:
-                agenda[i] = _NONE
-                continue
+            if limit:  # _hash, written out: this is the hot place
+                x = (key + starts[i] * 0xC2B2AE35 + starts[i + 1] * 0x27D4EB2F + len(both) * 0x165667B1) & 0xFFFFFFFF
+                x = ((x ^ (x >> 15)) * 0x2C1B3C6D) & 0xFFFFFFFF
+                x = ((x ^ (x >> 12)) * 0x297A2D39) & 0xFFFFFFFF
+                if x ^ (x >> 15) < limit:
+                    agenda[i] = _NONE
+                    continue
             symbols[i] = both
             del symbols[i + 1], starts[i + 1], agenda[i]
             if i < len(agenda):
@@ -152,18 +171,7 @@ class Encoder:
         units = _UNITS.findall(marked) if self.table.by_words else [marked]
         out: list = [None] * len(units)
         for v in range(VARIANTS):
-            known, mine = self.known[(start + v) % VARIANTS], units[v::VARIANTS]
-            extra = {}
-            for u in set(mine):
-                if u not in known:
-                    ids = tuple(self.segment(u, (start + v) % VARIANTS))
-                    if len(u) < LONG and len(known) < REMEMBERED:
-                        known[u] = ids
-                    else:
-                        extra[u] = ids
-            out[v::VARIANTS] = [known[u] if u in known else extra[u] for u in mine] if extra else map(known.__getitem__, mine)
-            if len(known) >= REMEMBERED:
-                known.clear()
+            out[v::VARIANTS] = map(self.known[(start + v) % VARIANTS].__getitem__, units[v::VARIANTS])
         return list(chain.from_iterable(out))
 
     def encode(self, text: str, key: int = 0) -> list[int]:
@@ -180,6 +188,18 @@ class Encoder:
         return out
 
 
+#: Encoders of this Python worker: its tasks share what they remember.
+_ENCODERS: dict[tuple, Encoder] = {}
+
+
+def _encoder(table: PieceTable, alpha: float, seed: int) -> Encoder:
+    key = table.name, alpha, seed
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(table, alpha, seed)
+    return _ENCODERS[key]
+
+
 def decode_ids(table: PieceTable, ids) -> str:
     """The text that was encoded: the bytes of the pieces without the leading space mark."""
     raw = b"".join(map(table.spelt.__getitem__, ids))
@@ -200,13 +220,10 @@ def encode(docs: DataFrame, table: PieceTable, *, text: str = "text", key: str =
     vocabulary's size) is broadcast.
     """
     held = docs.sparkSession.sparkContext.broadcast(table)
-    encoders: list[Encoder] = []
 
     @F.pandas_udf("array<int>")
     def run(texts: pd.Series, keys: pd.Series) -> pd.Series:
-        if not encoders:
-            encoders.append(Encoder(held.value, alpha, seed))
-        e = encoders[0]
+        e = _encoder(held.value, alpha, seed)
         return pd.Series([None if t is None else np.array(e.encode(t, int(k)), np.int32) for t, k in zip(texts, keys)],
                          dtype=object)
 
@@ -232,13 +249,11 @@ def tokenized(docs: DataFrame, table: PieceTable, **kw) -> DataFrame:
     """
     alpha, seed = kw.get("alpha", 0.1), kw.get("seed", 1)
     held = docs.sparkSession.sparkContext.broadcast(table)
-    encoders: list[Encoder] = []
 
     @F.pandas_udf("struct<token_ids:array<int>, lossless:boolean>")
     def run(texts: pd.Series, keys: pd.Series) -> pd.DataFrame:
-        if not encoders:
-            encoders.append(Encoder(held.value, alpha, seed))
-        ids = [None if t is None else encoders[0].encode(t, int(k)) for t, k in zip(texts, keys)]
+        e = _encoder(held.value, alpha, seed)
+        ids = [None if t is None else e.encode(t, int(k)) for t, k in zip(texts, keys)]
         back = [None if i is None else decode_ids(held.value, i) if i else "" for i in ids]
         return pd.DataFrame({"token_ids": [None if i is None else np.array(i, np.int32) for i in ids],
                              "lossless": [b == t for b, t in zip(back, texts)]})
