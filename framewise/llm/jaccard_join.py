@@ -58,13 +58,16 @@ def _fingerprint(s: np.ndarray) -> int:
     return int(np.bitwise_xor.reduce(mix64(parts * _NAME)).astype(np.int64))
 
 
+_WIDTHS = {1: np.uint8, 2: np.uint16, 4: np.int32}
+
+
 def _pack(p: np.ndarray) -> bytes:
-    """A point as bytes: 2 a coordinate, or 4 if a count needs them."""
-    return p.astype(np.uint16 if p.max() < 1 << 16 else np.int32).tobytes()
+    """A point as bytes: as few a coordinate as its largest count needs."""
+    return p.astype(_WIDTHS[1 if p.max() < 1 << 8 else 2 if p.max() < 1 << 16 else 4]).tobytes()
 
 
 def _unpack(raw: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(raw, np.uint16 if len(raw) == 2 * groups_for(n) else np.int32).astype(np.int32)
+    return np.frombuffer(raw, _WIDTHS[len(raw) // groups_for(n)]).astype(np.int32)
 
 
 def _cell(s: np.ndarray) -> np.ndarray:
