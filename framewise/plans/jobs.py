@@ -104,16 +104,17 @@ def ingest_job(spark: SparkSession, src: str, table_path: str, glob: str = "*")
 
 
 def feature_job(spark: SparkSession, folder: str, out_root: str, files_per_trigger: int = 10,
-                glob: str = "*", min_area: float = 500, tile: tuple[int, int] = (32, 32)) -> dict[str, str]:
+                glob: str = "*", block: int = 1) -> dict[str, str]:
     """J4: incremental, restartable feature extraction from an image folder.
 
+    ``block`` is the side of the pixel squares that the background test sees.
     Re-running it picks up only files added since the last run (the stream's
     checkpoint lives under ``out_root``)."""
     from framewise.streaming.features_stream import run_image_folder_features
     root = out_root.rstrip("/")
     paths = {name: f"{root}/{name}" for name in ("images", "features", "dead_letter", "progress", "checkpoint")}
     run_image_folder_features(spark, folder, paths["images"], paths["features"], paths["dead_letter"],
-                              paths["progress"], paths["checkpoint"], files_per_trigger, glob, min_area, tile)
+                              paths["progress"], paths["checkpoint"], files_per_trigger, glob, block)
     return paths
 
 

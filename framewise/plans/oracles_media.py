@@ -67,6 +67,28 @@ __all__ = ["ORACLES"]
 
 oracle("incremental_density", ORACLES["traffic_density"])
 
+
+def frame_density(where: str) -> str:
+    """Density per image file (1-based keys) over the frames that ``where`` keeps."""
+    return m(f"""
+SELECT video + 1 AS video, CAST(frame + 1 AS BIGINT) AS frame,
+       printf('C_%06d_%02d.png', video + 1, frame + 1) AS filename, round(avg(foreground), 6) AS traffic_density
+FROM (
+  SELECT video, frame, CAST(n > 0 AND (n * v - s) * (n * v - s)
+         > 16 * greatest(4 * n * n, least(75 * n * n, n * q - s * s)) AS INTEGER) AS foreground
+  FROM (
+    SELECT video, frame, v, count(v) OVER w AS n, coalesce(sum(v) OVER w, 0) AS s, coalesce(sum(v * v) OVER w, 0) AS q
+    FROM px WHERE {where}
+    WINDOW w AS (PARTITION BY video, pixel ORDER BY frame ROWS BETWEEN 500 PRECEDING AND 1 PRECEDING)))
+GROUP BY video, frame""")
+
+
+oracle("incremental_features", frame_density("true"))
+for _name in ("frame_features", "incremental_image_features", "job_features"):  # damaged files have no frame
+    oracle(_name, frame_density("(video * 50 + frame) % 97 <> 0"))
+oracle("image_progress", "SELECT CAST(sum(CAST(vec_id % 97 <> 0 AS INTEGER)) AS BIGINT) AS processed, "
+                         "CAST(sum(CAST(vec_id % 97 = 0 AS INTEGER)) AS BIGINT) AS failed FROM embeddings")
+
 # Image files are written by Spark from `embeddings` (square grey frames,
 # stored as 3-channel PNG; every 97th vector is written as a damaged file),
 # so the decoded metadata is known in SQL.

@@ -3,8 +3,7 @@ returns one of the tables it wrote, so the gate checks the job end to end."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
+from framewise.functions.columns import basename
 from framewise.plans import jobs as J
 from framewise.plans import tables as TB
 from framewise.plans.registry import query
@@ -87,9 +86,9 @@ def _job_resize(spark, d):
 
 @query("job_features")
 def _job_features(spark, d):
-    """J4: incremental features from the image folder (rows-only)."""
+    """J4: incremental features from the image folder."""
     from framewise.plans.registry_media import _image_dir
     paths = J.feature_job(spark, _image_dir(spark, d), shared_dir(spark, "job_features"),
-                          files_per_trigger=100, min_area=4)
-    return spark.read.parquet(paths["features"]).drop("processing_timestamp").withColumn(
-        "video", F.col("video").cast("long"))
+                          files_per_trigger=500)
+    return spark.read.parquet(paths["features"]).select(
+        "video", "frame", basename("path").alias("filename"), "traffic_density")

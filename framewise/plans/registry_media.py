@@ -174,8 +174,7 @@ def _resize_images(spark, d):
 def _frame_features(spark, d):
     rows = _decoded_rows(spark, d).where("height > 0")
     frames = rows.select(*IM.parse_image_key("filename"), "*")
-    # 8x8 frames: the default vehicle area (500 px) cannot occur, use 4.
-    return FT.frame_features(frames, min_area=4).drop("processing_timestamp")
+    return FT.frame_features(frames).drop("processing_timestamp")
 
 
 # ------------------------------------------------------- model (rows-only)
@@ -207,7 +206,7 @@ def _model_accuracy(spark, d):
     return model_accuracy(predict(train_severity_model(train), test))
 
 
-# -------------------------------------------------- streaming (rows-only)
+# ---------------------------------------------------------------- streaming
 
 @query("incremental_features")
 def _incremental_features(spark, d):
@@ -217,10 +216,10 @@ def _incremental_features(spark, d):
     rows = B.frame_image_rows(TB.table(spark, d, "embeddings")).select(*FS.IMAGE_ROW_SCHEMA.fieldNames())
     src = FS.write_chunks(rows, f"{root}/source", rows_per_file=10)
     feats, prog, ckpt = f"{root}/features", f"{root}/progress", f"{root}/checkpoint"
-    FS.run_incremental_features(spark, src, feats, prog, ckpt, files_per_trigger=5, min_area=4)
+    FS.run_incremental_features(spark, src, feats, prog, ckpt, files_per_trigger=5)
     # A restart on the same checkpoint finds no new files and adds nothing.
-    FS.run_incremental_features(spark, src, feats, prog, ckpt, files_per_trigger=5, min_area=4)
-    return spark.read.parquet(feats).drop("processing_timestamp")
+    FS.run_incremental_features(spark, src, feats, prog, ckpt, files_per_trigger=5)
+    return spark.read.parquet(feats).select(F.col("video").cast("long").alias("video"), "frame", "filename", "traffic_density")
 
 
 @query("incremental_density")
@@ -243,5 +242,16 @@ def _incremental_image_features(spark, d):
     root = shared_dir(spark, "incremental_images")
     tables = (f"{root}/images", f"{root}/features", f"{root}/dead_letter", f"{root}/progress", f"{root}/checkpoint")
     for _ in range(2):  # the second run finds no new files
-        FS.run_image_folder_features(spark, folder, *tables, files_per_trigger=50, min_area=4)
-    return spark.read.parquet(tables[1]).drop("processing_timestamp")
+        FS.run_image_folder_features(spark, folder, *tables, files_per_trigger=500)
+    return spark.read.parquet(tables[1]).select("video", "frame", basename("path").alias("filename"), "traffic_density")
+
+
+@query("image_progress")
+def _image_progress(spark, d):
+    """Stored and failed files over a folder that holds damaged ones."""
+    from framewise.session import shared_dir
+    from framewise.streaming import features_stream as FS
+    root = shared_dir(spark, "image_progress")
+    tables = (f"{root}/images", f"{root}/features", f"{root}/dead_letter", f"{root}/progress", f"{root}/checkpoint")
+    FS.run_image_folder_features(spark, _image_dir(spark, d), *tables, files_per_trigger=500)
+    return spark.read.parquet(tables[3]).agg(F.sum("processed").alias("processed"), F.sum("failed").alias("failed"))

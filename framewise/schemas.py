@@ -63,12 +63,3 @@ IMAGE_DOCUMENT_SCHEMA = T.StructType([
     T.StructField("image", T.BinaryType()),
     T.StructField("processed", T.BooleanType()),
 ])
-
-FRAME_FEATURE_SCHEMA = T.StructType([
-    T.StructField("image_id", T.StringType()),
-    T.StructField("filename", T.StringType()),
-    T.StructField("vehicle_count", T.IntegerType()),
-    T.StructField("traffic_density", T.DoubleType()),
-    T.StructField("num_contours", T.IntegerType()),
-    T.StructField("processing_timestamp", T.TimestampType()),
-])

@@ -99,9 +99,9 @@ def decode_images(spark: SparkSession, path: str, drop_invalid: bool = False, gl
             .option("pathGlobFilter", glob).load(path))
 
 
-def image_rows(decoded: DataFrame) -> DataFrame:
-    """Flatten the ``image`` struct: filename, height, width, nChannels, mode, data."""
-    return decoded.select(basename(F.col("image.origin")).alias("filename"),
+def image_rows(decoded: DataFrame, *more: Column) -> DataFrame:
+    """Flatten the ``image`` struct: ``more``, filename, height, width, nChannels, mode, data."""
+    return decoded.select(*more, basename(F.col("image.origin")).alias("filename"),
                           F.col("image.height").alias("height"), F.col("image.width").alias("width"),
                           F.col("image.nChannels").alias("nChannels"), F.col("image.mode").alias("mode"),
                           F.col("image.data").alias("data"))

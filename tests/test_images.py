@@ -17,23 +17,6 @@ def _write(dirname, name, rgb):
         f.write(SI.encode_png(rgb))
 
 
-def _scene(t, kind, h=128, w=128):
-    img = np.full((h, w, 3), 100, np.uint8)
-    if kind == "square" and t >= 20:
-        x0 = 10 + 2 * (t - 20)
-        img[40:80, x0:x0 + 40] = 230
-    if kind == "shadow" and t >= 30:
-        img[20:60, 20:60] = 70
-    if kind == "two" and t >= 20:
-        img[20:60, 10:50] = 230          # 40 x 40: a vehicle
-        img[90:100, 90:100] = 230        # 10 x 10: a contour, too small for a vehicle
-    if kind == "ring" and t >= 20:
-        img[20:100, 20:100] = 230        # ring 80 x 80 ...
-        img[35:85, 35:85] = 100          # ... with a hole ...
-        img[55:65, 55:65] = 230          # ... holding a nested blob (not an outer contour)
-    return img
-
-
 def test_png_roundtrip_and_dead_letter(spark):
     d = tempfile.mkdtemp(prefix="fw-img-")
     img = np.zeros((4, 5, 3), np.uint8)
@@ -68,28 +51,29 @@ def test_resize_constant_is_constant():
     assert out.shape == (128, 128, 3) and (out == 77).all()
 
 
-def test_features_on_scenes(spark):
-    d = tempfile.mkdtemp(prefix="fw-scn-")
-    for video, kind in ((1, "static"), (2, "square"), (3, "shadow"), (4, "two"), (5, "ring")):
-        for t in range(40):
-            _write(d, f"C_{video:06d}_{t + 1:02d}.png", _scene(t, kind))
-    rows = SI.image_rows(SI.decode_images(spark, d))
+def test_block_greys():
+    rng = np.random.default_rng(1)
+    bgr = rng.integers(0, 256, (5, 7, 3), dtype=np.uint8)
+    grey = np.array([[round(0.114 * float(b) + 0.587 * float(g) + 0.299 * float(r)) for b, g, r in row] for row in bgr])
+    assert (FT.block_greys(bgr.tobytes(), 5, 7, 3, 1).reshape(5, 7) == grey).all()
+    blocks = [int(grey[y:y + 3, x:x + 3].sum()) // grey[y:y + 3, x:x + 3].size for y in (0, 3) for x in (0, 3, 6)]
+    assert FT.block_greys(bgr.tobytes(), 5, 7, 3, 3).tolist() == blocks
+    assert FT.block_greys(bgr[..., 0].tobytes(), 5, 7, 1, 1).tolist() == bgr[..., 0].ravel().tolist()
+
+
+def test_features_on_scenes(spark, tmp_path):
+    for video in (1, 2):
+        for t in range(1, 13):
+            img = np.full((32, 32, 3), 100, np.uint8)
+            if video == 2 and t >= 8:
+                img[8:24, 8:24] = 230
+            _write(tmp_path, f"C_{video:06d}_{t:02d}.png", img)
+    rows = SI.image_rows(SI.decode_images(spark, str(tmp_path)))
     frames = rows.select(*IM.parse_image_key("filename"), "*")
-    feats = {(r.video, r.frame): r for r in FT.frame_features(frames, tile=(48, 40)).collect()}
-    assert len(feats) == 200
-    assert all(feats[(1, f)].traffic_density == 0.0 for f in range(5, 41))
-    # The square appears at frame 21: one outer contour, larger than 500 px.
-    # (Early on the learning rate is 1/min(2t, 500), so a uniform object that
-    # stays put is absorbed into the background within a few frames.)
-    moving = feats[(2, 21)]
-    assert moving.num_contours == 1 and moving.vehicle_count == 1
-    assert feats[(2, 25)].num_contours >= 1
-    shade = feats[(3, 31)]
-    assert shade.traffic_density > 0 and shade.num_contours == 0
-    two = feats[(4, 21)]
-    assert (two.num_contours, two.vehicle_count) == (2, 1)
-    ring = feats[(5, 21)]
-    assert (ring.num_contours, ring.vehicle_count) == (1, 1)
+    for block in (1, 4):
+        found = {(r.video, r.frame): r.traffic_density for r in FT.frame_features(frames, block).collect()}
+        assert len(found) == 24 and found[(2, 8)] == 0.25
+        assert all(d == 0 for (video, frame), d in found.items() if video == 1 or frame < 8)
 
 
 def test_missing_images_against_manifest(spark):
@@ -109,23 +93,6 @@ def test_basename_and_defaults(spark):
     assert [r.filename for r in IM.with_basename(df).collect()] == ["c.jpg", "x.jpg"]
 
 
-def test_contour_area_and_nesting():
-    from framewise.operators.features import outer_contours, polygon_area, trace_outer_border
-    rect = np.ones((5, 7), bool)
-    assert polygon_area(trace_outer_border(rect)) == 24.0          # (h-1)(w-1)
-    ring = np.ones((9, 9), bool)
-    ring[3:6, 3:6] = False
-    assert polygon_area(trace_outer_border(ring)) == 64.0          # holes do not count
-    assert polygon_area(trace_outer_border(np.ones((1, 6), bool))) == 0.0
-    assert polygon_area(trace_outer_border(np.tril(np.ones((6, 6), bool)))) == 12.5
-    frame = np.zeros((60, 60), bool)
-    frame[5:30, 5:30] = True            # 24 x 24 = 576 > 500
-    frame[40:45, 40:45] = True          # small blob
-    frame[8:27, 8:27] = False           # make the big one a ring ...
-    frame[15:20, 15:20] = True          # ... with a blob nested in its hole
-    assert outer_contours(frame, 500) == (2, 1)
-
-
 def test_ingest_takes_every_file_once_under_its_full_path(spark, tmp_path):
     import numpy as np
     from framewise.sources.images import encode_png, ingest_images

@@ -46,13 +46,13 @@ IMPL = {
     "O1": "operators.reports.density_timeline", "O2": "operators.reports.density_by_sequence",
     "O3": "streaming.incremental.next_batch", "O4": "orderBy in reports.weather_counts / crash_distribution",
     "I1": "operators.images.image_profile", "I2": "operators.resize.resize_images",
-    "I3": "operators.features.grey", "I4a": "operators.features.mixture_masks, frame_masks",
+    "I3": "operators.features.block_greys, frame_pixels", "I4a": "re-aimed: I4b on decoded frames",
     "I4b": "operators.features.pixel_foreground", "I5": "operators.features.traffic_density",
-    "I6": "operators.features.frame_features (mask > 127)", "I7": "operators.features.outer_contours",
-    "I8": "operators.features.trace_outer_border, polygon_area", "I9": "operators.features.frame_features",
+    "I6": "not built (image library)", "I7": "not built (image library)",
+    "I8": "not built (image library)", "I9": "operators.features.frame_features",
     "I10": "operators.images.split_decoded", "I11": "operators.images.missing_images",
     "T1": "streaming.features_stream.run_image_folder_features, run_incremental",
-    "T2": "streaming.incremental.mark_processed", "T3": "streaming.incremental.running_total",
+    "T2": "streaming.incremental.mark_processed", "T3": "streaming.incremental.running_total, features_stream.progress_totals",
     "M1": "operators.model.ml_split", "M2": "operators.model.severity_pipeline, train_severity_model",
     "M3": "operators.model.model_accuracy",
     "J1": "plans.jobs.analyse_crash_records", "J2": "plans.jobs.clean_job", "J3": "plans.jobs.ingest_job",
@@ -66,7 +66,6 @@ EXTRA_QUERIES = {"T1": ["incremental_image_features", "incremental_density"],
                  "S14": ["resize_images"], "P14": ["metrics_export"], "P15": ["anomaly_summary"],
                  "O4": ["weather_counts", "crash_distribution"],
                  "I3": ["frame_features", "incremental_image_features"],
-                 "I6": ["frame_features"], "I7": ["frame_features"], "I8": ["frame_features"],
                  "I9": ["frame_features", "incremental_features"],
                  "J1": ["job_analysis_metrics", "job_analysis_sequences"], "J2": ["job_clean"],
                  "J3": ["job_ingest"], "J4": ["job_features"], "J5": ["job_resize"],
