@@ -9,7 +9,7 @@ from pathlib import Path
 import numpy as np
 
 sys.path.insert(0, str(Path(__file__).parent))
-from helpers import EDGE, WORDS, documents, prose  # noqa: E402
+from llm_helpers import EDGE, WORDS, documents, prose  # noqa: E402
 
 import corpus_pipeline
 from framewise.llm import chat, count_rtree, jaccard_join, pq_neardup

@@ -8,7 +8,7 @@ from pathlib import Path
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
-from helpers import EDGE, documents, prose  # noqa: E402
+from llm_helpers import EDGE, documents, prose  # noqa: E402
 
 from framewise.llm import decontaminate, knn_quality, licenses, line_dedup, pieces, queries, secret_scan, toxicity
 
