@@ -23,12 +23,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from framewise.llm.common import mix64
+
 SPACE = "▁"
 _UNITS = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
 #: Keys that the occurrences of a word take in turn, starting at one of the document's own.
 VARIANTS = 2
-#: Remembered words per key, and the length from which a word is not remembered.
-REMEMBERED, LONG = 200_000, 48
+#: Words of a generation that is remembered per key (the one before it is kept as well), and the
+#: length from which a word is not remembered.
+REMEMBERED, LONG = 125_000, 48
 
 
 @dataclass(frozen=True)
@@ -65,24 +68,29 @@ class PieceTable:
 _NONE = float("inf")
 
 
-def _hash(key: int, left: int, right: int, size: int) -> int:
-    """32-bit keyed hash of a candidate merge: the places of its two sides and its length."""
-    x = (key + left * 0xC2B2AE35 + right * 0x27D4EB2F + size * 0x165667B1) & 0xFFFFFFFF
-    x = ((x ^ (x >> 15)) * 0x2C1B3C6D) & 0xFFFFFFFF
-    x = ((x ^ (x >> 12)) * 0x297A2D39) & 0xFFFFFFFF
-    return x ^ (x >> 15)
+#: A candidate merge's place in the table of skips: key + left * _LEFT + right * _RIGHT + size * _SIZE.
+_LEFT, _RIGHT, _SIZE, _SLOTS = 0xB2B1, 0xD4ED, 0x65B7, 1 << 16
+
+
+def _skips(alpha: float, seed: int) -> bytes:
+    """Per slot, 1 if its hash under ``seed`` falls into the share ``alpha`` of all hashes."""
+    slots = np.arange(_SLOTS, dtype=np.uint64) + (np.uint64(seed & 0xFFFFFFFF) << np.uint64(32))
+    return (mix64(mix64(slots + np.uint64(1))) < np.uint64(int(alpha * ((1 << 64) - 1)))).astype(np.uint8).tobytes()
 
 
 class _Remembered(dict):
-    """Unit -> ids under one variant; starts anew when it is full."""
+    """Unit -> ids under one variant; a full generation becomes the one before, which is then let go."""
 
     def __init__(self, encoder: Encoder, variant: int) -> None:
-        self.encoder, self.variant = encoder, variant
+        self.encoder, self.variant, self.before = encoder, variant, {}
 
     def __missing__(self, unit: str) -> tuple:
-        ids = tuple(self.encoder.segment(unit, self.variant))
+        ids = self.before.get(unit)
+        if ids is None:
+            ids = tuple(self.encoder.segment(unit, self.variant))
         if len(unit) < LONG:
             if len(self) >= REMEMBERED:
+                self.before = dict(self)
                 self.clear()
             self[unit] = ids
         return ids
@@ -90,7 +98,8 @@ class _Remembered(dict):
 
 class Encoder:
     def __init__(self, table: PieceTable, alpha: float, seed: int) -> None:
-        self.table, self.limit, self.seed = table, int(alpha * (1 << 32)), seed
+        self.table, self.seed = table, seed
+        self.skips = _skips(alpha, seed) if alpha else b""
         self.rank = {p: -score for p, (score, _) in table.merges.items()}
         self.ids = {p: i for p, (_, i) in table.merges.items()}
         self.known = [_Remembered(self, v) for v in range(VARIANTS)]
@@ -107,7 +116,7 @@ class Encoder:
 
     def _short(self, unit: str, key: int) -> list[str]:
         """Symbols of a short unit: the agenda is a plain list, one place per adjacent pair."""
-        rank, limit = self.rank.get, self.limit
+        rank, skips = self.rank.get, self.skips
         symbols, starts = list(unit), list(range(len(unit)))
         agenda = [rank(a + b, _NONE) for a, b in zip(symbols, symbols[1:])]
         while agenda:
@@ -116,13 +125,9 @@ class Encoder:
                 break
             i = agenda.index(best)
             both = symbols[i] + symbols[i + 1]
-            if limit:  # _hash, written out: this is the hot place
-                x = (key + starts[i] * 0xC2B2AE35 + starts[i + 1] * 0x27D4EB2F + len(both) * 0x165667B1) & 0xFFFFFFFF
-                x = ((x ^ (x >> 15)) * 0x2C1B3C6D) & 0xFFFFFFFF
-                x = ((x ^ (x >> 12)) * 0x297A2D39) & 0xFFFFFFFF
-                if x ^ (x >> 15) < limit:
-                    agenda[i] = _NONE
-                    continue
+            if skips and skips[(key + starts[i] * _LEFT + starts[i + 1] * _RIGHT + len(both) * _SIZE) % _SLOTS]:
+                agenda[i] = _NONE
+                continue
             symbols[i] = both
             del symbols[i + 1], starts[i + 1], agenda[i]
             if i < len(agenda):
@@ -133,7 +138,7 @@ class Encoder:
 
     def _long(self, unit: str, key: int) -> list[str]:
         """The same for a long unit, with a heap as agenda."""
-        merges, limit = self.table.merges, self.limit
+        merges, skips = self.table.merges, self.skips
         symbols = list(unit)
         n = len(symbols)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -152,7 +157,7 @@ class Encoder:
             _, left, right, size = heapq.heappop(agenda)
             if not symbols[left] or not symbols[right] or len(symbols[left]) + len(symbols[right]) != size:
                 continue  # one side has merged with something else meanwhile
-            if limit and _hash(key, left, right, size) < limit:
+            if skips and skips[(key + left * _LEFT + right * _RIGHT + size * _SIZE) % _SLOTS]:
                 continue
             symbols[left] += symbols[right]
             symbols[right] = ""
