@@ -6,8 +6,8 @@ text has many reproducible segmentations into pieces of the merge table.
 Decoding gives back every text: what the table lacks is spelt in byte pieces.
 
 No piece joins across a space (checked when the table is loaded), so words are
-encoded one by one, and a word's segmentation under one of ``VARIANTS`` keys is
-remembered by the Python worker while its bounded memory lasts.
+encoded one by one, many words a step, and a word's segmentation under one of
+``VARIANTS`` keys is remembered by the Python worker while its bounded memory lasts.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ import heapq
 import re
 import zlib
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -31,7 +30,11 @@ _UNITS = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
 VARIANTS = 2
 #: Words of a generation that is remembered per key (the one before it is kept as well), and the
 #: length from which a word is not remembered.
-REMEMBERED, LONG = 125_000, 48
+REMEMBERED, LONG = 60_000, 48
+#: A unit that stands for a literal space mark in a text.
+_MARK = ""
+#: Characters of texts whose words are segmented together.
+TOGETHER = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -65,9 +68,6 @@ class PieceTable:
             return cls(merges, byte_ids, spelt, by_words, zlib.crc32(f.read()))
 
 
-_NONE = float("inf")
-
-
 #: A candidate merge's place in the table of skips: key + left * _LEFT + right * _RIGHT + size * _SIZE.
 _LEFT, _RIGHT, _SIZE, _SLOTS = 0xB2B1, 0xD4ED, 0x65B7, 1 << 16
 
@@ -78,66 +78,54 @@ def _skips(alpha: float, seed: int) -> bytes:
     return (mix64(mix64(slots + np.uint64(1))) < np.uint64(int(alpha * ((1 << 64) - 1)))).astype(np.uint8).tobytes()
 
 
-class _Remembered(dict):
-    """Unit -> ids under one variant; a full generation becomes the one before, which is then let go."""
-
-    def __init__(self, encoder: Encoder, variant: int) -> None:
-        self.encoder, self.variant, self.before = encoder, variant, {}
-
-    def __missing__(self, unit: str) -> tuple:
-        ids = self.before.get(unit)
-        if ids is None:
-            ids = tuple(self.encoder.segment(unit, self.variant))
-        if len(unit) < LONG:
-            if len(self) >= REMEMBERED:
-                self.before = dict(self)
-                self.clear()
-            self[unit] = ids
-        return ids
+class _Merges:
+    """The merge table as arrays: symbols are numbered, and pairs of them sorted for look-up."""
+
+    def __init__(self, table: PieceTable) -> None:
+        self.symbol = {p: n for n, p in enumerate(table.merges)}
+        self.pad = len(self.symbol)
+        self.piece = np.array([i for _, i in table.merges.values()], "<i4")
+        self.size = np.array([len(p) for p in self.symbol], np.int64)
+        # The place of a piece in the order of scores; equal scores share it.
+        self.order = np.unique([-score for score, _ in table.merges.values()], return_inverse=True)[1].astype(np.int32)
+        pairs = {self.symbol[p[:k]] * (self.pad + 1) + self.symbol[p[k:]]: n for p, n in self.symbol.items()
+                 for k in range(1, len(p)) if p[:k] in self.symbol and p[k:] in self.symbol}
+        keys = np.array(list(pairs), np.int64)
+        self.keys = np.sort(keys)
+        self.made = np.array(list(pairs.values()), np.int64)[np.argsort(keys)]
+        chars = [c for c in self.symbol if len(c) == 1]
+        self.of_char = np.full(max(map(ord, chars), default=0) + 2, self.pad, np.int64)  # the last one: any higher
+        self.of_char[[ord(c) for c in chars]] = [self.symbol[c] for c in chars]
+
+    def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The symbols that pairs merge into; ``pad`` where they do not."""
+        key = left * (self.pad + 1) + right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.made[at], self.pad)
 
 
 class Encoder:
     def __init__(self, table: PieceTable, alpha: float, seed: int) -> None:
         self.table, self.seed = table, seed
         self.skips = _skips(alpha, seed) if alpha else b""
-        self.rank = {p: -score for p, (score, _) in table.merges.items()}
+        self.skip = np.frombuffer(self.skips, np.uint8).astype(bool)
+        self.merges = _Merges(table)
         self.ids = {p: i for p, (_, i) in table.merges.items()}
-        self.known = [_Remembered(self, v) for v in range(VARIANTS)]
+        self.known: list[dict[str, bytes]] = [{} for _ in range(VARIANTS)]
+        self.before: list[dict[str, bytes]] = [{} for _ in range(VARIANTS)]
+
+    def _key(self, unit: str, variant: int) -> int:
+        return zlib.crc32(unit.encode(), (self.seed * 0x9E3779B1 + variant * 0x85EBCA6B) & 0xFFFFFFFF)
 
     def segment(self, unit: str, variant: int) -> list[int]:
-        """Piece ids of one unit by agenda processing."""
-        key = zlib.crc32(unit.encode(), (self.seed * 0x9E3779B1 + variant * 0x85EBCA6B) & 0xFFFFFFFF)
-        symbols = self._short(unit, key) if len(unit) < LONG else self._long(unit, key)
-        try:
-            return list(map(self.ids.__getitem__, symbols))
-        except KeyError:  # a character without a piece: its bytes
-            return [i for s in symbols for i in (
-                [self.ids[s]] if s in self.ids else [self.table.byte_ids[b] for b in s.encode()])]
-
-    def _short(self, unit: str, key: int) -> list[str]:
-        """Symbols of a short unit: the agenda is a plain list, one place per adjacent pair."""
-        rank, skips = self.rank.get, self.skips
-        symbols, starts = list(unit), list(range(len(unit)))
-        agenda = [rank(a + b, _NONE) for a, b in zip(symbols, symbols[1:])]
-        while agenda:
-            best = min(agenda)
-            if best == _NONE:
-                break
-            i = agenda.index(best)
-            both = symbols[i] + symbols[i + 1]
-            if skips and skips[(key + starts[i] * _LEFT + starts[i + 1] * _RIGHT + len(both) * _SIZE) % _SLOTS]:
-                agenda[i] = _NONE
-                continue
-            symbols[i] = both
-            del symbols[i + 1], starts[i + 1], agenda[i]
-            if i < len(agenda):
-                agenda[i] = rank(both + symbols[i + 1], _NONE)
-            if i:
-                agenda[i - 1] = rank(symbols[i - 1] + both, _NONE)
-        return symbols
+        """Piece ids of one unit of any length, with a heap as agenda."""
+        out: list[int] = []
+        for s in self._agenda(unit, self._key(unit, variant)):
+            # A character without a piece: its bytes.
+            out.extend([self.ids[s]] if s in self.ids else [self.table.byte_ids[b] for b in s.encode()])
+        return out
 
-    def _long(self, unit: str, key: int) -> list[str]:
-        """The same for a long unit, with a heap as agenda."""
+    def _agenda(self, unit: str, key: int) -> list[str]:
         merges, skips = self.table.merges, self.skips
         symbols = list(unit)
         n = len(symbols)
@@ -148,11 +136,10 @@ class Encoder:
             both = symbols[left] + symbols[right]
             found = merges.get(both)
             if found:
-                agenda.append((-found[0], left, right, len(both)))
+                heapq.heappush(agenda, (-found[0], left, right, len(both)))
 
         for i in range(n - 1):
             offer(i, i + 1)
-        heapq.heapify(agenda)
         while agenda:
             _, left, right, size = heapq.heappop(agenda)
             if not symbols[left] or not symbols[right] or len(symbols[left]) + len(symbols[right]) != size:
@@ -164,34 +151,146 @@ class Encoder:
             nxt = after[left] = after[right]
             if nxt < n:
                 before[nxt] = left
-            for a, b in ((before[left], left), (left, nxt)):
-                if a >= 0 and b < n:
-                    both = symbols[a] + symbols[b]
-                    found = merges.get(both)
-                    if found:
-                        heapq.heappush(agenda, (-found[0], a, b, len(both)))
+                offer(left, nxt)
+            if before[left] >= 0:
+                offer(before[left], left)
         return [s for s in symbols if s]
 
-    def _pieces(self, marked: str, start: int) -> list[int]:
-        units = _UNITS.findall(marked) if self.table.by_words else [marked]
-        out: list = [None] * len(units)
-        for v in range(VARIANTS):
-            out[v::VARIANTS] = map(self.known[(start + v) % VARIANTS].__getitem__, units[v::VARIANTS])
-        return list(chain.from_iterable(out))
+    def segment_many(self, units: list[str], variant: int) -> dict[str, bytes]:
+        """Unit -> its ids as bytes, for units shorter than ``LONG``; the same ids as ``segment``.
+
+        Units of about one length go through their agendas together: a step
+        takes each unit's best candidate and merges or skips it.
+        """
+        out: dict[str, bytes] = {}
+        by_size: dict[int, list[str]] = {}
+        for u in units:
+            by_size.setdefault((len(u) + 3) // 4 * 4, []).append(u)
+        for width, some in by_size.items():
+            codes = np.frombuffer("".join([u.ljust(width, "\0") for u in some]).encode("utf-32-le"), "<u4").reshape(-1, width)
+            symbols = self.merges.of_char[np.minimum(codes, len(self.merges.of_char) - 1)]
+            sizes = np.array([len(u) for u in some])
+            inside = np.arange(width) < sizes[:, None]
+            plain = ~((symbols == self.merges.pad) & inside).any(1)
+            symbols[~inside] = self.merges.pad
+            rows = np.flatnonzero(plain)
+            keys = np.array([self._key(some[r], variant) for r in rows.tolist()], np.int64)
+            ends, counts = self._steps(symbols[rows], sizes[rows], keys)
+            raw, stride = self.merges.piece[np.minimum(ends, self.merges.pad - 1)].tobytes(), 4 * width
+            for n, (r, count) in enumerate(zip(rows.tolist(), counts.tolist())):
+                out[some[r]] = raw[n * stride:n * stride + 4 * count]
+            for r in np.flatnonzero(~plain).tolist():
+                out[some[r]] = np.array(self.segment(some[r], variant), "<i4").tobytes()
+        return out
 
-    def encode(self, text: str, key: int = 0) -> list[int]:
-        """Ids of ``text``; ``key`` chooses the first variant.  The empty text has no ids."""
-        if not text:
-            return []
-        # A literal space mark is spelt in bytes, so that it does not come back as a space.
-        out: list[int] = []
+    def _steps(self, symbols: np.ndarray, sizes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The agendas of all rows: symbols left over, and their number per row."""
+        m = self.merges
+        ends, counts = symbols.copy(), sizes.copy()
+        row, n = np.arange(len(symbols)), sizes.copy()
+        starts = np.broadcast_to(np.arange(symbols.shape[1]), symbols.shape).copy()
+        none = np.int32(np.iinfo(np.int32).max)
+        order = np.append(m.order, none)
+        made = m.find(symbols[:, :-1], symbols[:, 1:])
+        while len(row):
+            rank = order[made]
+            at = rank.argmin(1)
+            every = np.arange(len(row))
+            open_ = rank[every, at] < none
+            if not open_.all():
+                done = ~open_
+                ends[row[done]], counts[row[done]] = symbols[done], n[done]
+                row, n, keys, at = row[open_], n[open_], keys[open_], at[open_]
+                symbols, starts, made = symbols[open_], starts[open_], made[open_]
+                every = np.arange(len(row))
+                if not len(row):
+                    break
+            both = made[every, at]
+            if len(self.skip):
+                skip = self.skip[(keys + starts[every, at] * _LEFT + starts[every, at + 1] * _RIGHT + m.size[both] * _SIZE) % _SLOTS]
+                made[every[skip], at[skip]] = m.pad
+                go = np.flatnonzero(~skip)
+            else:
+                go = every
+            if not len(go):
+                continue
+            i, both = at[go], both[go]
+            column = np.arange(symbols.shape[1] - 1)
+            moved = symbols[go]
+            moved[np.arange(len(go)), i] = both
+            later = column + (column > i[:, None])
+            symbols[go, :-1] = np.take_along_axis(moved, later, 1)
+            symbols[go, -1] = m.pad
+            starts[go, :-1] = np.take_along_axis(starts[go], later, 1)
+            column = column[:-1]
+            made[go, :-1] = np.take_along_axis(made[go], column + (column >= i[:, None]), 1)
+            made[go, -1] = m.pad
+            n[go] -= 1
+            right = i < symbols.shape[1] - 1
+            made[go[right], i[right]] = m.find(both[right], symbols[go[right], i[right] + 1])
+            left = i > 0
+            made[go[left], i[left] - 1] = m.find(symbols[go[left], i[left] - 1], both[left])
+        return ends, counts
+
+    def _units(self, text: str) -> list[str]:
+        """The units of ``text``; a literal space mark, which must not come back as a space, is a unit of its own."""
+        out: list[str] = []
         for i, part in enumerate(text.split(SPACE)):
             if i:
-                out.extend(self.table.byte_ids[b] for b in SPACE.encode())
-            marked = part.replace(" ", SPACE)
-            out.extend(self._pieces((SPACE if i == 0 else "") + marked, key % VARIANTS))
+                out.append(_MARK)
+            marked = (SPACE if i == 0 else "") + part.replace(" ", SPACE)
+            out.extend(_UNITS.findall(marked) if self.table.by_words else [marked] if marked else [])
         return out
 
+    def _learn(self, variant: int, units: set[str]) -> None:
+        """Let all of ``units`` but the long ones be known under ``variant``.
+
+        A full generation becomes the one before, which is then let go.
+        """
+        known, before = self.known[variant], self.before[variant]
+        if len(known) > REMEMBERED:
+            before = self.before[variant] = known
+            known = self.known[variant] = {}
+        new = units.difference(known)
+        known.update({u: before[u] for u in new if u in before})
+        known.update(self.segment_many([u for u in new.difference(known) if 0 < len(u) < LONG], variant))
+
+    def _long(self, unit: str, variant: int) -> bytes:
+        ids = [self.table.byte_ids[b] for b in SPACE.encode()] if unit == _MARK else self.segment(unit, variant)
+        return np.array(ids, "<i4").tobytes()
+
+    def encode_many(self, texts: list[str | None], keys: list[int]) -> list[np.ndarray | None]:
+        """Ids per text; a key chooses a text's first variant.  None gives None, the empty text no ids."""
+        out: list[np.ndarray | None] = []
+        at = 0
+        while at < len(texts):
+            units, first, held = [], at, 0
+            while at < len(texts) and held < TOGETHER:
+                units.append(self._units(texts[at]) if texts[at] else [])
+                held += len(texts[at] or "")
+                at += 1
+            need: list[set[str]] = [set() for _ in range(VARIANTS)]
+            for u, key in zip(units, keys[first:at]):
+                for v in range(VARIANTS):
+                    need[(key + v) % VARIANTS].update(u[v::VARIANTS])
+            for v in range(VARIANTS):
+                self._learn(v, need[v])
+            for u, key, text in zip(units, keys[first:at], texts[first:at]):
+                ids: list = [None] * len(u)
+                for v in range(VARIANTS):
+                    which = (key + v) % VARIANTS
+                    ids[v::VARIANTS] = map(self.known[which].get, u[v::VARIANTS])
+                if None in ids:
+                    for n, found in enumerate(ids):
+                        if found is None:  # the mark, or a long unit
+                            ids[n] = self._long(u[n], (key + n) % VARIANTS)
+                out.append(None if text is None else np.frombuffer(b"".join(ids), "<i4"))
+        return out
+
+    def encode(self, text: str, key: int = 0) -> list[int]:
+        """Ids of one text."""
+        return self.encode_many([text], [key])[0].tolist()
+
 
 #: Encoders of this Python worker: its tasks share what they remember.
 _ENCODERS: dict[tuple, Encoder] = {}
@@ -206,7 +305,7 @@ def _encoder(table: PieceTable, alpha: float, seed: int) -> Encoder:
 
 
 def decode_ids(table: PieceTable, ids) -> str:
-    """The text that was encoded: the bytes of the pieces without the leading space mark."""
+    """The text that was encoded: the bytes of the pieces without the leading space mark (no ids: empty)."""
     raw = b"".join(map(table.spelt.__getitem__, ids))
     return raw.decode("utf-8", "replace")[1:]
 
@@ -229,8 +328,7 @@ def encode(docs: DataFrame, table: PieceTable, *, text: str = "text", key: str =
     @F.pandas_udf("array<int>")
     def run(texts: pd.Series, keys: pd.Series) -> pd.Series:
         e = _encoder(held.value, alpha, seed)
-        return pd.Series([None if t is None else np.array(e.encode(t, int(k)), np.int32) for t, k in zip(texts, keys)],
-                         dtype=object)
+        return pd.Series(e.encode_many(texts.tolist(), keys.tolist()), dtype=object)
 
     return docs.withColumn(to, run.asNondeterministic()(F.col(text), _key(key)))
 
@@ -258,10 +356,9 @@ def tokenized(docs: DataFrame, table: PieceTable, **kw) -> DataFrame:
     @F.pandas_udf("struct<token_ids:array<int>, lossless:boolean>")
     def run(texts: pd.Series, keys: pd.Series) -> pd.DataFrame:
         e = _encoder(held.value, alpha, seed)
-        ids = [None if t is None else e.encode(t, int(k)) for t, k in zip(texts, keys)]
-        back = [None if i is None else decode_ids(held.value, i) if i else "" for i in ids]
-        return pd.DataFrame({"token_ids": [None if i is None else np.array(i, np.int32) for i in ids],
-                             "lossless": [b == t for b, t in zip(back, texts)]})
+        ids = e.encode_many(texts.tolist(), keys.tolist())
+        return pd.DataFrame({"token_ids": ids, "lossless": [
+            t is None or decode_ids(held.value, i.tolist()) == t for i, t in zip(ids, texts)]})
 
     coded = docs.select("doc_id", run.asNondeterministic()(F.col("text"), _key("doc_id")).alias("_c"))
     return coded.select("doc_id", F.coalesce(F.size("_c.token_ids"), F.lit(0)).cast("bigint").alias("n_tokens"),
