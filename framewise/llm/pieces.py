@@ -15,12 +15,16 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from framewise.llm.common import mix64
 
@@ -120,12 +124,13 @@ class Encoder:
     def segment(self, unit: str, variant: int) -> list[int]:
         """Piece ids of one unit of any length, with a heap as agenda."""
         out: list[int] = []
-        for s in self._agenda(unit, self._key(unit, variant)):
+        for s in self._long(unit, self._key(unit, variant)):
             # A character without a piece: its bytes.
             out.extend([self.ids[s]] if s in self.ids else [self.table.byte_ids[b] for b in s.encode()])
         return out
 
-    def _agenda(self, unit: str, key: int) -> list[str]:
+    def _long(self, unit: str, key: int) -> list[str]:
+        """Symbols of one unit, with a heap as agenda."""
         merges, skips = self.table.merges, self.skips
         symbols = list(unit)
         n = len(symbols)
@@ -156,6 +161,12 @@ class Encoder:
                 offer(before[left], left)
         return [s for s in symbols if s]
 
+    def _short(self, unit: str, key: int) -> list[str]:
+        """The same by the steps of ``segment_many``, for a unit whose characters all have pieces."""
+        ends, counts = self._steps(self.merges.of_char[[[ord(c) for c in unit]]], np.array([len(unit)]), np.array([key]))
+        names = list(self.merges.symbol)
+        return [names[n] for n in ends[0, :counts[0]].tolist()]
+
     def segment_many(self, units: list[str], variant: int) -> dict[str, bytes]:
         """Unit -> its ids as bytes, for units shorter than ``LONG``; the same ids as ``segment``.
 
@@ -255,7 +266,7 @@ class Encoder:
         known.update({u: before[u] for u in new if u in before})
         known.update(self.segment_many([u for u in new.difference(known) if 0 < len(u) < LONG], variant))
 
-    def _long(self, unit: str, variant: int) -> bytes:
+    def _rare(self, unit: str, variant: int) -> bytes:
         ids = [self.table.byte_ids[b] for b in SPACE.encode()] if unit == _MARK else self.segment(unit, variant)
         return np.array(ids, "<i4").tobytes()
 
@@ -283,7 +294,7 @@ class Encoder:
                 if None in ids:
                     for n, found in enumerate(ids):
                         if found is None:  # the mark, or a long unit
-                            ids[n] = self._long(u[n], (key + n) % VARIANTS)
+                            ids[n] = self._rare(u[n], (key + n) % VARIANTS)
                 out.append(None if text is None else np.frombuffer(b"".join(ids), "<i4"))
         return out
 
@@ -353,13 +364,29 @@ def tokenized(docs: DataFrame, table: PieceTable, **kw) -> DataFrame:
     alpha, seed = kw.get("alpha", 0.1), kw.get("seed", 1)
     held = docs.sparkSession.sparkContext.broadcast(table)
 
-    @F.pandas_udf("struct<token_ids:array<int>, lossless:boolean>")
-    def run(texts: pd.Series, keys: pd.Series) -> pd.DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = _encoder(held.value, alpha, seed)
-        ids = e.encode_many(texts.tolist(), keys.tolist())
-        return pd.DataFrame({"token_ids": ids, "lossless": [
-            t is None or decode_ids(held.value, i.tolist()) == t for i, t in zip(ids, texts)]})
-
-    coded = docs.select("doc_id", run.asNondeterministic()(F.col("text"), _key("doc_id")).alias("_c"))
-    return coded.select("doc_id", F.coalesce(F.size("_c.token_ids"), F.lit(0)).cast("bigint").alias("n_tokens"),
-                        F.col("_c.token_ids").alias("token_ids"), F.col("_c.lossless").alias("lossless"))
+        for part in _bounded(batches, "text"):
+            texts = part["text"].to_pylist()
+            ids = e.encode_many(texts, part["_k"].to_pylist())
+            same = [t is None or decode_ids(held.value, i.tolist()) == t for i, t in zip(ids, texts)]
+            yield pa.RecordBatch.from_arrays(
+                [part["doc_id"], pa.array([0 if i is None else len(i) for i in ids], pa.int64()),
+                 pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())],
+                ["doc_id", "n_tokens", "token_ids", "lossless"])
+
+    schema = T.StructType([docs.select("doc_id").schema[0], T.StructField("n_tokens", T.LongType()),
+                           T.StructField("token_ids", T.ArrayType(T.IntegerType())),
+                           T.StructField("lossless", T.BooleanType())])
+    return docs.select("doc_id", "text", _key("doc_id").alias("_k")).mapInArrow(run, schema)
+
+
+def _bounded(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in parts of about ``TOGETHER`` bytes of text, so that results stay small."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch[text]), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        part = np.cumsum(sizes) // TOGETHER
+        cuts = np.concatenate(([0], np.flatnonzero(np.diff(part)) + 1, [len(part)]))
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            if b > a:
+                yield batch.slice(a, b - a)

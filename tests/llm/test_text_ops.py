@@ -5,6 +5,7 @@ import re
 import sys
 from pathlib import Path
 
+import numpy as np
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -177,6 +178,28 @@ def test_pieces_round_trip_and_plain_equality(spark, table):
     assert mixed._short(unit, 77) == mixed._long(unit, 77)
 
 
+def test_pieces_many_words_equal_one_by_one(table):
+    units = ["\n", "x", "\t", "日本", "a" * 47, "ñ☃x", pieces.SPACE * 5 + "x", "\0a", pieces.SPACE + "über", "é" * 9]
+    units += [pieces.SPACE + w + end for w in prose(5, 300).split() for end in ("", ".", "ing")]
+    for alpha in (0.0, 0.1, 0.5):
+        e = pieces.Encoder(table, alpha, 7)
+        for v in range(pieces.VARIANTS):
+            many = e.segment_many(units, v)
+            assert all(many[u] == np.array(e.segment(u, v), "<i4").tobytes() for u in units)
+
+
+def test_pieces_remember_within_bounds(table, monkeypatch):
+    texts = [prose(k, 400) + " ▁ " + "y" * 60 for k in range(12)] + [None, ""]
+    keys = list(range(len(texts)))
+    whole = pieces.Encoder(table, 0.2, 1).encode_many(texts, keys)
+    monkeypatch.setattr(pieces, "REMEMBERED", 5)
+    monkeypatch.setattr(pieces, "TOGETHER", 1000)
+    e = pieces.Encoder(table, 0.2, 1)
+    again = e.encode_many(texts, keys)
+    assert all((a is None and b is None) or a.tolist() == b.tolist() for a, b in zip(whole, again))
+    assert whole[-2] is None and whole[-1].tolist() == []
+
+
 def test_pieces_operator_edges(spark, table):
     rows = pieces.tokenized(documents(spark, EDGE), table).collect()
     assert len(rows) == len(EDGE) and all(r.lossless for r in rows)
