@@ -96,6 +96,7 @@ class Quantiser:
 
 def _unit(raw: list) -> np.ndarray:
     x = np.stack([np.asarray(v, np.float64) for v in raw])
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])  # exact; no square over- or underflows
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 

@@ -96,6 +96,11 @@ def test_connected_components_of_paths(spark):
     assert all(got[i] == 0 for i in range(31)) and got[100] == got[90] == got[95] == 90
 
 
+def test_unit_vectors_of_extreme_lengths():
+    unit = pq_neardup._unit([[3e300, 4e300], [3e-310, 4e-310], [3.0, 4.0], [5e-324, 0.0]])
+    assert np.allclose(unit, [[0.6, 0.8]] * 3 + [[1.0, 0.0]])
+
+
 def test_product_quantisation_matches_brute_force(spark, monkeypatch):
     monkeypatch.setattr(pq_neardup, "BLOCK_MEMBERS", 16)
     monkeypatch.setattr(pq_neardup, "BLOCK_QUERIES", 32)
