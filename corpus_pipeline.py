@@ -17,6 +17,11 @@ from framewise.llm.queries import PIECES, toxicity_model
 from framewise.session import materialize, ship_package
 
 
+#: Sites from which a line is boilerplate.  Earlier stages and a source that holds a third of the
+#: documents leave a passage fewer sites than ``op2_line_spread`` (10, as its SQL) asks for.
+MIN_SITES = 5
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Classifier chain: documents it finds toxic go."""
     return toxicity.reject(docs, toxicity_model(spark, sf_dir))
@@ -24,7 +29,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines spread over many sites go, except where they stand first; documents left without any line go."""
-    return line_dedup.remaining(docs)
+    return line_dedup.remaining(docs, min_sites=MIN_SITES)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

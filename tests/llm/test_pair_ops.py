@@ -183,3 +183,14 @@ def test_pipeline_stages_on_planted_cases(spark, tmp_path):
     assert set(got) == clean and all(r.lossless for r in got.values())
     assert got[1200].n_tokens > got[1201].n_tokens + 60  # the passage stays where it stands first
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_duplicates", "decontamination", "pieces"]
+
+
+def test_pipeline_lines_with_a_hot_source(spark):
+    passage = prose(177, 60)
+    rows = [(i, f"{prose(i + 5000, 12)}\n{passage}" if i % 2 else prose(i + 5000, 12),
+             "hot" if i % 3 == 0 else f"s{i % 7}") for i in range(60)]  # a third of the rows on one source
+    rows += [(100 + i, f"{prose(i + 6000, 12)}\n{prose(178, 60)}", f"s{i}") for i in range(4)]
+    assert len({s for i, x, s in rows if passage in x}) == 8
+    got = {r.doc_id: r.text for r in corpus_pipeline.drop_boilerplate_lines(spark, documents(spark, rows), "").collect()}
+    assert len(got) == len(rows) and [i for i in sorted(got) if passage in got[i]] == [1]
+    assert all(prose(178, 60) in got[100 + i] for i in range(4))  # on few sites: stays
