@@ -252,13 +252,11 @@ def _verify(batches: Iterator[pd.DataFrame], k: int, num: int, den: int) -> Iter
     yield pd.DataFrame({"u": us, "v": vs}, dtype="int64")
 
 
-def components(docs: DataFrame, *, k: int = 5, num: int = 75, den: int = 100) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (least doc_id reachable by links).
+def _classes(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, t, v, n) per document, and (v, component, doc_id, t) per class of equal sets.
 
-    Two documents link when ``den * |A & B| >= num * |A | B|`` for their sets of
-    distinct ``k``-word shingles (fewer words: one shingle; none: empty set,
-    linked with nothing).  Repeated rows keep their rows; a null doc_id counts
-    in the links but is never a component's name unless there is no other.
+    ``t`` is the hash of the text, ``v`` names the class; a class has its least
+    doc_id (null only if it has no other) and the least ``t`` of that id.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"), F.xxhash64("text").alias("t"))
     profile = materialize(docs.mapInPandas(
@@ -317,7 +315,19 @@ def components(docs: DataFrame, *, k: int = 5, num: int = 75, den: int = 100) ->
     linked = connected_components(links, "jaccard_link")
 
     named = classes.join(linked, classes.v == linked.node, "left").select(
-        "v", F.coalesce("component", "v").alias("component"), "doc_id")
+        "v", F.coalesce("component", "v").alias("component"), "doc_id", "t")
+    return texts, named
+
+
+def components(docs: DataFrame, *, k: int = 5, num: int = 75, den: int = 100) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (least doc_id reachable by links).
+
+    Two documents link when ``den * |A & B| >= num * |A | B|`` for their sets of
+    distinct ``k``-word shingles (fewer words: one shingle; none: empty set,
+    linked with nothing).  Repeated rows keep their rows; a null doc_id counts
+    in the links but is never a component's name unless there is no other.
+    """
+    texts, named = _classes(docs, k, num, den)
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     of_class = materialize(named.select(F.col("v").alias("_v"), "component").join(least, "component"), "jaccard_classes")
     return texts.join(of_class, (texts.v == F.col("_v")) & (texts.n > 0), "left").select(
@@ -325,14 +335,28 @@ def components(docs: DataFrame, *, k: int = 5, num: int = 75, den: int = 100) ->
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame, **kw) -> DataFrame:
-    """``docs`` with one document of each component: the one that names it.
+def keep_one(docs: DataFrame, *, k: int = 5, num: int = 75, den: int = 100) -> DataFrame:
+    """``docs`` with one row of each component: that of the least doc_id, then the least text hash.
 
-    Documents without shingles all stay.  Of rows repeating the kept id, one
-    with that component stays; rows of null id stay only where their component
-    has no id.
+    Documents without shingles all stay.  Of rows repeating the kept id and
+    text one stays; a row of null id stays only where its component has no id.
     """
-    found = components(docs, **kw).where("component_id = doc_id OR component_id IS NULL").select(
-        F.col("doc_id").alias("_fw_id")).distinct()
+    texts, named = _classes(docs, k, num, den)
+    first = named.groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")).alias("m")).select(
+        F.col("m.doc_id").alias("_d"), F.col("m.t").alias("_h"))
+    # Copies are counted over hashes, so that only texts that are repeated go through an aggregate.
+    kept = materialize(texts.where("n > 0").groupBy("doc_id", "t").agg(F.count("*").alias("_copies"))
+                       .join(first, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("t") == F.col("_h")))
+                       .select("_d", "_h", "_copies"), "jaccard_kept")
     cols = [F.col(f"`{c}`") for c in docs.columns]
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_fw_id")), "left_semi").select(*cols)
+    blank = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    full = docs.where(~blank).withColumn("_fw_t", F.xxhash64("text"))
+
+    def rows_of(some: DataFrame, how: str) -> DataFrame:
+        return full.join(some, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_d")) & (F.col("_fw_t") == F.col("_h")), how)
+
+    single = rows_of(kept.where("_copies = 1"), "left_semi").select(*cols)
+    folded = (rows_of(kept.where("_copies > 1"), "inner").groupBy("_d", "_h")
+              .agg(F.first(F.struct(*cols)).alias("_fw_row")).select("_fw_row.*"))
+    return docs.where(blank).unionByName(single).unionByName(folded)

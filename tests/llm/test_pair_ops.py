@@ -76,6 +76,23 @@ def test_jaccard_components_match_brute_force(spark, monkeypatch):
     assert jaccard_join.components(documents(spark, [])).count() == 0
 
 
+def test_keep_one_of_repeated_and_null_ids(spark):
+    a, b, c, d, e = (prose(2000 + i, 60) for i in range(5))
+    rows = [(7, a)] * 50 + [(8, edited(a, 1, 1))]                   # the kept row is repeated
+    rows += [(1, b), (2, c), (7, edited(c, 1, 2))]                   # id 7 with another text, linked with 2
+    rows += [(None, d)] * 3 + [(None, edited(d, 1, 3))]              # a component without ids
+    rows += [(None, b), (None, edited(c, 1, 4)), (20, e), (20, e.upper()), (None, ""), (None, None), (7, None), (7, None)]
+    kept = jaccard_join.keep_one(documents(spark, rows))
+    assert kept.columns == documents(spark, rows).columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    assert sorted(x for x in got if x[0] in (1, 2, 7, 8) and x[1]) == sorted([(7, a), (1, b), (2, c)])
+    assert len([x for x in got if x[0] == 20]) == 1
+    null = [x for i, x in got if i is None and x]
+    assert len(null) == 1 and null[0] in (d, edited(d, 1, 3))
+    assert len([x for x in got if not x[1]]) == 4 and len(got) == 9
+    assert jaccard_join.keep_one(documents(spark, [])).count() == 0
+
+
 def test_rtree_bound_loses_no_pair():
     r = np.random.default_rng(1)
     pool = r.integers(0, 2**63, 4000, dtype=np.uint64)
