@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from framewise.llm.common import materialize
 
+#: Bias of a category without a positive label: a probability of 1e-13.
+NEVER = -30.0
 _WORD = re.compile(r"\w+")
 
 
@@ -67,8 +69,12 @@ def _fit_chain(words: np.ndarray, labels: np.ndarray, folds: np.ndarray, l2: flo
     weights, x = [], np.hstack([np.ones((len(words), 1)), words])
     for k in range(labels.shape[1]):
         y = labels[:, k]
+        if not y.any():  # untrained: nothing is found to be in this category
+            weights.append(np.concatenate(([NEVER], np.zeros(x.shape[1] - 1))))
+            x = np.hstack([x, _logit(np.zeros(len(y)))[:, None]])
+            continue
         weights.append(_fit_linear(x, y, l2))
-        oof = np.full(len(y), y.mean() if len(y) else 0.5)
+        oof = np.full(len(y), y.mean())
         for f in np.unique(folds):
             rest = folds != f
             if rest.any():
@@ -88,7 +94,8 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *,
     from document counts, ``min_chi`` at least (words that differ by chance only
     would add up in very long texts), and its models are ridge logistic regressions.  Null
     labels, ids and texts are left out; of several labels for one id a true one
-    wins; without any label the vocabulary is empty and every probability 0.5.
+    wins.  A category without a positive label (so each one, if there are no labels)
+    is untrained: its probability is 0 but for rounding, so it rejects nothing.
     """
     names = list(categories)
     y = [F.max(c.cast("int")).alias(f"_y{i}") for i, c in enumerate(categories.values())]

@@ -54,6 +54,16 @@ def test_toxicity_without_labels_and_rows(spark):
     assert got.count() == 0 and model.vocabulary == {}
 
 
+def test_toxicity_without_positive_labels_rejects_nothing(spark):
+    docs = documents(spark, [(i, prose(i, 20)) for i in range(30)] + EDGE)
+    clean = [(i, i % 2, 0) for i in range(30)]  # a junk category, no toxic document
+    for labels in ([], [(900 + i, 0, 1) for i in range(5)], clean, [(i, None, None) for i in range(30)]):
+        model = toxicity.fit(docs, labels_df(spark, labels), queries.harm_categories())
+        got = toxicity.classify(docs, model).collect()
+        assert len(got) == 30 + len(EDGE) and not any(r.toxic for r in got) and all(r.p_toxic < 1e-6 for r in got)
+        assert toxicity.reject(docs, model).count() == 30 + len(EDGE)
+
+
 def brute_lines(rows, min_sites, min_words=5):
     sites, owner = {}, {}
     for i, text, site in rows:
