@@ -6,13 +6,16 @@ text has many reproducible segmentations into pieces of the merge table.
 Decoding gives back every text: what the table lacks is spelt in byte pieces.
 
 No piece joins across a space (checked when the table is loaded), so words are
-encoded one by one, many words a step, and a word's segmentation under one of
-``VARIANTS`` keys is remembered by the Python worker while its bounded memory lasts.
+encoded one by one, many words a step.  Every occurrence of a word in a document
+has skips of its own.  What the Python worker remembers, while its bounded memory
+lasts, is a tree per word: its segmentation after given skips, and the candidates
+that it merged since, any of which the next occurrence may skip first.
 """
 
 from __future__ import annotations
 
 import heapq
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -30,11 +33,10 @@ from framewise.llm.common import mix64
 
 SPACE = "▁"
 _UNITS = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
-#: Keys that the occurrences of a word take in turn, starting at one of the document's own.
+#: Keys that both agendas are held against each other under; occurrences take any of ``_SLOTS`` keys.
 VARIANTS = 2
-#: Words of a generation that is remembered per key (the one before it is kept as well), and the
-#: length from which a word is not remembered.
-REMEMBERED, LONG = 60_000, 48
+#: Segmentations (of words after given skips) that are remembered, and the length from which a word is not.
+REMEMBERED, LONG = 600_000, 48
 #: A unit that stands for a literal space mark in a text.
 _MARK = ""
 #: Characters of texts whose words are segmented together.
@@ -96,16 +98,16 @@ class _Merges:
                  for k in range(1, len(p)) if p[:k] in self.symbol and p[k:] in self.symbol}
         keys = np.array(list(pairs), np.int64)
         self.keys = np.sort(keys)
-        self.made = np.array(list(pairs.values()), np.int64)[np.argsort(keys)]
+        self.made = np.array(list(pairs.values()), np.int32)[np.argsort(keys)]
         chars = [c for c in self.symbol if len(c) == 1]
-        self.of_char = np.full(max(map(ord, chars), default=0) + 2, self.pad, np.int64)  # the last one: any higher
+        self.of_char = np.full(max(map(ord, chars), default=0) + 2, self.pad, np.int32)  # the last one: any higher
         self.of_char[[ord(c) for c in chars]] = [self.symbol[c] for c in chars]
 
     def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The symbols that pairs merge into; ``pad`` where they do not."""
-        key = left * (self.pad + 1) + right
+        key = left.astype(np.int64) * (self.pad + 1) + right
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.made[at], self.pad)
+        return np.where(self.keys[at] == key, self.made[at], np.int32(self.pad))
 
 
 class Encoder:
@@ -115,16 +117,25 @@ class Encoder:
         self.skip = np.frombuffer(self.skips, np.uint8).astype(bool)
         self.merges = _Merges(table)
         self.ids = {p: i for p, (_, i) in table.merges.items()}
-        self.known: list[dict[str, bytes]] = [{} for _ in range(VARIANTS)]
-        self.before: list[dict[str, bytes]] = [{} for _ in range(VARIANTS)]
-
-    def _key(self, unit: str, variant: int) -> int:
-        return zlib.crc32(unit.encode(), (self.seed * 0x9E3779B1 + variant * 0x85EBCA6B) & 0xFFFFFFFF)
-
-    def segment(self, unit: str, variant: int) -> list[int]:
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}              # word -> its node without skips; -1: not remembered
+        self.after: dict[int, int] = {}              # node << 8 | place of the candidate skipped next -> node
+        self.made: list[bytes] = []                  # per node: ids
+        self.spans = np.zeros((2, 1024), np.int64)   # per node: start and number of its candidates in places
+        self.places = np.zeros(4096, np.int32)       # of candidates in the table of skips, but for the key
+        self.filled = 0
+
+    def _keys(self, doc: int, n: int) -> np.ndarray:
+        """The keys of ``n`` occurrences of words in a document."""
+        start = mix64(np.array([(doc ^ self.seed * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF], np.uint64))
+        return (mix64(start + np.arange(n, dtype=np.uint64)) % np.uint64(_SLOTS)).astype(np.int64)
+
+    def segment(self, unit: str, key: int) -> list[int]:
         """Piece ids of one unit of any length, with a heap as agenda."""
         out: list[int] = []
-        for s in self._long(unit, self._key(unit, variant)):
+        for s in self._long(unit, key):
             # A character without a piece: its bytes.
             out.extend([self.ids[s]] if s in self.ids else [self.table.byte_ids[b] for b in s.encode()])
         return out
@@ -163,85 +174,107 @@ class Encoder:
 
     def _short(self, unit: str, key: int) -> list[str]:
         """The same by the steps of ``segment_many``, for a unit whose characters all have pieces."""
-        ends, counts = self._steps(self.merges.of_char[[[ord(c) for c in unit]]], np.array([len(unit)]), np.array([key]))
+        left, _, _ = self._steps(self.merges.of_char[[[ord(c) for c in unit]]], np.array([len(unit)]), np.array([key]))
         names = list(self.merges.symbol)
-        return [names[n] for n in ends[0, :counts[0]].tolist()]
+        return [names[n] for n in left.tolist()]
+
+    def segment_many(self, units: list[str], key: int) -> dict[str, bytes]:
+        """Unit -> its ids as bytes under ``key``, for units shorter than ``LONG``; the same ids as ``segment``."""
+        return {units[i]: x for at, ids, _, _ in self._agendas(units, [key] * len(units)) for i, x in zip(at, ids)}
 
-    def segment_many(self, units: list[str], variant: int) -> dict[str, bytes]:
-        """Unit -> its ids as bytes, for units shorter than ``LONG``; the same ids as ``segment``.
+    def _agendas(self, units: list[str], keys: list[int], most: int | None = None) -> Iterator[tuple]:
+        """(indices of units, their ids, numbers of places, places) after at most ``most`` skips each.
+
+        The places are those of the candidates that were merged after these skips.
 
         Units of about one length go through their agendas together: a step
-        takes each unit's best candidate and merges or skips it.
+        takes each unit's best candidate and merges or skips it.  A character
+        without a piece merges with nothing and is spelt in bytes at the end.
         """
-        out: dict[str, bytes] = {}
-        by_size: dict[int, list[str]] = {}
-        for u in units:
-            by_size.setdefault((len(u) + 3) // 4 * 4, []).append(u)
-        for width, some in by_size.items():
+        by_size: dict[int, list[int]] = {}
+        for n, u in enumerate(units):
+            by_size.setdefault((len(u) + 3) // 4 * 4, []).append(n)
+        for width, at in by_size.items():
+            some = [units[n] for n in at]
             codes = np.frombuffer("".join([u.ljust(width, "\0") for u in some]).encode("utf-32-le"), "<u4").reshape(-1, width)
             symbols = self.merges.of_char[np.minimum(codes, len(self.merges.of_char) - 1)]
             sizes = np.array([len(u) for u in some])
             inside = np.arange(width) < sizes[:, None]
-            plain = ~((symbols == self.merges.pad) & inside).any(1)
+            spelt = ((symbols == self.merges.pad) & inside).any(1).tolist()
             symbols[~inside] = self.merges.pad
-            rows = np.flatnonzero(plain)
-            keys = np.array([self._key(some[r], variant) for r in rows.tolist()], np.int64)
-            ends, counts = self._steps(symbols[rows], sizes[rows], keys)
-            raw, stride = self.merges.piece[np.minimum(ends, self.merges.pad - 1)].tobytes(), 4 * width
-            for n, (r, count) in enumerate(zip(rows.tolist(), counts.tolist())):
-                out[some[r]] = raw[n * stride:n * stride + 4 * count]
-            for r in np.flatnonzero(~plain).tolist():
-                out[some[r]] = np.array(self.segment(some[r], variant), "<i4").tobytes()
-        return out
+            left, counts, (row, place) = self._steps(symbols, sizes, np.array(keys, np.int64)[at], most)
+            raw = self.merges.piece[np.minimum(left, self.merges.pad - 1)].tobytes()
+            ends = np.cumsum(counts)
+            ids = [raw[4 * a:4 * b] for a, b in itertools.pairwise([0, *ends.tolist()])]
+            for r in itertools.compress(range(len(at)), spelt):
+                ids[r] = self._spell(some[r], left[ends[r] - counts[r]:ends[r]])
+            yield at, ids, np.bincount(row, minlength=len(at)), place
+
+    def _spell(self, unit: str, symbols: np.ndarray) -> bytes:
+        """Ids of ``symbols``, in which a pad stands for each character without a piece."""
+        without = iter([c for c in unit if c not in self.merges.symbol])
+        out: list[int] = []
+        for s in symbols.tolist():
+            out.extend([int(self.merges.piece[s])] if s < self.merges.pad else [self.table.byte_ids[b] for b in next(without).encode()])
+        return np.array(out, "<i4").tobytes()
 
-    def _steps(self, symbols: np.ndarray, sizes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The agendas of all rows: symbols left over, and their number per row."""
+    def _steps(self, symbols: np.ndarray, sizes: np.ndarray, keys: np.ndarray, most: int | None = None):
+        """The agendas of all rows: symbols left over, their number per row, and (row, place) of what was merged.
+
+        With ``most``, a row skips no more after as many skips, and only merges after these are told.
+        """
         m = self.merges
-        ends, counts = symbols.copy(), sizes.copy()
-        row, n = np.arange(len(symbols)), sizes.copy()
-        starts = np.broadcast_to(np.arange(symbols.shape[1]), symbols.shape).copy()
+        width = symbols.shape[1]
         none = np.int32(np.iinfo(np.int32).max)
         order = np.append(m.order, none)
-        made = m.find(symbols[:, :-1], symbols[:, 1:])
-        while len(row):
-            rank = order[made]
-            at = rank.argmin(1)
-            every = np.arange(len(row))
-            open_ = rank[every, at] < none
-            if not open_.all():
-                done = ~open_
-                ends[row[done]], counts[row[done]] = symbols[done], n[done]
-                row, n, keys, at = row[open_], n[open_], keys[open_], at[open_]
-                symbols, starts, made = symbols[open_], starts[open_], made[open_]
-                every = np.arange(len(row))
-                if not len(row):
-                    break
-            both = made[every, at]
+        # A symbol stands where its first character stood; -1 where it has gone into the one before.
+        flat = np.where(np.arange(width) < sizes[:, None], symbols, -1).ravel()
+        after = np.tile(np.arange(1, width + 1, dtype=np.int32), len(symbols))
+        before = np.tile(np.arange(-1, width - 1, dtype=np.int32), len(symbols))
+        made = np.full(symbols.shape, m.pad, np.int32)  # what a symbol and the one after it merge into
+        made[:, :-1] = m.find(symbols[:, :-1], symbols[:, 1:])
+        rank = order[made]
+        made, flat_rank = made.ravel(), rank.ravel()
+        row, spent = np.arange(len(symbols)), np.full(len(symbols), most or 0)
+        told: list[tuple[np.ndarray, np.ndarray]] = []
+        while True:
+            at = rank[row].argmin(1)
+            left = row * width + at
+            open_ = flat_rank[left] < none
+            row, at, left = row[open_], at[open_], left[open_]
+            if not len(row):
+                break
+            both, right = made[left], after[left]
+            go = slice(None)
             if len(self.skip):
-                skip = self.skip[(keys + starts[every, at] * _LEFT + starts[every, at + 1] * _RIGHT + m.size[both] * _SIZE) % _SLOTS]
-                made[every[skip], at[skip]] = m.pad
-                go = np.flatnonzero(~skip)
-            else:
-                go = every
-            if not len(go):
-                continue
-            i, both = at[go], both[go]
-            column = np.arange(symbols.shape[1] - 1)
-            moved = symbols[go]
-            moved[np.arange(len(go)), i] = both
-            later = column + (column > i[:, None])
-            symbols[go, :-1] = np.take_along_axis(moved, later, 1)
-            symbols[go, -1] = m.pad
-            starts[go, :-1] = np.take_along_axis(starts[go], later, 1)
-            column = column[:-1]
-            made[go, :-1] = np.take_along_axis(made[go], column + (column >= i[:, None]), 1)
-            made[go, -1] = m.pad
-            n[go] -= 1
-            right = i < symbols.shape[1] - 1
-            made[go[right], i[right]] = m.find(both[right], symbols[go[right], i[right] + 1])
-            left = i > 0
-            made[go[left], i[left] - 1] = m.find(symbols[go[left], i[left] - 1], both[left])
-        return ends, counts
+                place = at * _LEFT + right * _RIGHT + m.size[both] * _SIZE
+                skip = self.skip[(keys[row] + place) % _SLOTS]
+                if most is not None:
+                    free = spent[row] == 0
+                    told.append((row[free], place[free]))
+                    skip &= ~free
+                    spent[row[skip]] -= 1
+                flat_rank[left[skip]] = none
+                go = ~skip
+            first, here, both = row[go] * width, left[go], both[go]
+            gone = first + right[go]
+            flat[here], flat[gone], flat_rank[gone], flat_rank[here] = both, -1, none, none
+            then = after[here] = after[gone]
+            some = then < width
+            i, j, new = here[some], first[some] + then[some], both[some]
+            before[j] = at[go][some]
+            inside = flat[j] >= 0
+            i, j, new = i[inside], j[inside], new[inside]
+            made[i] = found = m.find(new, flat[j])
+            flat_rank[i] = order[found]
+            some = before[here] >= 0
+            i, new = first[some] + before[here[some]], both[some]
+            made[i] = found = m.find(flat[i], new)
+            flat_rank[i] = order[found]
+        rows, places = map(np.concatenate, zip(*told)) if told else (np.zeros(0, int), np.zeros(0, int))
+        by_row = np.argsort(rows, kind="stable")  # in the order of its steps
+        kept = flat >= 0
+        return flat[kept], kept.reshape(symbols.shape).sum(1), (rows[by_row], places[by_row] % _SLOTS)
 
     def _units(self, text: str) -> list[str]:
         """The units of ``text``; a literal space mark, which must not come back as a space, is a unit of its own."""
@@ -253,49 +286,81 @@ class Encoder:
             out.extend(_UNITS.findall(marked) if self.table.by_words else [marked] if marked else [])
         return out
 
-    def _learn(self, variant: int, units: set[str]) -> None:
-        """Let all of ``units`` but the long ones be known under ``variant``.
-
-        A full generation becomes the one before, which is then let go.
+    def _add(self, units: list[str], keys: list[int], most: int) -> list[int]:
+        """New nodes: ``units`` after their first ``most`` skips under ``keys``."""
+        nodes = [0] * len(units)
+        for at, ids, sizes, places in self._agendas(units, keys, most):
+            node, end = len(self.made), self.filled + len(places)
+            while node + len(at) > self.spans.shape[1]:
+                self.spans = np.concatenate((self.spans, np.zeros_like(self.spans)), 1)
+            while end > len(self.places):
+                self.places = np.concatenate((self.places, np.zeros_like(self.places)))
+            self.made.extend(ids)
+            self.spans[0, node:node + len(at)] = self.filled + np.cumsum(sizes) - sizes
+            self.spans[1, node:node + len(at)] = sizes
+            self.places[self.filled:end] = places
+            self.filled = end
+            for n, i in enumerate(at, node):
+                nodes[i] = n
+        return nodes
+
+    def _nodes(self, units: list[str], keys: np.ndarray) -> np.ndarray:
+        """The node of each occurrence; -1 for what is not remembered (the mark and long units).
+
+        An occurrence starts at its word's node and goes down by the first
+        candidate that its key skips, until it skips none.
         """
-        known, before = self.known[variant], self.before[variant]
-        if len(known) > REMEMBERED:
-            before = self.before[variant] = known
-            known = self.known[variant] = {}
-        new = units.difference(known)
-        known.update({u: before[u] for u in new if u in before})
-        known.update(self.segment_many([u for u in new.difference(known) if 0 < len(u) < LONG], variant))
-
-    def _rare(self, unit: str, variant: int) -> bytes:
-        ids = [self.table.byte_ids[b] for b in SPACE.encode()] if unit == _MARK else self.segment(unit, variant)
+        new = list(set(units).difference(self.known))
+        short = [u for u in new if 0 < len(u) < LONG]
+        self.known.update(dict.fromkeys(new, -1))
+        self.known.update(zip(short, self._add(short, [0] * len(short), 0)))
+        nodes = np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
+        open_ = np.flatnonzero(nodes >= 0) if len(self.skip) else np.zeros(0, int)
+        for depth in range(1, 4 * LONG):
+            at = nodes[open_]
+            starts, sizes = self.spans[:, at]
+            ends = np.cumsum(sizes)
+            which = np.repeat(np.arange(len(open_)), sizes)
+            place = np.arange(len(which)) - np.repeat(ends - sizes, sizes)
+            skipped = np.flatnonzero(self.skip[(np.repeat(keys[open_], sizes) + self.places[np.repeat(starts, sizes) + place]) % _SLOTS])
+            skipped = skipped[np.diff(which[skipped], prepend=-1) > 0]  # the first of each occurrence
+            if not len(skipped):
+                break
+            open_ = open_[which[skipped]]
+            steps, first, back = np.unique(at[which[skipped]] << 8 | place[skipped], return_index=True, return_inverse=True)
+            found = [self.after.get(x, -1) for x in steps.tolist()]
+            lack = [n for n, x in enumerate(found) if x < 0]
+            some = open_[first[lack]].tolist()
+            for n, node in zip(lack, self._add([units[i] for i in some], keys[some].tolist(), depth)):
+                found[n] = self.after[int(steps[n])] = node
+            nodes[open_] = np.array(found, np.int64)[back]
+        return nodes
+
+    def _rare(self, unit: str, key: int) -> bytes:
+        ids = [self.table.byte_ids[b] for b in SPACE.encode()] if unit == _MARK else self.segment(unit, key)
         return np.array(ids, "<i4").tobytes()
 
     def encode_many(self, texts: list[str | None], keys: list[int]) -> list[np.ndarray | None]:
-        """Ids per text; a key chooses a text's first variant.  None gives None, the empty text no ids."""
+        """Ids per text; a text's key and a word's place in it choose the skips.  None gives None, the empty text no ids."""
         out: list[np.ndarray | None] = []
         at = 0
         while at < len(texts):
-            units, first, held = [], at, 0
+            units, ends, held, first = [], [], 0, at
             while at < len(texts) and held < TOGETHER:
-                units.append(self._units(texts[at]) if texts[at] else [])
+                units.extend(self._units(texts[at]) if texts[at] else [])
+                ends.append(len(units))
                 held += len(texts[at] or "")
                 at += 1
-            need: list[set[str]] = [set() for _ in range(VARIANTS)]
-            for u, key in zip(units, keys[first:at]):
-                for v in range(VARIANTS):
-                    need[(key + v) % VARIANTS].update(u[v::VARIANTS])
-            for v in range(VARIANTS):
-                self._learn(v, need[v])
-            for u, key, text in zip(units, keys[first:at], texts[first:at]):
-                ids: list = [None] * len(u)
-                for v in range(VARIANTS):
-                    which = (key + v) % VARIANTS
-                    ids[v::VARIANTS] = map(self.known[which].get, u[v::VARIANTS])
-                if None in ids:
-                    for n, found in enumerate(ids):
-                        if found is None:  # the mark, or a long unit
-                            ids[n] = self._rare(u[n], (key + n) % VARIANTS)
-                out.append(None if text is None else np.frombuffer(b"".join(ids), "<i4"))
+            starts = [0, *ends[:-1]]
+            own = np.concatenate([self._keys(k, b - a) for k, a, b in zip(keys[first:at], starts, ends)])
+            if len(self.made) > REMEMBERED or len(self.known) > REMEMBERED:
+                self._forget()
+            nodes = self._nodes(units, own)
+            ids = [self.made[n] if n >= 0 else b"" for n in nodes.tolist()]
+            for n in np.flatnonzero(nodes < 0).tolist():
+                ids[n] = self._rare(units[n], int(own[n]))
+            out.extend(None if text is None else np.frombuffer(b"".join(ids[a:b]), "<i4")
+                       for text, a, b in zip(texts[first:at], starts, ends))
         return out
 
     def encode(self, text: str, key: int = 0) -> list[int]:
@@ -322,7 +387,7 @@ def decode_ids(table: PieceTable, ids) -> str:
 
 
 def _key(column: str) -> Column:
-    return F.pmod(F.xxhash64(F.col(column)), F.lit(1 << 20))
+    return F.xxhash64(F.col(column))
 
 
 def encode(docs: DataFrame, table: PieceTable, *, text: str = "text", key: str = "doc_id", alpha: float = 0.1,

@@ -227,3 +227,29 @@ def test_licenses_match_exact_containment(spark):
     assert {i: got[i].licenses for i in range(20, 26)} == {
         20: "MIT", 21: "MIT", 22: "GPL-3.0", 23: "", 24: "CC-BY-NC-4.0", 25: ""}
     assert got[20].containment == 1.0 and got[20].n_matches == 1 and got[1].n_matches == 0
+
+
+def test_pieces_occurrences_have_skips_of_their_own(table):
+    text = " ".join(["segmentation"] * 400)
+    word = pieces.SPACE + "segmentation"
+    e, copies = pieces.Encoder(table, 0.1, 1), 300
+    # Copies of a text under different keys: as many encodings.
+    got = e.encode_many([text] * copies, list(range(copies)))
+    assert len({tuple(g.tolist()) for g in got}) == copies
+    # Occurrences of a word vary within one document and come near independent draws: each candidate is
+    # skipped in a tenth of the cases, so nothing is skipped in 0.9 ** merges of them.
+    units = [word] * 40_000
+    nodes = e._nodes(units, e._keys(5, len(units)))
+    ids = [e.made[n] for n in nodes]
+    places = e.spans[1, e.known[word]]
+    assert places >= 3 and len(set(ids)) > 2 * places
+    assert abs(np.mean(nodes == e.known[word]) - 0.9 ** places) < 0.03
+    # What is remembered gives the same ids as an agenda run for the occurrence alone.
+    keys = e._keys(5, len(units))[:500]
+    assert all(x == np.array(e.segment(word, int(k)), "<i4").tobytes() for x, k in zip(ids, keys))
+    mixed = [pieces.SPACE + w for w in prose(9, 200).split()] + ["日本", "ñ☃x", "\0a", "\n", "é" * 9] * 20
+    for alpha in (0.1, 0.5):
+        e = pieces.Encoder(table, alpha, 3)
+        keys = e._keys(-7, len(mixed))
+        assert [e.made[n] for n in e._nodes(mixed, keys)] == [
+            np.array(e.segment(u, int(k)), "<i4").tobytes() for u, k in zip(mixed, keys)]
