@@ -12,7 +12,6 @@ at the threshold is lost; a fitted sample only decides how much is pruned.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -100,30 +99,34 @@ def _unit(raw: list) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _deal(batches: Iterator[pd.DataFrame], q: Quantiser, radius: float) -> Iterator[pd.DataFrame]:
-    """Each class as a member of its list (probe false) and as a query of every list it probes."""
-    for pdf in batches:
-        if not len(pdf):
-            continue
+def _deal(batches: Iterator[pd.DataFrame], index: dict[int, tuple[int, Quantiser]], radius: float) -> Iterator[pd.DataFrame]:
+    """Each class as a member of its list (probe false) and as a query of every list it probes.
+
+    ``index`` has the first list and the quantiser of each vector length.
+    """
+    for dims, pdf in ((d, part) for whole in batches for d, part in whole.groupby(whole["embedding"].map(len))):
+        start, q = index[dims]
         x = _unit(pdf["embedding"].tolist())
         own = _nearest(x, q.coarse)
         codes, missed = q.encode(x - q.coarse[own])
         member = pdf[["label", "node", "size", "embedding"]].assign(
-            list=own, probe=False, codes=[c.tobytes() for c in codes], missed=missed)
+            list=start + own, probe=False, codes=[c.tobytes() for c in codes], missed=missed)
         probes = q.probes(x, radius)
         at = np.repeat(np.arange(len(x)), [len(p) for p in probes])
         query = pdf.iloc[at][["label", "node", "size", "embedding"]].assign(
-            list=np.concatenate(probes), probe=True, codes=None, missed=0.0)
+            list=start + np.concatenate(probes), probe=True, codes=None, missed=0.0)
         yield pd.concat([member, query], ignore_index=True)
 
 
-def _search(batches: Iterator[pd.DataFrame], q: Quantiser, cosine: float) -> Iterator[pd.DataFrame]:
+def _search(batches: Iterator[pd.DataFrame], index: dict[int, tuple[int, Quantiser]], cosine: float) -> Iterator[pd.DataFrame]:
     """(u, v, n): per query its links' number and a member they share a group with; per member its group."""
     radius = np.sqrt(max(0.0, 2 - 2 * cosine))
     for (_, where, _, _), rows in runs_of(batches, ["label", "list", "mb", "qb"]):
         members, queries = [r for r in rows if not r[8]], [r for r in rows if r[8]]
         if not members or not queries:
             continue
+        start, q = index[len(members[0][6])]  # a list has vectors of one length
+        centre = q.coarse[where - start]
         names = np.array([r[4] for r in members])
         sizes = np.array([r[5] for r in members])
         x = _unit([r[6] for r in members])
@@ -135,7 +138,7 @@ def _search(batches: Iterator[pd.DataFrame], q: Quantiser, cosine: float) -> Ite
             part = queries[i:i + STEP]
             y = _unit([r[6] for r in part])
             who = np.array([r[4] for r in part])
-            near = q.lower_bounds(y - q.coarse[where], codes, missed) <= radius + EPS
+            near = q.lower_bounds(y - centre, codes, missed) <= radius + EPS
             near &= who[:, None] != names
             a, b = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
             if not len(a):
@@ -158,15 +161,15 @@ def near_duplicates(vectors: DataFrame, *, cosine: float = 0.98, sample: int = 2
                     per_list: int = 800, max_lists: int = 1024) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept, from (vec_id, embedding, label).
 
-    Vectors link when their labels are equal and their cosine is at least
-    ``cosine``.  Null, zero and empty vectors, vectors with null or non-finite
-    components, null labels, and vectors whose length is not the sample's most
-    common one link with nothing.  Equal vectors of a label are
+    Vectors link when their labels and lengths are equal and their cosine is at
+    least ``cosine``.  Null, zero and empty vectors, vectors with null or
+    non-finite components, and null labels link with nothing.  Equal vectors of a label are
     one class, searched once; every copy counts as a link.  Repeated rows are
     copies too, a null vec_id names a component only where there is no other.
-    The quantiser is fitted on at most ``sample`` classes (least hashes first)
-    and has one list for ``per_list`` classes, ``max_lists`` at most; every
-    class is indexed, and lists of any size are searched in bounded blocks.
+    Each vector length has a quantiser, fitted on its share of ``sample`` classes
+    (least hashes first; one class of a length that has none there), with one
+    list for ``per_list`` classes, ``max_lists`` at most; every class is
+    indexed, and lists of any size are searched in bounded blocks.
     """
     spark = vectors.sparkSession
     e = F.col("embedding")
@@ -181,16 +184,23 @@ def near_duplicates(vectors: DataFrame, *, cosine: float = 0.98, sample: int = 2
         F.first("label").alias("label"), F.first("embedding").alias("embedding"),
         F.count("*").alias("size"), F.min("vec_id").alias("vec_id")), "pq_classes")
 
-    total = classes.count()
-    picked = [r.embedding for r in classes.orderBy("node").limit(sample).select("embedding").collect()]
-    dims = max(Counter(map(len, picked)).items(), key=lambda c: (c[1], c[0]), default=(0, 0))[0]
+    lengths = {r.dims: r.n for r in classes.groupBy(F.size("embedding").alias("dims")).agg(F.count("*").alias("n")).collect()}
+    picked: dict[int, list] = {}
+    for r in classes.orderBy("node").limit(sample).select("embedding").collect():
+        picked.setdefault(len(r.embedding), []).append(r.embedding)
+    if len(picked) < len(lengths):
+        rare = classes.where(~F.size("embedding").isin(*picked)).groupBy(F.size("embedding").alias("dims"))
+        picked |= {r.dims: [r.embedding] for r in rare.agg(F.min_by("embedding", "node").alias("embedding")).collect()}
     links = None
-    if total > 1:
-        fit = _unit([p for p in picked if len(p) == dims])
-        q = Quantiser.fit(fit, int(np.clip(total // per_list, 8, max_lists)))
-        held = spark.sparkContext.broadcast(q)
+    if sum(lengths.values()) > 1:
+        index, start = {}, 0
+        for dims in sorted(picked):
+            q = Quantiser.fit(_unit(picked[dims]), int(np.clip(lengths[dims] // per_list, 8, max_lists)))
+            index[dims] = start, q
+            start += len(q.coarse)
+        held = spark.sparkContext.broadcast(index)
         radius = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
-        dealt = materialize(classes.where(F.size("embedding") == dims).select("label", "node", "size", "embedding").mapInPandas(
+        dealt = materialize(classes.select("label", "node", "size", "embedding").mapInPandas(
             lambda it: _deal(it, held.value, radius),
             "label string, node bigint, size bigint, embedding array<double>, list int, probe boolean, "
             "codes binary, missed double"), "pq_dealt")

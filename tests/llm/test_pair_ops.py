@@ -147,6 +147,28 @@ def test_product_quantisation_matches_brute_force(spark, monkeypatch):
     assert pq_neardup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_product_quantisation_searches_every_length(spark):
+    r = np.random.default_rng(8)
+    rows = []
+    for dims, groups in ((24, 20), (5, 6), (1, 1), (9, 1)):
+        for g in range(groups):
+            centre = r.standard_normal(dims)
+            rows += [(len(rows) + c, (centre * (1 + c) + 1e-4 * r.standard_normal(dims)).tolist(), g % 2) for c in range(4)]
+    rows.append((500, rows[0][1] + [0.0], rows[0][2]))  # equal but for its length: no link
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    units = [np.array(v) / np.linalg.norm(v) for _, v, _ in rows]
+    links, count = Links([v[0] for v in rows]), {v[0]: 0 for v in rows}
+    for i, a in enumerate(rows):
+        for j, b in enumerate(rows):
+            if i != j and a[2] == b[2] and len(a[1]) == len(b[1]) and units[i] @ units[j] >= 0.98:
+                links.join(a[0], b[0])
+                count[a[0]] += 1
+    assert count[500] == 0 and all(n >= 3 for i, n in count.items() if i != 500)
+    for sample in (20_000, 3):  # 3: lengths that the sample has not
+        got = {x.vec_id: (x.n_links, x.component_id) for x in pq_neardup.near_duplicates(df, per_list=10, sample=sample).collect()}
+        assert got == {i: (n, links.find(i)) for i, n in count.items()}
+
+
 def test_chat_windows_read_back(spark):
     r = random.Random(3)
     rows = []
