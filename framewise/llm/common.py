@@ -7,6 +7,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -127,3 +129,14 @@ def connected_components(edges: DataFrame, name: str) -> DataFrame:
             delete_path(spark, kept.pop(0))
     return cur.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         cur.select("v", "v").distinct())
+
+
+def bounded_parts(batches: Iterator[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in order, in slices that hold about ``size`` bytes of ``column`` (one row at least)."""
+    for batch in batches:
+        widths = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(widths.astype(np.int64)) // size
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+        for a, b in itertools.pairwise(cuts):
+            if b > a:
+                yield batch.slice(a, b - a)

@@ -54,5 +54,30 @@ FROM doc LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+OP12 = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+  FROM documents),
+drawn AS (
+  SELECT doc_id, text, u, len(u) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS x,
+         ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS y, ('0x' || h[17:24])::BIGINT % 100 AS c,
+         ('0x' || h[25:32])::BIGINT % 100 AS o
+  FROM cut),
+parts AS (
+  SELECT *, array_to_string(u[1:least(x, y)], '') AS p, array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS m,
+         array_to_string(u[greatest(x, y) + 1:], '') AS s,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR c >= 50
+              THEN 'plain' WHEN o < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_spread": OP2, "op4_wu_manber": OP4}
+    return {"op2_line_spread": OP2, "op4_wu_manber": OP4, "op12_fim_swar": OP12}
