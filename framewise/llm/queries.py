@@ -84,9 +84,20 @@ def op12_fim_swar(spark, sf_dir):
     return fill_middle.digests(fill_middle.transform(_table(spark, sf_dir, "documents")))
 
 
+#: Tokenizers file (BPE with word ends) and the id that ends a document; read on the driver only.
+WORDS, END_ID = "/opt/tokenizers/word_bpe_49k.json", 2
+
+
+def op13_static_rans(spark, sf_dir, tokenizer: str = WORDS):
+    from framewise.llm import token_files
+    with open(tokenizer, encoding="utf-8") as f:
+        files = token_files.write(_table(spark, sf_dir, "documents"), f.read(), end=END_ID)
+    return token_files.documents(files)
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_toxicity_chain, op2_line_spread, op3_knn_quality, op4_wu_manber, op5_count_rtree,
         op6_chat_windows, op7_secret_ownership, op8_merge_dropout, op9_product_quantisation,
-        op10_license_minhash, op12_fim_swar,
+        op10_license_minhash, op12_fim_swar, op13_static_rans,
     )}

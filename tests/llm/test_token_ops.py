@@ -13,7 +13,9 @@ import pytest
 sys.path.insert(0, str(Path(__file__).parent))
 from llm_helpers import EDGE, documents, prose  # noqa: E402
 
-from framewise.llm import fill_middle  # noqa: E402
+from tokenizers import Tokenizer  # noqa: E402
+
+from framewise.llm import fill_middle, queries, rans, token_files  # noqa: E402
 
 UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
 
@@ -72,3 +74,115 @@ def test_unit_index_cuts_at_every_unit():
             size = index.cut(want)
             assert size[i] == len(b"".join(units[:k]))
             assert index.code_points(size)[i] == len(t[:size[i]].decode())
+
+
+WORD_FILE = Path(queries.WORDS)
+
+
+def plain_tokens(rows, end=2):
+    tok = Tokenizer.from_file(str(WORD_FILE))
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, hashlib.sha256((r[1] or "").encode()).digest()))
+    out, start = [], 0
+    for key, text in ordered:
+        ids = tok.encode(text or "", add_special_tokens=False).ids + [end]
+        out.append((key, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    return out
+
+
+def test_token_files_equal_the_library_on_odd_texts(spark):
+    r = random.Random(5)
+    rows = [(r.randrange(10**9), odd_text(r)) for _ in range(500)] + EDGE + [
+        (20, "Straße, DON'T stop!! a<|endoftext|>b <|startoftext|> x"), (21, "İstanbul Ünï co.de's 12,5; é ΑΣ"),
+        (22, prose(3, 60_000)), (23, "x" * 5000)] + [(24, prose(12, 30))] * 400
+    got = token_files.documents(token_files.write(documents(spark, rows), WORD_FILE.read_text()))
+    assert got.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    assert sorted(map(tuple, got.collect()), key=lambda x: x[1]) == plain_tokens(rows)
+    assert max(x[2] for x in plain_tokens(rows)) > 2 * rans.BLOCK  # one document spans blocks
+
+
+def test_token_files_of_empty_table_and_without_end(spark):
+    assert token_files.documents(token_files.write(documents(spark, []), WORD_FILE.read_text())).count() == 0
+    files = token_files.write(documents(spark, [(3, ""), (1, None)]), WORD_FILE.read_text(), end=None)
+    assert [tuple(r) for r in token_files.documents(files).orderBy("doc_id").collect()] == [(1, 0, 0, 0), (3, 0, 0, 0)]
+
+
+def test_token_files_can_be_opened_later_and_ids_read(spark):
+    rows = [(i, prose(i, 50)) for i in range(40)]
+    path = token_files.write(documents(spark, rows), WORD_FILE.read_text()).path
+    tok = Tokenizer.from_file(str(WORD_FILE))
+    for r in token_files.pieces(token_files.open_files(spark, path)).collect():
+        assert np.frombuffer(r.ids, "<u4").tolist() == tok.encode(rows[r.doc_id][1], add_special_tokens=False).ids + [2]
+
+
+@pytest.fixture
+def one_file(tmp_path, monkeypatch):
+    monkeypatch.setattr(rans, "BLOCK", 1024)
+    monkeypatch.setattr(rans, "STEPS", 4)
+    monkeypatch.setattr(token_files, "BATCH", 3)
+    r = np.random.default_rng(1)
+    docs = [(i if i % 7 else None, r.zipf(1.3, n).clip(max=70_000).astype("<u4")) for i, n in
+            enumerate([0, 1, 1024, 1023, 5, 0, 6000, 2048, 0, 3])]
+    ids, counts = np.unique(np.concatenate([d for _, d in docs]), return_counts=True)
+    table = rans.Table.of_counts(ids, counts)
+    writer = token_files.FileWriter(str(tmp_path / "a.tokens"), table)
+    for key, own in docs:
+        writer.add(key, own)
+    writer.close()
+    return docs, table, tmp_path / "a.tokens"
+
+
+def read_file(path, table, runs_of=3):
+    index = token_files.read_index(str(path))
+    raw = path.read_bytes()
+    for i in range(0, len(index), runs_of):
+        some = index[i: i + runs_of]
+        at = int(some["at"][0])
+        yield from token_files.read_blocks(raw[at: at + int(some["size"].sum())], some["crc"].tolist(), table)
+
+
+@pytest.mark.parametrize("runs_of", [1, 2, 3, 100])
+def test_blocks_decode_alone_and_together(one_file, runs_of):
+    docs, table, path = one_file
+    table = rans.Table.from_bytes(table.to_bytes())
+    seen = {}
+    for block, ids in read_file(path, table, runs_of):
+        at = 0
+        for i, p in enumerate(block.pieces):
+            key = None if p["null"] else int(p["doc_id"])
+            seen.setdefault(block.ordinal + i, (key, []))[1].extend(ids[at: at + p["n"]].tolist())
+            at += p["n"]
+        assert at == len(ids) == block.fill
+    assert [seen[i] for i in range(len(docs))] == [(k, d.tolist()) for k, d in docs]
+
+
+def test_damage_is_found(one_file):
+    docs, table, path = one_file
+    raw = bytearray(path.read_bytes())
+    index = token_files.read_index(str(path))
+    raw[int(index["at"][1]) + int(index["size"][1]) - 2] ^= 1
+    path.write_bytes(raw)
+    with pytest.raises(ValueError, match="damaged block"):
+        list(read_file(path, table))
+    raw[-30] ^= 1
+    path.write_bytes(raw)
+    with pytest.raises(ValueError, match="damaged index"):
+        token_files.read_index(str(path))
+
+
+def test_coded_size_is_near_the_entropy():
+    r = np.random.default_rng(2)
+    ids = r.zipf(1.5, rans.BLOCK).clip(max=49_000)
+    kinds, counts = np.unique(ids, return_counts=True)
+    table = rans.Table.of_counts(kinds, counts)
+    words, places, states = table.encode(ids[None, :])
+    entropy = -(counts * np.log2(counts / counts.sum())).sum() / 8
+    assert 4 * len(words[0]) < 1.02 * entropy + 8 * rans.LANES
+    assert len(places[0]) == rans.BLOCK // rans.LANES // rans.STEPS == len(states[0])
+
+
+def test_joined_crc():
+    r = random.Random(1)
+    for n, m in [(0, 0), (1, 0), (0, 5), (3, 1), (1000, 777)]:
+        a, b = r.randbytes(n), r.randbytes(m)
+        assert rans.joined_crc(zlib.crc32(a), zlib.crc32(b), m) == zlib.crc32(a + b)
