@@ -54,6 +54,51 @@ FROM doc LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+OP11 = r"""
+WITH turn_rows AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+conv AS (
+  SELECT conv_id, count(*) AS n, conv_id - conv_id % 5 AS base, xor(list_reduce(
+    list_concat([4294967295], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+    lambda crc, b: list_reduce(list_concat([xor(crc, b)], range(8)),
+                               lambda v, i: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295) % 9 AS h
+  FROM turn_rows GROUP BY conv_id),
+plan AS (
+  SELECT c.*, least(c.h, coalesce(b.n, 0)) AS got FROM conv c LEFT JOIN conv b ON b.conv_id = c.base),
+built AS (
+  SELECT p.conv_id, t.pos, t.role, t.text FROM plan p JOIN turn_rows t ON t.conv_id = p.base AND t.pos <= p.h
+  UNION ALL
+  SELECT p.conv_id, t.pos - p.h + p.got, t.role, t.text FROM plan p JOIN turn_rows t USING (conv_id) WHERE t.pos > p.h),
+-- Every member's prefixes: the turns in order, with lengths so that no two sequences are written alike.
+paths AS (
+  SELECT conv_id, pos AS depth, octet_length(encode(text)) AS size, string_agg(
+           length(role) || ':' || length(text) || ':' || role || text, '|') OVER (
+           PARTITION BY conv_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS path
+  FROM built
+  UNION ALL SELECT conv_id, 0, 0, '' FROM plan),
+lengths AS (SELECT conv_id, max(depth) AS len FROM paths GROUP BY conv_id),
+nodes AS (
+  SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, max(size) AS size,
+         count(*) FILTER (depth = len) AS n_ends,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = len), '') AS ends
+  FROM paths JOIN lengths USING (conv_id) GROUP BY depth, path),
+-- A node's ancestors are the prefixes of its smallest member.
+above AS (
+  SELECT n.conv_id, n.depth, n.n_convs, n.size, n.n_ends, p.depth AS up, p.path AS up_path
+  FROM nodes n JOIN paths p ON p.conv_id = n.conv_id AND p.depth <= n.depth),
+below AS (
+  SELECT up AS depth, up_path AS path, count(*) FILTER (above.depth = up + 1) AS n_children,
+         count(*) FILTER (n_convs = n_ends) AS n_leaves, sum((n_convs - 1) * size)::BIGINT AS saved_tokens
+  FROM above GROUP BY up, up_path)
+SELECT n.conv_id, n.depth, m.conv_id AS parent_conv_id, n.n_convs, b.n_children, b.n_leaves, b.saved_tokens,
+       sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN below b USING (depth, path)
+LEFT JOIN paths p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1
+LEFT JOIN nodes m ON m.depth = p.depth AND m.path = p.path
+"""
+
 OP12 = r"""
 WITH cut AS (
   SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
@@ -80,4 +125,4 @@ FROM parts
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_spread": OP2, "op4_wu_manber": OP4, "op12_fim_swar": OP12}
+    return {"op2_line_spread": OP2, "op4_wu_manber": OP4, "op11_turn_trie": OP11, "op12_fim_swar": OP12}

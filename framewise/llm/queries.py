@@ -79,6 +79,11 @@ def op10_license_minhash(spark, sf_dir):
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
 
+def op11_turn_trie(spark, sf_dir):
+    from framewise.llm import turn_trie
+    return turn_trie.conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
 def op12_fim_swar(spark, sf_dir):
     from framewise.llm import fill_middle
     return fill_middle.digests(fill_middle.transform(_table(spark, sf_dir, "documents")))
@@ -99,5 +104,5 @@ def queries() -> dict:
     return {f.__name__: f for f in (
         op1_toxicity_chain, op2_line_spread, op3_knn_quality, op4_wu_manber, op5_count_rtree,
         op6_chat_windows, op7_secret_ownership, op8_merge_dropout, op9_product_quantisation,
-        op10_license_minhash, op12_fim_swar, op13_static_rans,
+        op10_license_minhash, op11_turn_trie, op12_fim_swar, op13_static_rans,
     )}

@@ -15,7 +15,7 @@ from llm_helpers import EDGE, documents, prose  # noqa: E402
 
 from tokenizers import Tokenizer  # noqa: E402
 
-from framewise.llm import fill_middle, queries, rans, token_files  # noqa: E402
+from framewise.llm import fill_middle, queries, radix_tree, rans, token_files, turn_trie  # noqa: E402
 
 UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
 
@@ -186,3 +186,84 @@ def test_joined_crc():
     for n, m in [(0, 0), (1, 0), (0, 5), (3, 1), (1000, 777)]:
         a, b = r.randbytes(n), r.randbytes(m)
         assert rans.joined_crc(zlib.crc32(a), zlib.crc32(b), m) == zlib.crc32(a + b)
+
+
+def plain_trie(rows):
+    convs = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            convs.setdefault(c, []).append(((turn is not None, turn or 0), role or "", text or ""))
+    own = {c: [(r, t) for _, r, t in sorted(ts)] for c, ts in convs.items()}
+    built = {}
+    for c, ts in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        built[c] = own.get(c - int(np.fmod(c, 5)), [])[:h] + ts[h:]
+    members, ends = {}, {}
+    for c, ts in built.items():
+        for d in range(len(ts) + 1):
+            members.setdefault(tuple(ts[:d]), []).append(c)
+        ends.setdefault(tuple(ts), []).append(c)
+    below = {n: [0, 0, 0] for n in members}
+    for n in members:
+        leaf = not any(len(m) == len(n) + 1 and m[:len(n)] == n for m in members)
+        saved = (len(members[n]) - 1) * len(n[-1][1].encode()) if n else 0
+        for d in range(len(n) + 1):
+            below[n[:d]][1] += leaf
+            below[n[:d]][2] += saved
+        if n:
+            below[n[:-1]][0] += 1
+    return sorted((min(cs), len(n), min(members[n[:-1]]) if n else None, len(cs), *below[n],
+                   sha(",".join(map(str, sorted(ends.get(n, [])))))) for n, cs in members.items())
+
+
+TURN_SCHEMA = "conv_id bigint, turn bigint, role string, text string, depth int, s string"
+
+
+def trie_of(spark, rows):
+    docs = spark.createDataFrame([(*r, 1, "x") for r in rows], TURN_SCHEMA)
+    got = turn_trie.conversation_trie(docs)
+    assert got.columns == ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+    return sorted(map(tuple, got.collect()))
+
+
+def test_trie_equals_plain_sets(spark):
+    r = random.Random(8)
+    rows = [(c, t, r.choice(["user", "assistant", None]), r.choice(["a", "b", "é", "", None]))
+            for c in range(-30, 120) if c % 11 for t in range(r.randrange(1, 20))]
+    rows += [(7, 3, "user", "a")] * 5 + [(None, 0, "user", "x"), (200, None, "user", "first"), (200, None, "user", "first")]
+    rows += [(1000 + c, t, "user", str(t)) for c in range(60) for t in range(20)]  # copies of one conversation
+    rows += [(2001, t % 7, "user", "again") for t in range(2500)]  # a long one of repeated turns
+    r.shuffle(rows)
+    assert trie_of(spark, rows) == plain_trie(rows)
+
+
+def test_trie_of_turnless_and_no_conversations(spark):
+    assert trie_of(spark, []) == [] == trie_of(spark, [(None, 1, "user", "x")])
+    short = [(c, 0, "user", "x") for c in (6, 7, 8, 9) if zlib.crc32(str(c).encode()) % 9]
+    assert trie_of(spark, short) == plain_trie(short) and plain_trie(short)[0][3] == len(short)
+
+
+def test_radix_tree_totals_at_aligned_depths():
+    tree = radix_tree.RadixTree(lambda a, b: a + b)
+    r = random.Random(4)
+    keys = [bytes(r.choice(b"ab") for _ in range(4 * r.randrange(5))) for _ in range(500)]
+    keys += [bytes([b, c]) * 2 for b in range(256) for c in range(0, 256, 5)]
+    want = {}
+    for k in keys:
+        tree.insert(k, 1)
+        for d in range(len(k) // 4 + 1):
+            want[k[:4 * d]] = want.get(k[:4 * d], 0) + 1
+    assert sorted(tree.totals(4)) == sorted((len(k) // 4, n) for k, n in want.items())
+    assert tree.n_keys == len(set(keys))
+
+
+@pytest.mark.parametrize("fan", [1, 4, 5, 16, 17, 48, 49, 256])
+def test_node_layouts_grow_with_children(fan):
+    tree = radix_tree.RadixTree(lambda a, b: a + b)
+    order = random.Random(fan).sample(range(256), fan)
+    for b in order + order:
+        tree.insert(bytes([b, 7]), 1)
+    kind = type(tree.root.kids).__name__, getattr(tree.root.kids, "room", 0)
+    assert kind == (("_Sorted", 4) if fan <= 4 else ("_Sorted", 16) if fan <= 16 else ("_Indexed", 0) if fan <= 48 else ("_Direct", 0))
+    assert [b for b, _ in tree.root.kids.items()] == sorted(order)
+    assert sorted(tree.totals(2)) == [(0, 2 * fan)] + [(1, 2)] * fan
