@@ -21,6 +21,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -53,70 +54,67 @@ _PIECE = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("n", "<i8")])
 
 # ---------------------------------------------------------------- tokenizing
 
-class WordEncoder:
-    """A tokenizers file applied to whole texts; words between ASCII white space are remembered.
+class WordEncoder(dict):
+    """Ids of words by their UTF-8 bytes, for a tokenizers file; ``encode`` applies it to whole texts.
 
-    For tokenizers whose pre-tokens never hold or cross white space; ``check``
-    refuses others.  A Latin word with punctuation behind it is put together
-    from its lower-cased letters and the punctuation where the tokenizer
-    lower-cases and splits there.
+    For a tokenizer whose pieces never hold or cross ASCII white space a text is
+    encoded word by word, and words are remembered (two generations of
+    ``REMEMBERED``).  A Latin word goes to the tokenizer's own model directly,
+    lower-cased and without the punctuation behind it, where trials show that
+    this is what the tokenizer does; any other word goes through all its steps.
     """
 
-    _PARTS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+    #: Letters of one or two bytes, then punctuation (no apostrophe, which may open an ending, and no "<").
+    _PARTS = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:;=-@[-`{-~]*)")
+    _TRIALS = ["Straße.", "WORD,", "Été;:", "thwhst", "ÀÖØöÿ!?", "a", "ÆÐÞ...", "Ångström:", "the&&&", 'x)."', "of%%%", "a_"]
 
     def __init__(self, spec: str, end: int | None) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_str(spec)
+        self.model = self.tok.model
         self.end = b"" if end is None else struct.pack("<I", end)
-        self.known: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
-        self.whole = not self._word_wise()
-        self.parted = not self.whole and self._same(["Straße.", "WORD,", "Été;:"], lambda w: self._split(w))
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _same(self, words: list[str], parts) -> bool:
-        return all(self._ids([w])[0] == b"".join(self._ids(parts(w))) for w in words)
-
-    def _word_wise(self) -> bool:
+        self.letters = {ord(c): "".join(_byte_sign(b) for b in c.encode()) for c in map(chr, range(0xC0, 0x100))}
         probe = " a b\t\ncd  'll x.y\r\n 12 é "
-        return self._ids([probe])[0] == b"".join(self._ids(probe.split()))
-
-    def _split(self, word: str) -> list[str]:
-        m = self._PARTS.fullmatch(word)
-        return [p for p in (m[1].lower(), m[2]) if p] if m else [word]
-
-    def _learn(self, lack: set[bytes]) -> None:
-        if len(self.known) > REMEMBERED:
-            self.old, self.known = self.known, {}
-        new = {}
-        for w in lack:
-            if (ids := self.old.get(w)) is not None:
-                self.known[w] = ids
-            else:
-                s = w.decode("utf-8", "replace")
-                new[w] = self._split(s) if self.parted else [s]
-        parts = {p.encode("utf-8", "surrogatepass") for ps in new.values() for p in ps} - self.known.keys()
-        unseen = [p for p in parts if p not in self.old]
-        self.known.update((p, self.old[p]) for p in parts if p in self.old)
-        self.known.update(zip(unseen, self._ids([p.decode("utf-8", "surrogatepass") for p in unseen])))
-        for w, ps in new.items():
-            self.known[w] = b"".join(self.known[p.encode("utf-8", "surrogatepass")] for p in ps)
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Little-endian 32-bit ids of every text, with the end id."""
-        if self.whole:
-            return [i + self.end for i in self._ids([t.decode("utf-8", "replace") for t in texts])]
-        split = [t.split() for t in texts]
-        lack = set().union(*map(set, split)) - self.known.keys()
-        if lack:
-            self._learn(lack)
-            lack = set().union(*map(set, split)) - self.known.keys()  # words moved to the old generation meanwhile
-            self.known.update((w, self.old[w]) for w in lack)
-        get = self.known.__getitem__
-        return [b"".join(map(get, words)) + self.end for words in split]
+        self.by_word = self._ids(probe) == b"".join(map(self._ids, probe.split()))
+        self.latin = False  # while the trials run
+        self.latin = self.by_word and all(self._of_parts(*self._PARTS.fullmatch(w.encode()).groups()) == self._ids(w) for w in self._TRIALS)
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _of_parts(self, word: bytes, behind: bytes) -> bytes:
+        text = word.lower().decode() if word.isascii() else word.decode().lower().translate(self.letters)
+        ids = array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
+        return ids + self[behind] if behind else ids
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) > REMEMBERED:
+            self.old = dict(self)
+            self.clear()
+        ids = self.old.get(word)
+        if ids is None:
+            parts = self._PARTS.fullmatch(word) if self.latin else None
+            ids = self._of_parts(*parts.groups()) if parts else self._ids(word.decode("utf-8", "replace"))
+        self[word] = ids
+        return ids
+
+    def encode(self, text: bytes) -> bytes:
+        """Little-endian 32-bit ids of a text, with the end id."""
+        if self.by_word:
+            return b"".join(map(self.__getitem__, text.split())) + self.end  # bytes split at ASCII white space only
+        return self._ids(text.decode("utf-8", "replace")) + self.end
+
+
+def _byte_sign(byte: int) -> str:
+    """The character that stands for a byte above 0x7F in byte-level vocabularies.
+
+    Visible characters stand for themselves, the others for U+0100 and on:
+    first 0x00 to 0x20 and 0x7F, then 0x80 to 0xA0 and 0xAD.
+    """
+    hidden = [*range(0x21), *range(0x7F, 0xA1), 0xAD]
+    return chr(0x100 + hidden.index(byte)) if byte in hidden else chr(byte)
 
 
 _ENCODERS: dict[tuple, WordEncoder] = {}
@@ -154,7 +152,7 @@ def token_ids(docs: DataFrame, tokenizer: str, *, text: str = "text", key: str =
         encoder, squeeze = _encoder(held.value, end), zstandard.ZstdCompressor(level=1)
         for part in bounded_parts(batches, "text", TOGETHER):
             texts = [t or b"" for t in part["text"].to_pylist()]
-            ids = encoder.encode(texts)
+            ids = [encoder.encode(t) for t in texts]
             tie = [hashlib.sha256(t).digest()[:16] + struct.pack(">q", u) for t, u in zip(texts, part["u"].to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [part["doc_id"], pa.array(tie, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64()),
