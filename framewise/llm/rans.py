@@ -19,10 +19,8 @@ BLOCK = 1 << 16
 #: Frequencies sum to 2**SCALE.
 SCALE = 20
 
-_U32, _R = np.uint64(32), np.uint64(SCALE)
-_LEAST = np.uint64(1 << 31)
-_LOW = np.uint64(0xFFFFFFFF)
-_SLOT = np.uint64((1 << SCALE) - 1)
+_LEAST = 1 << 31
+_SLOT = (1 << SCALE) - 1
 
 
 class Table:
@@ -32,11 +30,12 @@ class Table:
         self.ids, self.freqs = ids.astype("<u4"), freqs.astype("<u4")
         if int(freqs.sum()) != 1 << SCALE:
             raise ValueError("frequencies do not fill the slots")
-        self._f = freqs.astype(np.uint64)
-        self._c = np.concatenate(([0], np.cumsum(freqs)))[:-1].astype(np.uint64)
-        self._slots = np.repeat(np.arange(len(ids), dtype=np.uint32), freqs.astype(np.int64))
+        # States are below 2**63, so signed words hold them, and index without a conversion.
+        self._f = freqs.astype(np.int64)
+        self._c = np.cumsum(self._f) - self._f
+        self._slots = np.repeat(np.arange(len(ids)), self._f)
         self._rank = np.full(int(ids.max()) + 1, -1, np.int64)
-        self._rank[ids] = np.arange(len(ids))
+        self._rank[ids.astype(np.int64)] = np.arange(len(ids))
         #: An id that costs little, to fill up the last step of a block.
         self.filler = int(ids[np.argmax(freqs)])
 
@@ -63,7 +62,7 @@ class Table:
         return cls(both[: len(both) // 2], both[len(both) // 2:])
 
     def ranks(self, ids: np.ndarray) -> np.ndarray:
-        found = self._rank[ids]
+        found = self._rank[ids.astype(np.int64)]
         if len(found) and found.min() < 0:
             raise ValueError("an id is not in the table")
         return found
@@ -73,19 +72,19 @@ class Table:
         n, width = blocks.shape
         steps = width // LANES
         symbols = self.ranks(blocks.reshape(-1)).reshape(n, steps, LANES)
-        x = np.full((n, LANES), _LEAST, np.uint64)
+        x = np.full((n, LANES), _LEAST)
         words = np.zeros((steps, n, LANES), np.uint32)
         gave = np.zeros((steps, n, LANES), bool)
         marks = {}
         for t in range(steps - 1, -1, -1):
             s = symbols[:, t, :]
             f = self._f[s]
-            out = x >= f << np.uint64(63 - SCALE)
+            out = x >> (63 - SCALE) >= f
             gave[t] = out
-            words[t] = (x & _LOW).astype(np.uint32)
-            x = np.where(out, x >> _U32, x)
+            words[t] = x  # the low 32 bits
+            x = np.where(out, x >> 32, x)
             q = x // f
-            x = (q << _R) + (x - q * f) + self._c[s]
+            x += (q << SCALE) - q * f + self._c[s]
             if t % STEPS == 0:
                 marks[t] = x
         runs = sorted(marks)
@@ -96,10 +95,10 @@ class Table:
     def decode(self, words: np.ndarray, places: np.ndarray, states: np.ndarray, steps: np.ndarray) -> list[np.ndarray]:
         """Ids of runs: place in ``words`` and states at each run's start, its number of steps."""
         order = np.argsort(-steps, kind="stable")  # longest first: those still going are a prefix
-        x, at = states[order].astype(np.uint64), places[order].astype(np.int64)
+        x, at = states[order].astype(np.int64), places[order].astype(np.int64)
         left = steps[order]
         out = np.empty((len(order), int(left[0]) if len(order) else 0, LANES), np.uint32)
-        padded = np.concatenate((words.astype(np.uint64), np.zeros(LANES, np.uint64)))
+        padded = np.concatenate((words.astype(np.int64), np.zeros(LANES, np.int64)))
         going = len(order)
         for t in range(out.shape[1]):
             while left[going - 1] <= t:
@@ -108,10 +107,10 @@ class Table:
             slot = y & _SLOT
             s = self._slots[slot]
             out[:going, t] = s
-            y = self._f[s] * (y >> _R) + slot - self._c[s]
+            y = self._f[s] * (y >> SCALE) + slot - self._c[s]
             take = y < _LEAST
             nth = np.cumsum(take, axis=1)
-            x[:going] = np.where(take, (y << _U32) | padded[at[:going, None] + nth - take], y)
+            x[:going] = np.where(take, (y << 32) | padded[at[:going, None] + nth - take], y)
             at[:going] += nth[:, -1]
         ids = [None] * len(order)
         for row, i in enumerate(order.tolist()):

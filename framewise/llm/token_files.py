@@ -73,7 +73,9 @@ class WordEncoder(dict):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_str(spec)
         self.model = self.tok.model
-        self.end = b"" if end is None else struct.pack("<I", end)
+        #: Ids take two bytes where the vocabulary allows.
+        self.kind = "H" if max(self.tok.get_vocab_size(), (end or 0) + 1) <= 1 << 16 else "I"
+        self.end = b"" if end is None else struct.pack("<" + self.kind, end)
         self.old: dict[bytes, bytes] = {}
         self.letters = {ord(c): "".join(_byte_sign(b) for b in c.encode()) for c in map(chr, range(0xC0, 0x100))}
         probe = " a b\t\ncd  'll x.y\r\n 12 é "
@@ -82,11 +84,11 @@ class WordEncoder(dict):
         self.latin = self.by_word and all(self._of_parts(*self._PARTS.fullmatch(w.encode()).groups()) == self._ids(w) for w in self._TRIALS)
 
     def _ids(self, text: str) -> bytes:
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array(self.kind, self.tok.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _of_parts(self, word: bytes, behind: bytes) -> bytes:
         text = word.lower().decode() if word.isascii() else word.decode().lower().translate(self.letters)
-        ids = array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
+        ids = array(self.kind, [t.id for t in self.model.tokenize(text)]).tobytes()
         return ids + self[behind] if behind else ids
 
     def __missing__(self, word: bytes) -> bytes:
@@ -101,7 +103,7 @@ class WordEncoder(dict):
         return ids
 
     def encode(self, text: bytes) -> bytes:
-        """Little-endian 32-bit ids of a text, with the end id."""
+        """The ids of a text, with the end id, as words of ``kind``."""
         if self.by_word:
             return b"".join(map(self.__getitem__, text.split())) + self.end  # bytes split at ASCII white space only
         return self._ids(text.decode("utf-8", "replace")) + self.end
@@ -128,15 +130,9 @@ def _encoder(spec: str, end: int | None) -> WordEncoder:
     return _ENCODERS[key]
 
 
-def _pack(ids: bytes, squeeze: zstandard.ZstdCompressor) -> bytes:
-    """Ids for a table: 16-bit where they fit, squeezed."""
-    wide = np.frombuffer(ids, "<u4")
-    narrow = not len(wide) or int(wide.max()) < 1 << 16
-    return (b"2" if narrow else b"4") + squeeze.compress(wide.astype("<u2").tobytes() if narrow else ids)
-
-
 def _unpack(packed: bytes, widen: zstandard.ZstdDecompressor) -> np.ndarray:
-    return np.frombuffer(widen.decompress(packed[1:]), "<u2" if packed[:1] == b"2" else "<u4").astype("<u4")
+    """Ids from a table: the size of a word, then the squeezed words."""
+    return np.frombuffer(widen.decompress(packed[1:]), f"<u{packed[:1].decode()}")
 
 
 def token_ids(docs: DataFrame, tokenizer: str, *, text: str = "text", key: str = "doc_id", end: int | None = 2) -> DataFrame:
@@ -153,10 +149,11 @@ def token_ids(docs: DataFrame, tokenizer: str, *, text: str = "text", key: str =
         for part in bounded_parts(batches, "text", TOGETHER):
             texts = [t or b"" for t in part["text"].to_pylist()]
             ids = [encoder.encode(t) for t in texts]
+            size = struct.calcsize(encoder.kind)
             tie = [hashlib.sha256(t).digest()[:16] + struct.pack(">q", u) for t, u in zip(texts, part["u"].to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [part["doc_id"], pa.array(tie, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64()),
-                 pa.array([_pack(i, squeeze) for i in ids], pa.binary())], ["doc_id", "tie", "n", "ids"])
+                [part["doc_id"], pa.array(tie, pa.binary()), pa.array([len(i) // size for i in ids], pa.int64()),
+                 pa.array([b"%d" % size + squeeze.compress(i) for i in ids], pa.binary())], ["doc_id", "tie", "n", "ids"])
 
     return docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("binary").alias("text"),
                        F.monotonically_increasing_id().alias("u")).mapInArrow(
@@ -167,11 +164,12 @@ def frequency_table(tokens: DataFrame) -> rans.Table:
     """The table of all ids' counts; one row an id reaches the driver, the vocabulary at most."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         widen, total = zstandard.ZstdDecompressor(), np.zeros(0, np.int64)
-        for batch in batches:
-            for packed in batch["ids"].to_pylist():
-                got = np.bincount(_unpack(packed, widen))
-                if len(got) > len(total):
-                    total = np.concatenate((total, np.zeros(len(got) - len(total), np.int64)))
+        for part in (p for batch in batches for p in bounded_parts([batch], "ids", TOGETHER)):
+            got = np.bincount(np.concatenate([_unpack(p, widen) for p in part["ids"].to_pylist()]))
+            if len(got) > len(total):
+                got[: len(total)] += total
+                total = got
+            else:
                 total[: len(got)] += got
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["id", "n"])
@@ -300,7 +298,7 @@ def write(docs: DataFrame, tokenizer: str, path: str | None = None, *, text: str
         raw = spark.sparkContext.broadcast(table.to_bytes())
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own, widen = rans.Table.from_bytes(raw.value), zstandard.ZstdDecompressor()
+            own, widen = _table(raw.value), zstandard.ZstdDecompressor()
             part, out, rows = TaskContext.get().partitionId(), None, []
             for batch in batches:
                 for doc_id, packed in zip(batch["doc_id"].to_pylist(), batch["ids"]):
@@ -321,6 +319,18 @@ def write(docs: DataFrame, tokenizer: str, path: str | None = None, *, text: str
     return open_files(spark, path)
 
 
+_TABLES: dict[int, rans.Table] = {}
+
+
+def _table(raw: bytes) -> rans.Table:
+    """The table of this worker's tasks, made once."""
+    key = hash(raw)
+    if key not in _TABLES:
+        _TABLES.clear()
+        _TABLES[key] = rans.Table.from_bytes(raw)
+    return _TABLES[key]
+
+
 _FILES = pa.schema([("part", pa.int64()), ("seq", pa.int64()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
 
 
@@ -417,7 +427,7 @@ def pieces(tokens: TokenFiles, with_ids: bool = True) -> DataFrame:
     n_runs = tokens.files.agg(F.sum(F.ceil(F.col("n_ids") / (BATCH * rans.BLOCK)))).first()[0] or 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = rans.Table.from_bytes(raw_table.value)
+        table = _table(raw_table.value)
         for batch in batches:
             for r in batch.to_pylist():
                 store, where = _store(r["path"])
