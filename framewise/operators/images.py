@@ -59,10 +59,15 @@ def unprocessed(images: DataFrame, flag: str = "processed") -> DataFrame:
     return images.where(not_true(flag))
 
 
+def default_name(name_col: str = "filename", default: str = "unknown"):
+    """A document's name, or the default where it has none."""
+    return F.coalesce(F.col(name_col), F.lit(default))
+
+
 def field_defaults(docs: DataFrame, name_col: str = "filename", payload_col: str = "image",
-                   default_name: str = "unknown") -> DataFrame:
+                   default: str = "unknown") -> DataFrame:
     """Default a missing name and flag a missing payload."""
-    return (docs.withColumn(name_col, F.coalesce(F.col(name_col), F.lit(default_name)))
+    return (docs.withColumn(name_col, default_name(name_col, default))
             .withColumn("has_payload", F.col(payload_col).isNotNull()))
 
 

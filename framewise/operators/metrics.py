@@ -60,12 +60,13 @@ def sequence_stats(frames: DataFrame, keys: list[str] | None = None) -> DataFram
 
 
 def sequence_stats_from_records(records: DataFrame, n_frames: int = N_FRAMES,
-                                id_col: str = "sequence_id") -> DataFrame:
+                                id_col: str = "sequence_id", null_flags: str | None = None) -> DataFrame:
     """Same result as ``sequence_stats(to_frame_rows(records))`` without a shuffle.
 
     Valid when ``id_col`` is unique per record (one record is one sequence):
     the per-sequence sums are then array folds inside one row.  Null flags
-    follow the grouped rules: skipped by sum/avg, counted as frames.
+    follow the grouped rules: skipped by sum/avg, counted as frames; ``null_flags``
+    names a further column with their number.
     """
     from framewise.functions.columns import time_of_day
 
@@ -85,9 +86,20 @@ def sequence_stats_from_records(records: DataFrame, n_frames: int = N_FRAMES,
         F.expr("CASE WHEN _valid > 0 THEN CAST(_total AS DOUBLE) / CAST(_valid AS DOUBLE) END")
         .alias("crash_density"),
         F.lit(n_frames).cast("long").alias("total_frames"),
+        *([F.expr(f"CAST({n_frames} - _valid AS BIGINT)").alias(null_flags)] if null_flags else []),
     )
 
 
+def read_counts(sequences: DataFrame, null_flags: str = "null_flags") -> DataFrame:
+    """One row: records, frames, null ids, null flags and crashes of a table of one sequence per record."""
+    def total(c):
+        return F.coalesce(F.sum(c), F.lit(0)).cast("long").alias
+
+    return sequences.agg(F.count(F.lit(1)).alias("records"), total("total_frames")("frames"),
+                         F.count_if(F.col("sequence_id").isNull()).alias("null_ids"), total(null_flags)("null_flags"),
+                         total("crash_count")("crashes"))
+
+
 def _balanced_sum(terms: list[str]) -> str:
     """SQL text of a balanced sum (shallow expression tree)."""
     while len(terms) > 1:

@@ -2,23 +2,28 @@
 convolution (Keys kernel, a = -0.5), widened by the scale factor when
 shrinking so every source pixel contributes (area-aware downsampling).
 
-Runs as an Arrow-batched ``mapInPandas`` over image rows: each row is one
-image, so work is spread with the rows and no group is ever formed.
+The weights are a table (``weight_rows``) in fixed point, ``2**BITS`` to one:
+columns first, then rows, each pass rounded to whole grey values, so the result
+is exact integer arithmetic and equal in any engine.  Resizing runs as an
+Arrow-batched ``mapInPandas`` over image rows: each row is one image, so work
+is spread with the rows and no group is ever formed.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # Target size of the stored thumbnails and the kernel parameter.
 TARGET_SIZE = (128, 128)
 CUBIC_A = -0.5
-
-RESIZED_SCHEMA = "filename string, height int, width int, nChannels int, mode int, data binary"
+#: Fraction bits of a weight.
+BITS = 14
 
 
 def _cubic(x: np.ndarray, a: float = CUBIC_A) -> np.ndarray:
@@ -29,42 +34,61 @@ def _cubic(x: np.ndarray, a: float = CUBIC_A) -> np.ndarray:
 
 @lru_cache(maxsize=64)
 def resample_matrix(n_in: int, n_out: int) -> np.ndarray:
-    """(n_out, n_in) row-normalised weights for one axis."""
+    """(n_out, n_in) weights for one axis as whole numbers, normalised before rounding."""
     scale = n_in / n_out
     stretch = max(scale, 1.0)
-    support = 2.0 * stretch
     centres = (np.arange(n_out) + 0.5) * scale
-    src = np.arange(n_in)
-    d = (src[None, :] + 0.5 - centres[:, None]) / stretch
-    wts = _cubic(d) * (np.abs(src[None, :] + 0.5 - centres[:, None]) < support)
-    sums = wts.sum(axis=1, keepdims=True)
-    return wts / np.where(sums == 0, 1.0, sums)
+    weights = _cubic((np.arange(n_in)[None, :] + 0.5 - centres[:, None]) / stretch)
+    sums = weights.sum(axis=1, keepdims=True)
+    return np.floor(weights / np.where(sums == 0, 1.0, sums) * (1 << BITS) + 0.5).astype(np.int64)
+
+
+def weight_rows(n_in: int, n_out: int) -> list[tuple[int, int, int]]:
+    """(out, in, weight) of the weights that are not zero: the matrix as a sparse table."""
+    matrix = resample_matrix(n_in, n_out)
+    out, in_ = np.nonzero(matrix)
+    return list(zip(out.tolist(), in_.tolist(), matrix[out, in_].tolist()))
+
+
+def _grey(sums: np.ndarray) -> np.ndarray:
+    """Whole grey values of fixed-point sums, rounded half up."""
+    return np.clip((sums + (1 << (BITS - 1))) >> BITS, 0, 255)
 
 
 def resize_array(img: np.ndarray, height: int, width: int) -> np.ndarray:
     """(h, w, c) uint8 → (height, width, c) uint8."""
-    wy = resample_matrix(img.shape[0], height)
-    wx = resample_matrix(img.shape[1], width)
-    # Separable: rows first, then columns -- two small matrix products.
-    rows = np.tensordot(wy, img.astype(np.float64), axes=(1, 0))      # (height, w, c)
-    out = np.tensordot(rows, wx, axes=(1, 1)).transpose(0, 2, 1)      # (height, width, c)
-    return np.clip(np.rint(out), 0, 255).astype(np.uint8)
+    wide = _grey(np.tensordot(img.astype(np.int64), resample_matrix(img.shape[1], width), axes=(1, 1)))  # (h, c, width)
+    out = _grey(np.tensordot(resample_matrix(img.shape[0], height), wide, axes=(1, 0)))                  # (height, c, width)
+    return out.transpose(0, 2, 1).astype(np.uint8)
+
 
+def resize_images(images: DataFrame, size: tuple[int, int] = TARGET_SIZE, keep: Sequence[str] = ()) -> DataFrame:
+    """Every image row (filename, height, width, nChannels, mode, data) with its resized pixels and a status.
 
-def resize_images(images: DataFrame, size: tuple[int, int] = TARGET_SIZE) -> DataFrame:
-    """Image rows (filename, height, width, nChannels, mode, data) → resized rows."""
+    ``keep`` names further columns to carry.  A row that was not decoded, or
+    whose data does not fit its size, has a status other than ``ok`` and no pixels.
+    """
     th, tw = size
 
     def run(batches):
         for pdf in batches:
-            out = []
+            out, status = [], []
             for h, w, c, data in zip(pdf["height"], pdf["width"], pdf["nChannels"], pdf["data"]):
-                arr = np.frombuffer(bytes(data), dtype=np.uint8).reshape(int(h), int(w), int(c))
-                out.append(resize_array(arr, th, tw).tobytes())
-            yield pd.DataFrame({"filename": pdf["filename"], "height": th, "width": tw,
-                                "nChannels": pdf["nChannels"].astype("int32"),
-                                "mode": pdf["mode"].astype("int32"), "data": out})
-
-    return (images.where("height > 0")
-            .select("filename", "height", "width", "nChannels", "mode", "data")
-            .mapInPandas(run, RESIZED_SCHEMA))
+                if not h > 0:
+                    out.append(None)
+                    status.append("undecodable")
+                elif len(data) != h * w * c:
+                    out.append(None)
+                    status.append("wrong pixel data")
+                else:
+                    out.append(resize_array(np.frombuffer(data, np.uint8).reshape(int(h), int(w), int(c)), th, tw).tobytes())
+                    status.append("ok")
+            yield pdf[["filename", *keep, "nChannels", "mode"]].assign(status=status, height=th, width=tw, data=out)
+
+    first = images.select("filename", *keep)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in first.schema.fields)
+    schema += ", status string, height int, width int, nChannels int, mode int, data binary"
+    rows = images.select("filename", *keep, F.coalesce("height", F.lit(-1)).alias("height"), "width",
+                         F.coalesce("nChannels", F.lit(-1)).alias("nChannels"), F.coalesce("mode", F.lit(-1)).alias("mode"),
+                         F.coalesce("data", F.lit(b"")).alias("data"))
+    return rows.mapInPandas(run, schema)

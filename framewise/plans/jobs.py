@@ -22,29 +22,42 @@ from framewise.schemas import N_FRAMES
 from framewise.session import ensure_checkpoint_dir, materialize, scratch
 from framewise.sources import images as SI
 from framewise.sources import sinks as SK
+from framewise.sources.image_objects import write_objects
 
 
 def analyse_crash_records(spark: SparkSession, records: DataFrame, out_dir: str,
-                          n_frames: int = N_FRAMES, unique_ids: bool = True,
+                          n_frames: int = N_FRAMES, unique_ids: bool | None = None, copy_source: bool = False,
                           parallel_writes: int = 8) -> dict[str, str]:
-    """J1: frames, metrics, anomalies, report and chart tables.
+    """J1: frames, metrics, anomalies, report and chart tables, and the counts of what was read.
 
     ``records`` are wide crash records with ``sequence_id`` (add one with
-    ``frames.add_sequence_id`` first).  With ``unique_ids`` the per-sequence
-    table is folded from the record arrays without a shuffle; otherwise it is
-    grouped from the frame rows.  Up to ``parallel_writes`` independent output
-    jobs run at the same time.
+    ``frames.add_sequence_id`` first).  The per-sequence table is folded from
+    the record arrays without a shuffle; if an id turns out to be there twice,
+    it is grouped from the frame rows instead, or, with ``unique_ids=True``,
+    the job stops before it writes anything (``False``: grouped at once).
+    ``counts`` (records, frames, null ids and flags, crashes) come from the same
+    table, without a further pass over the source.  A stored table is read by the passes that
+    need it; ``copy_source`` writes other sources down first.  Up to
+    ``parallel_writes`` independent output jobs run at the same time.
     """
     ensure_checkpoint_dir(spark)
     with scratch(spark) as tmp:
-        return _analyse(spark, records, out_dir.rstrip("/"), n_frames, unique_ids, parallel_writes, tmp)
+        return _analyse(spark, records, out_dir.rstrip("/"), n_frames, unique_ids, copy_source, parallel_writes, tmp)
 
 
-def _analyse(spark, records, out, n_frames, unique_ids, parallel_writes, tmp) -> dict[str, str]:
-    records = materialize(records, "records", tmp)      # source read once
+def _analyse(spark, records, out, n_frames, unique_ids, copy_source, parallel_writes, tmp) -> dict[str, str]:
+    if copy_source:
+        records = materialize(records, "records", tmp)
     frames = FR.to_frame_rows(records, n_frames)        # narrow explode, never stored
-    seq = (M.sequence_stats_from_records(records, n_frames) if unique_ids
-           else M.sequence_stats(frames))
+    # One row a record, written in the one pass over all flags; everything but the frame tables comes from it.
+    rows = materialize(M.sequence_stats_from_records(records, n_frames, null_flags="null_flags"), "sequences", tmp)
+    counts = M.read_counts(rows)
+    if unique_ids is not False:
+        repeated = not rows.groupBy("sequence_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+        if repeated and unique_ids:
+            raise ValueError("unique_ids=True, but a sequence_id is there more than once")
+        unique_ids = not repeated
+    seq = rows.drop("null_flags") if unique_ids else M.sequence_stats(frames)
     # Flagged once: the threshold subquery runs a single time for all outputs.
     flagged = materialize(A.flag_anomalies(seq), "sequences", tmp)
     thresholds = M.anomaly_thresholds(flagged)
@@ -55,6 +68,7 @@ def _analyse(spark, records, out, n_frames, unique_ids, parallel_writes, tmp) ->
     anomaly = A.anomaly_metrics(flagged)
     writes = {
         "metrics": lambda: SK.metrics_export(A.analysis_metrics(crash, anomaly), f"{out}/metrics"),
+        "counts": lambda: SK.sink_json(counts, f"{out}/counts"),
         "frames_json": lambda: SK.sink_json(frames, f"{out}/analysis_results"),
     }
     reports = {
@@ -98,42 +112,58 @@ def clean_job(spark: SparkSession, source: DataFrame | str, out_path: str) -> st
     return SK.sink_parquet(C.clean_records(df), out_path)
 
 
-def ingest_job(spark: SparkSession, src: str, table_path: str, glob: str = "*") -> str:
-    """J3: image folder → image table (append; re-runs skip stored filenames)."""
-    return SI.ingest_images(spark, src, table_path, glob, skip_existing=True)
+def ingest_job(spark: SparkSession, src: str, table_path: str, glob: str = "*", images_per_file: int = 0) -> str:
+    """J3: image folder → image table (append; re-runs open new files only)."""
+    return SI.ingest_images(spark, src, table_path, glob, skip_existing=True, images_per_file=images_per_file)
 
 
-def feature_job(spark: SparkSession, folder: str, out_root: str, files_per_trigger: int = 10,
-                glob: str = "*", block: int = 1) -> dict[str, str]:
-    """J4: incremental, restartable feature extraction from an image folder.
+def feature_job(spark: SparkSession, image_table: str, out_root: str, files_per_trigger: int = 10,
+                block: int = 8) -> dict[str, str]:
+    """J4: incremental, restartable feature extraction from the table that ``ingest_job`` writes.
 
     ``block`` is the side of the pixel squares that the background test sees.
-    Re-running it picks up only files added since the last run (the stream's
-    checkpoint lives under ``out_root``)."""
-    from framewise.streaming.features_stream import run_image_folder_features
+    Re-running it takes only what was ingested since the last run (the
+    checkpoints lie under ``out_root``); ``read_features`` gives the result, and
+    ``scan_image_table`` shows the processed marks."""
+    from framewise.streaming.kept_features import run_table_features
     root = out_root.rstrip("/")
-    paths = {name: f"{root}/{name}" for name in ("images", "features", "dead_letter", "progress", "checkpoint")}
-    run_image_folder_features(spark, folder, paths["images"], paths["features"], paths["dead_letter"],
-                              paths["progress"], paths["checkpoint"], files_per_trigger, glob, block)
-    return paths
+    run_table_features(spark, image_table, root, files_per_trigger, block)
+    return {name: f"{root}/{name}" for name in ("features", "dead_letter", "progress", "checkpoint")}
+
+
+def read_features(spark: SparkSession, out_root: str) -> DataFrame:
+    """video, frame, path, traffic_density, processing_timestamp: the features that ``feature_job`` has stored."""
+    from framewise.streaming.kept_features import feature_log
+    return feature_log(spark, out_root.rstrip("/")).read()
+
 
+def resize_job(spark: SparkSession, src: str, out_root: str, videos: DataFrame, frames_per_video: int = 50,
+               glob: str = "*", size: tuple[int, int] = (128, 128), ext: str = ".jpg") -> dict[str, str]:
+    """J5: resize every stored image and write it as an object under its new key; report bad and missing ones.
 
-def resize_job(spark: SparkSession, src: str, out_table: str, dead_letter: str, missing_out: str,
-               videos: DataFrame, frames_per_video: int = 50, glob: str = "*",
-               size: tuple[int, int] = (128, 128)) -> dict[str, str]:
-    """J5: decode, resize good images to a table, route bad ones aside, list missing keys."""
+    One pass decodes and resizes the folder into ``images`` (path, filename,
+    status, and the resized row where the status is ``ok``), keyed by the full
+    path.  ``objects`` holds one PNG per good image: its name with ``.png``,
+    under the folder it lay in if several folders are read.  ``bad`` lists the
+    others with the reason.  ``missing`` lists the keys of the manifest (names
+    with ``ext``) of which no object is stored, whatever its extension.
+    """
     from framewise.operators.resize import resize_images
-    decoded = SI.decode_images(spark, src, glob=glob)
-    good, bad = IM.split_decoded(decoded)
-    resized = resize_images(SI.image_rows(good), size)
-    listing = SI.list_images(spark, src, glob)
-    ext = glob.replace("*", "") if glob.startswith("*.") else ".png"
-    expected = IM.image_manifest(videos, frames_per_video, ext=ext)
-    return {
-        "resized": SK.sink_parquet(resized, out_table),
-        "bad": SK.sink_parquet(bad, dead_letter),
-        "missing": SK.sink_parquet(IM.missing_images(expected, listing), missing_out),
-    }
+    root = out_root.rstrip("/")
+    paths = {n: f"{root}/{n}" for n in ("images", "objects", "bad", "missing")}
+    rows = SI.image_rows(SI.decode_images(spark, src, glob=glob), SI.location("image.origin").alias("path"))
+    SK.sink_parquet(resize_images(rows, size, keep=("path",)), paths["images"])
+    images = spark.read.parquet(paths["images"])
+    stem = F.regexp_replace("filename", r"\.[^.]*$", "")
+    several = images.select(F.regexp_replace("path", "[^/]*$", "")).distinct().limit(2).count() > 1
+    folder = F.concat(F.element_at(F.split("path", "/"), -2), F.lit("/")) if several else F.lit("")
+    good = images.where("status = 'ok'").withColumn("key", F.concat(folder, stem, F.lit(".png")))
+    write_objects(SI.png_objects(good, "key"), paths["objects"], "overwrite")
+    SK.sink_parquet(images.where("status <> 'ok'").select("path", "filename", F.col("status").alias("reason")), paths["bad"])
+    expected = IM.image_manifest(videos, frames_per_video, ext=ext).withColumn("stem", stem)
+    stored = SI.list_images(spark, src, glob).select(stem.alias("stem"))
+    SK.sink_parquet(IM.missing_images(expected, stored, "stem").drop("stem"), paths["missing"])
+    return paths
 
 
 def weather_report(spark: SparkSession, clean_path: str) -> DataFrame:
@@ -141,10 +171,10 @@ def weather_report(spark: SparkSession, clean_path: str) -> DataFrame:
     return R.weather_counts(spark.read.parquet(clean_path))
 
 
-def severity_job(train_rows: DataFrame, num_trees: int = 100, seed: int = 42):
+def severity_job(train_rows: DataFrame, num_trees: int = 100):
     """J7: split, fit, score; returns (model, accuracy one-row DataFrame)."""
     from framewise.operators import model as ML
-    train, test = ML.ml_split(train_rows, seed=seed)
+    train, test = ML.ml_split(train_rows)
     fitted = ML.train_severity_model(train, num_trees=num_trees)
     return fitted, ML.model_accuracy(ML.predict(fitted, test))
 
@@ -152,7 +182,6 @@ def severity_job(train_rows: DataFrame, num_trees: int = 100, seed: int = 42):
 def profile_images(spark: SparkSession, table_path: str) -> tuple[DataFrame, DataFrame]:
     """J8: (per-image profile with defaults, document count)."""
     table = SI.scan_image_table(spark, table_path)
-    docs = IM.field_defaults(table, "filename", "image")
-    profile = docs.select("filename", "has_payload", "height", "width", "nChannels", "mode")
+    profile = table.select(IM.default_name("filename").alias("filename"), "has_payload", "height", "width", "nChannels", "mode")
     count = table.agg(F.count(F.lit(1)).alias("documents"))
     return profile, count

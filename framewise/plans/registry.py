@@ -20,6 +20,7 @@ from framewise.operators import reports as R
 from framewise.plans import tables as TB
 from framewise.schemas import RECORD_ATTRS
 from framewise.session import shared_dir
+from framewise.sources import catalog as SC
 from framewise.sources import records as SR
 from framewise.sources import sinks as SK
 
@@ -287,11 +288,31 @@ def _scan_records(spark, d):
     return SR.scan_records(spark, _written_records(spark, d))
 
 
+def _catalog_table(spark, df, name: str, key: str, partition_by=None) -> str:
+    """A bucketed catalog table of its own for each run, its data under the shared folder."""
+    path = shared_dir(spark, "catalog", name)
+    return SC.save_bucketed(df, f"{name}_{path[-12:]}", key, buckets=8, partition_by=partition_by, path=path)
+
+
+def _record_table(spark, d) -> str:
+    return _catalog_table(spark, TB.records(spark, d), "crash_records_csv", "sequence_id", ["weather"])
+
+
 @query("scan_catalog")
 def _scan_catalog(spark, d):
-    view = "crash_records_csv"
-    SR.scan_records(spark, _written_records(spark, d)).createOrReplaceTempView(view)
-    return SR.scan_catalog(spark, view).select(*RECORD_ATTRS)
+    return SC.scan_catalog(spark, _record_table(spark, d)).select(*RECORD_ATTRS)
+
+
+@query("scan_catalog_partition")
+def _scan_catalog_partition(spark, d):
+    """One partition value: only its folder is read."""
+    return SC.scan_catalog(spark, _record_table(spark, d), weather="Snowy").select(*RECORD_ATTRS)
+
+
+@query("catalog_sequence_stats")
+def _catalog_sequence_stats(spark, d):
+    """A3 in its grouped form over buckets of the id: no shuffle after the scan."""
+    return M.sequence_stats(FR.to_frame_rows(SC.scan_catalog(spark, _record_table(spark, d))))
 
 
 @query("scan_clean_parquet")

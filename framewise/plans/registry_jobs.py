@@ -3,28 +3,66 @@ returns one of the tables it wrote, so the gate checks the job end to end."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from framewise.functions.columns import basename
 from framewise.plans import jobs as J
 from framewise.plans import tables as TB
-from framewise.plans.registry import query
+from framewise.plans.oracles_media import JOB_OUTPUTS
+from framewise.plans.registry import QUERIES, query
 from framewise.session import shared_dir
 from framewise.sources import bindings as B
+from framewise.sources import images as SI
+
+
+_ANALYSES: dict[tuple[str, str], dict[str, str]] = {}
+
+
+def _analysis(spark, d) -> dict[str, str]:
+    """J1's outputs; the job runs once a session and input, for all queries that read one of them."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _ANALYSES:
+        _ANALYSES[key] = J.analyse_crash_records(spark, TB.records(spark, d), shared_dir(spark, "job_analysis"), copy_source=True)
+    return _ANALYSES[key]
 
 
 @query("job_analysis_metrics")
 def _job_analysis_metrics(spark, d):
     """J1: the metrics file the analysis job writes (timestamp dropped)."""
-    paths = J.analyse_crash_records(spark, TB.records(spark, d), shared_dir(spark, "job_analysis"))
-    return spark.read.json(paths["metrics"]).drop("validation_timestamp")
+    return spark.read.json(_analysis(spark, d)["metrics"]).drop("validation_timestamp")
+
+
+@query("job_analysis_counts")
+def _job_analysis_counts(spark, d):
+    """J1: the counts of what was read, nulls among them."""
+    return spark.read.json(_analysis(spark, d)["counts"])
 
 
 @query("job_analysis_sequences")
 def _job_analysis_sequences(spark, d):
     """J1: the sequence-level report (CSV) the analysis job writes."""
-    paths = J.analyse_crash_records(spark, TB.records(spark, d), shared_dir(spark, "job_analysis"))
     schema = ("sequence_id long, time_of_day string, weather string, egoinvolve string, crash_count long, "
               "crash_density double, total_frames long, is_anomaly boolean")
-    return spark.read.option("header", True).schema(schema).csv(paths["sequence_level_data"])
+    return spark.read.option("header", True).schema(schema).csv(_analysis(spark, d)["sequence_level_data"])
+
+
+@query("job_analysis_frames_json")
+def _job_analysis_frames_json(spark, d):
+    return spark.read.schema(TB.frames(spark, d).schema).json(_analysis(spark, d)["frames_json"])
+
+
+def _job_output(name):
+    def run(spark, d):
+        """A report (CSV) or chart table (Parquet) of J1, read back."""
+        path = _analysis(spark, d)[name]
+        if "/report/" in path:
+            return spark.read.option("header", True).schema(QUERIES[name](spark, d).schema).csv(path)
+        return spark.read.parquet(path)
+    return run
+
+
+for _name in JOB_OUTPUTS:
+    query(f"job_analysis_{_name}")(_job_output(_name))
 
 
 def _cleaned(spark, d) -> str:
@@ -64,7 +102,7 @@ def _ingested_table(spark, d) -> str:
 @query("job_ingest")
 def _job_ingest(spark, d):
     """J3: image folder -> image table."""
-    return spark.read.parquet(_ingested_table(spark, d)).select("filename", "height", "width", "nChannels", "mode")
+    return SI.scan_image_table(spark, _ingested_table(spark, d)).select("filename", "height", "width", "nChannels", "mode")
 
 
 @query("job_profile_images")
@@ -74,21 +112,52 @@ def _job_profile_images(spark, d):
     return profile
 
 
-@query("job_resize")
-def _job_resize(spark, d):
-    """J5: decode, resize good images, route bad ones, list missing keys; the resized table."""
+def _resized(spark, d) -> dict[str, str]:
+    """J5 over a folder that lacks every 7th image."""
     from framewise.plans.registry_media import _docs, _image_dir
-    root = shared_dir(spark, "job_resize")
     videos = _docs(spark, d).select("video")
-    out = J.resize_job(spark, _image_dir(spark, d), f"{root}/resized", f"{root}/bad", f"{root}/missing", videos)
-    return spark.read.parquet(out["resized"]).select("filename", "height", "width", "nChannels")
+    return J.resize_job(spark, _image_dir(spark, d, "vec_id % 7 <> 0"), shared_dir(spark, "job_resize"), videos)
+
+
+@query("job_resize")
+def _job_resize(spark, d):
+    """J5: the objects it wrote under new keys, read back."""
+    from framewise.plans.registry_media import _pixels_sha256
+    rows = SI.image_rows(SI.decode_images(spark, _resized(spark, d)["objects"]))
+    return rows.select("filename", "height", "width", "nChannels", _pixels_sha256())
+
+
+@query("job_resize_bad")
+def _job_resize_bad(spark, d):
+    return spark.read.parquet(_resized(spark, d)["bad"]).select("filename", "reason")
+
+
+@query("job_resize_missing")
+def _job_resize_missing(spark, d):
+    return spark.read.parquet(_resized(spark, d)["missing"])
+
+
+def _fed_twice(spark, d) -> tuple[str, str]:
+    """J3 and J4, twice: later frames of each video are stored and extracted before earlier ones."""
+    from framewise.plans.registry_media import _image_dir
+    root = shared_dir(spark, "job_features")
+    for where in ("vec_id % 3 <> 1", "vec_id % 3 = 1"):
+        J.ingest_job(spark, _image_dir(spark, d, where), f"{root}/images", images_per_file=200)
+        J.feature_job(spark, f"{root}/images", root, files_per_trigger=4, block=1)
+    return f"{root}/images", root
 
 
 @query("job_features")
 def _job_features(spark, d):
-    """J4: incremental features from the image folder."""
-    from framewise.plans.registry_media import _image_dir
-    paths = J.feature_job(spark, _image_dir(spark, d), shared_dir(spark, "job_features"),
-                          files_per_trigger=500)
-    return spark.read.parquet(paths["features"]).select(
-        "video", "frame", basename("path").alias("filename"), "traffic_density")
+    """J4: incremental features from the stored image table."""
+    _, root = _fed_twice(spark, d)
+    return J.read_features(spark, root).select("video", "frame", basename("path").alias("filename"), "traffic_density")
+
+
+@query("job_features_table")
+def _job_features_table(spark, d):
+    """J4 over J3's table: every stored document with its processed mark and its density."""
+    table, root = _fed_twice(spark, d)
+    feats = J.read_features(spark, root).select("path", "traffic_density")
+    return SI.scan_image_table(spark, table).join(feats, "path", "left").select(
+        "filename", F.coalesce("processed", F.lit(False)).alias("processed"), "traffic_density")

@@ -21,6 +21,8 @@ TIMING_BY_KEY_MOD4 = {0: "Day", 1: "Night", 2: "Daytime"}  # 3 -> null
 WEATHER_BY_TYPE_PREFIX = [("PROMO", "Snowy"), ("SMALL", "Rainy"), ("STANDARD", None)]
 WEATHER_DEFAULT = "Normal"
 CRASH_RETURNFLAG = "R"
+#: A flag that is no crash is null where part key and frame add up to a multiple of this.
+NULL_FLAG_STEP = 17
 
 
 def crash_masks(lineitem: DataFrame, n_frames: int = N_FRAMES) -> DataFrame:
@@ -62,7 +64,7 @@ def crash_records(part: DataFrame, lineitem: DataFrame, n_frames: int = N_FRAMES
     joined = attrs.join(masks, attrs["sequence_id"] == masks["l_partkey"], "left")
     # Wide projections are written as SQL expression text: one JVM call for
     # the whole list instead of several per column.
-    flags = [f"coalesce(CAST(shiftright(mask, {i}) & 1 AS INT), 0) AS {c}"
+    flags = [f"CASE WHEN shiftright(mask, {i}) & 1 = 1 THEN 1 WHEN (sequence_id + {i}) % {NULL_FLAG_STEP} <> 0 THEN 0 END AS {c}"
              for i, c in enumerate(frame_cols(n_frames))]
     return joined.selectExpr(*attrs.columns, *flags)
 
@@ -119,8 +121,12 @@ def customer_documents(customer: DataFrame) -> DataFrame:
                            F.expr("nullif(c_mktsegment, 'BUILDING')").alias("image"))
 
 
+#: Blue, green and red of a pixel of the stand-in frames are levels of the vector, so many places on.
+CHANNEL_STEPS = (0, 21, 42)
+
+
 def frame_image_rows(embeddings: DataFrame, frames_per_video: int = 50) -> DataFrame:
-    """Embedding vectors as square grey frames in image-row form (BGR bytes).
+    """Embedding vectors as square coloured frames in image-row form (BGR bytes).
 
     ``video, frame`` are 1-based; ``filename`` follows the image key format
     with ``.png``; ``corrupt`` marks the rows written as damaged files
@@ -128,14 +134,14 @@ def frame_image_rows(embeddings: DataFrame, frames_per_video: int = 50) -> DataF
     """
     from framewise.operators.images import image_key
 
-    level = "CAST(floor(least(255D, greatest(0D, (CAST(x AS DOUBLE) + 1) * 127.5))) AS INT)"
-    hexed = f"array_join(transform(embedding, x -> repeat(lpad(hex({level}), 2, '0'), 3)), '')"
+    level = "lpad(hex(CAST(floor(least(255D, greatest(0D, (CAST(x AS DOUBLE) + 1) * 127.5))) AS INT)), 2, '0')"
+    channels = ", ".join(f"levels[(i + {step}) % size(levels)]" for step in CHANNEL_STEPS)
     video = F.expr(f"vec_id div {int(frames_per_video)} + 1")
     frame = F.expr(f"vec_id % {int(frames_per_video)} + 1")
     side = F.expr("CAST(sqrt(size(embedding)) AS INT)")
-    return embeddings.select(
+    return embeddings.withColumn("levels", F.expr(f"transform(embedding, x -> {level})")).select(
         video.alias("video"), frame.cast("long").alias("frame"),
         image_key(video, frame, ".png").alias("filename"),
         side.alias("height"), side.alias("width"), F.lit(3).alias("nChannels"), F.lit(16).alias("mode"),
-        F.expr(f"unhex({hexed})").alias("data"),
+        F.expr(f"unhex(array_join(transform(levels, (x, i) -> concat({channels})), ''))").alias("data"),
         (F.col("vec_id") % 97 == 0).alias("corrupt"))

@@ -5,16 +5,16 @@
 * ``decode_images``: the ``image`` source.  Rows keep Spark's struct
   (origin, height, width, nChannels, mode, data) with BGR bytes; undecodable
   files come back with height -1 unless ``drop_invalid``.
-* ``ingest_images``: folder → image table (Parquet) holding the file bytes and
-  the decoded struct, joined on the full path.
-* ``write_frame_images``: a distributed sink that encodes image rows as PNG
-  files (one file per row, written by the task that holds the row).
+* ``ingest_images``: folder -> image table: the files' bytes and the decoded
+  pixels, two Parquet folders with one key, the full path.
+* ``write_frame_images``: image rows as PNG objects (``image_objects``).
 
 PNG encoding is a ~20-line zlib/struct helper; no imaging library is needed.
 """
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 
@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 
 from framewise.functions.columns import basename
 from framewise.session import table_exists
+from framewise.sources.image_objects import write_objects
+from framewise.sources.keyed_log import KeyedLog
 
 
 def encode_png(rgb: np.ndarray) -> bytes:
@@ -39,44 +41,27 @@ def encode_png(rgb: np.ndarray) -> bytes:
     return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", header) + chunk(b"IDAT", zlib.compress(raw, 6)) + chunk(b"IEND", b"")
 
 
-def _open_output(path: str):
-    """Open a file for writing on any Hadoop-style or local path (pyarrow fs)."""
-    from pyarrow import fs as pafs
-    filesystem, p = pafs.FileSystem.from_uri(path if "://" in path else "file://" + path)
-    parent = p.rsplit("/", 1)[0]
-    filesystem.create_dir(parent, recursive=True)
-    return filesystem.open_output_stream(p)
+def png_objects(images: DataFrame, key: str = "filename") -> DataFrame:
+    """``key, content``: image rows (``height, width, nChannels, data``, BGR or grey) as PNG files.
 
+    Rows whose ``corrupt`` column, if there is one, is true are cut short: damaged uploads for the dead-letter path.
+    """
+    @F.pandas_udf("binary")
+    def encode(height: pd.Series, width: pd.Series, channels: pd.Series, data: pd.Series, broken: pd.Series) -> pd.Series:
+        out = []
+        for h, w, c, d, bad in zip(height, width, channels, data, broken):
+            arr = np.frombuffer(d, np.uint8).reshape(h, w, c)
+            png = encode_png(np.ascontiguousarray(np.repeat(arr, 3, axis=2) if c == 1 else arr[:, :, 2::-1]))
+            out.append(png[: len(png) // 3] if bad else png)
+        return pd.Series(out, dtype=object)
 
-def write_frame_images(images: DataFrame, out_dir: str) -> DataFrame:
-    """Encode rows ``filename, height, width, nChannels, data`` (BGR) as PNG files.
+    broken = F.col("corrupt") if "corrupt" in images.columns else F.lit(False)
+    return images.select(F.col(key).alias("key"), encode("height", "width", "nChannels", "data", broken).alias("content"))
 
-    Lazy: returns ``filename, path, length`` rows; the files are written when
-    the result is computed.  A retried task rewrites the same names, so the
-    sink is idempotent.
-    """
-    out_dir = out_dir.rstrip("/")
-
-    def encode(batches):
-        for pdf in batches:
-            paths, lengths = [], []
-            broken = pdf["corrupt"] if "corrupt" in pdf else [False] * len(pdf)
-            for name, h, w, c, data, bad in zip(pdf["filename"], pdf["height"], pdf["width"],
-                                                pdf["nChannels"], pdf["data"], broken):
-                arr = np.frombuffer(bytes(data), dtype=np.uint8).reshape(int(h), int(w), int(c))
-                rgb = np.repeat(arr, 3, axis=2) if int(c) == 1 else arr[:, :, 2::-1]
-                png = encode_png(np.ascontiguousarray(rgb))
-                if bad:  # truncated file: a damaged upload for the dead-letter path
-                    png = png[: len(png) // 3]
-                path = f"{out_dir}/{name}"
-                with _open_output(path) as f:
-                    f.write(png)
-                paths.append(path)
-                lengths.append(len(png))
-            yield pd.DataFrame({"filename": pdf["filename"], "path": paths, "length": lengths})
-
-    cols = ["filename", "height", "width", "nChannels", "data"] + (["corrupt"] if "corrupt" in images.columns else [])
-    return images.select(*cols).mapInPandas(encode, "filename string, path string, length long")
+
+def write_frame_images(images: DataFrame, out_dir: str) -> str:
+    """Write image rows as PNG objects named by ``filename`` under ``out_dir``: all of them, or none if the write fails."""
+    return write_objects(png_objects(images), out_dir)
 
 
 def location(path) -> Column:
@@ -107,30 +92,67 @@ def image_rows(decoded: DataFrame, *more: Column) -> DataFrame:
                           F.col("image.data").alias("data"))
 
 
+def _only(paths: list[str]) -> list[str]:
+    """Paths for a reader, which would take ``* ? [ ] { }`` in a name for a pattern."""
+    return [re.sub(r"([\\*?\[\]{}])", r"\\\1", p) for p in paths]
+
+
 def ingest_images(spark: SparkSession, src: str, table_path: str, glob: str = "*",
-                  skip_existing: bool = False) -> str:
-    """Append ``path, filename, image (file bytes), height, width, nChannels, mode, processed``.
-
-    Every file of the folder is taken unless ``glob`` says otherwise.  Both
-    sources are read from the same folder and joined on the full path, which is
-    the key: equal names in two folders are two documents.  Only the decoded
-    metadata crosses the join -- the decoded pixel buffer is dropped before the
-    shuffle, since the table already holds the file bytes.  ``skip_existing``
-    anti-joins the paths already in the table before the files meet; an
-    existing table that cannot be read is an error.
+                  skip_existing: bool = False, images_per_file: int = 0) -> str:
+    """Append a folder to an image table: ``pixels`` (decoded rows) and ``documents`` (file bytes), keyed by full path.
+
+    ``documents``: path, filename, image, processed (null).  ``pixels``: path,
+    filename, video, frame (null if the name holds none), height, width,
+    nChannels, mode, data; an undecodable file has height -1.  Each part is a
+    scan written as it comes: no shuffle and no join of bytes.  Every file is taken
+    unless ``glob`` says otherwise; equal names in two folders are two
+    documents.  With ``skip_existing`` the listing is first compared with the
+    stored paths, part by part, and only new files are opened (a run that
+    stopped between the parts is completed); a table that cannot be read is an
+    error.  ``images_per_file`` bounds the files of ``pixels``, and so a stream's batches.
     """
-    files = scan_images(spark, src, glob).select(location("path").alias("path"), basename("path").alias("filename"),
-                                                 F.col("content").alias("image"))
-    decoded = decode_images(spark, src, glob=glob)
-    decoded = decoded.select(location("image.origin").alias("path"), "image.height", "image.width",
-                             "image.nChannels", "image.mode")
-    if skip_existing and table_exists(spark, table_path):
-        stored = spark.read.parquet(table_path).select("path")
-        files = files.join(stored, "path", "left_anti")
-    docs = files.join(decoded, "path", "left").withColumn("processed", F.lit(None).cast("boolean"))
-    docs.write.mode("append").parquet(table_path)
+    from framewise.operators.images import parse_image_key
+
+    def new(part: str) -> list[str] | None:
+        if not skip_existing or not table_exists(spark, f"{table_path}/{part}"):
+            return None
+        stored = spark.read.parquet(f"{table_path}/{part}").select("path")
+        listed = list_images(spark, src, glob).select(location("path").alias("path"))
+        return [r.path for r in listed.join(stored, "path", "left_anti").collect()]  # the file index holds all paths anyway
+
+    def load(reader, part: str) -> DataFrame | None:
+        paths = new(part)
+        if paths is None:
+            return reader.option("pathGlobFilter", glob).load(src)
+        return reader.load(_only(paths)) if paths else None
+
+    decoded = load(spark.read.format("image").option("dropInvalid", False), "pixels")
+    if decoded is not None:
+        rows = image_rows(decoded, location("image.origin").alias("path"))
+        rows = rows.select("path", "filename", *parse_image_key("filename"), *rows.columns[2:])
+        rows.write.mode("append").option("maxRecordsPerFile", images_per_file).parquet(f"{table_path}/pixels")
+    files = load(spark.read.format("binaryFile"), "documents")
+    if files is not None:
+        (files.select(location("path").alias("path"), basename("path").alias("filename"), F.col("content").alias("image"),
+                      F.lit(None).cast("boolean").alias("processed"))
+         .write.mode("append").parquet(f"{table_path}/documents"))
     return table_path
 
 
 def scan_image_table(spark: SparkSession, table_path: str) -> DataFrame:
-    return spark.read.parquet(table_path)
+    """``path, filename, has_payload, height, width, nChannels, mode, processed`` of every stored document.
+
+    ``processed`` is true for documents that the feature job has marked, else as
+    it was stored.  Neither bytes nor pixels cross the joins on the path; read
+    ``documents`` or ``pixels`` for these.
+    """
+    docs = spark.read.parquet(f"{table_path}/documents").select(
+        "path", "filename", F.col("image").isNotNull().alias("has_payload"), "processed")
+    sizes = spark.read.parquet(f"{table_path}/pixels").select("path", "height", "width", "nChannels", "mode")
+    out = docs.join(sizes, "path", "left")
+    if not table_exists(spark, f"{table_path}/marks"):
+        return out.select("path", "filename", "has_payload", "height", "width", "nChannels", "mode", "processed")
+    marks = KeyedLog(spark, f"{table_path}/marks", "path").read().withColumnRenamed("processed", "_marked")
+    return out.join(marks, "path", "left").select(
+        "path", "filename", "has_payload", "height", "width", "nChannels", "mode",
+        F.coalesce("_marked", "processed").alias("processed"))

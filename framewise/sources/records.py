@@ -33,11 +33,6 @@ def scan_records(spark: SparkSession, path: str | None = None, format: str = "pa
     return conform_flags(df, n_frames)
 
 
-def scan_catalog(spark: SparkSession, table: str) -> DataFrame:
-    """A catalog table or temp view by name."""
-    return spark.table(table)
-
-
 def scan_clean_parquet(spark: SparkSession, path: str) -> DataFrame:
     """The cleaning job's Parquet output directory (all part files)."""
     return spark.read.parquet(path)

@@ -54,7 +54,7 @@ def test_resize_constant_is_constant():
 def test_block_greys():
     rng = np.random.default_rng(1)
     bgr = rng.integers(0, 256, (5, 7, 3), dtype=np.uint8)
-    grey = np.array([[round(0.114 * float(b) + 0.587 * float(g) + 0.299 * float(r)) for b, g, r in row] for row in bgr])
+    grey = np.array([[int(0.114 * b + 0.587 * g + 0.299 * r + 0.5) for b, g, r in row] for row in bgr.astype(float)])
     assert (FT.block_greys(bgr.tobytes(), 5, 7, 3, 1).reshape(5, 7) == grey).all()
     blocks = [int(grey[y:y + 3, x:x + 3].sum()) // grey[y:y + 3, x:x + 3].size for y in (0, 3) for x in (0, 3, 6)]
     assert FT.block_greys(bgr.tobytes(), 5, 7, 3, 3).tolist() == blocks
@@ -102,6 +102,6 @@ def test_ingest_takes_every_file_once_under_its_full_path(spark, tmp_path):
             (tmp_path / folder / name).write_bytes(encode_png(np.full((4 + shade % 7, 5, 3), shade, np.uint8)))
     for _ in range(2):  # a second run adds nothing
         ingest_images(spark, f"{tmp_path}/[ab]", f"{tmp_path}/table", skip_existing=True)
-    rows = spark.read.parquet(f"{tmp_path}/table").collect()
+    rows = SI.scan_image_table(spark, f"{tmp_path}/table").collect()
     assert len(rows) == 4 and len({r.path for r in rows}) == 4
     assert all(r.height == 4 + (10 if "/a/" in r.path else 200) % 7 for r in rows)
