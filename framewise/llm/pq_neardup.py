@@ -2,12 +2,17 @@
 
 A coarse quantiser deals unit vectors to inverted lists; within a list every
 vector is kept as one code per subspace of its residual, with the length of
-what the codes miss.  A vector probes every list that a vector within the
-threshold could lie in, asymmetric table look-ups bound its distance to each
+what the codes miss.  A vector probes the lists that a vector within the
+threshold is likely to lie in, asymmetric table look-ups bound its distance to each
 member from below, and the pairs left get exact cosines in double precision.
 
-The probes and the bound follow from the triangle inequality, so that no pair
-at the threshold is lost; a fitted sample only decides how much is pruned.
+The bound follows from the triangle inequality: of the probed lists no pair at
+the threshold is lost.  A list is probed if a step of the threshold's length
+could lead there with its share of ``SPREAD`` standard deviations of a random
+direction: in d effective dimensions (of the sample's residuals) a direction
+has 1 / sqrt(d) of its length along the way to another centre.  With ``spread``
+None the whole length counts, and no pair at all is lost; random vectors then
+probe a large part of all lists.  A pair that one side finds counts for both.
 """
 
 from __future__ import annotations
@@ -28,6 +33,8 @@ BLOCK_MEMBERS, BLOCK_QUERIES = 2048, 4096
 STEP = 256
 #: Slack of the bounds for rounding.
 EPS = 1e-6
+#: Standard deviations of a random direction that probes allow for.
+SPREAD = 4.0
 
 
 def _kmeans(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
@@ -56,14 +63,18 @@ class Quantiser:
     coarse: np.ndarray          # lists x dims
     spans: list[slice]          # the subspaces
     books: list[np.ndarray]     # per subspace: codes x its dims
+    along: float                # share of a step that may lead towards another centre
 
     @classmethod
-    def fit(cls, sample: np.ndarray, lists: int, subspaces: int = 8, codes: int = 16) -> Quantiser:
+    def fit(cls, sample: np.ndarray, lists: int, subspaces: int = 8, codes: int = 16, spread: float | None = SPREAD) -> Quantiser:
         coarse = _kmeans(sample, lists)
         residual = sample - coarse[_nearest(sample, coarse)]
+        spectrum = np.square(np.linalg.svd(residual - residual.mean(0), compute_uv=False))
+        dims = spectrum.sum() ** 2 / max(np.square(spectrum).sum(), 1e-300)
+        along = 1.0 if spread is None else min(1.0, spread / np.sqrt(max(dims, 1.0)))
         cuts = np.linspace(0, sample.shape[1], min(subspaces, sample.shape[1]) + 1).astype(int)
         spans = [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:])]
-        return cls(coarse, spans, [_kmeans(np.ascontiguousarray(residual[:, s]), codes) for s in spans])
+        return cls(coarse, spans, [_kmeans(np.ascontiguousarray(residual[:, s]), codes) for s in spans], along)
 
     def encode(self, residual: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes per subspace, and the length of what they miss."""
@@ -71,19 +82,19 @@ class Quantiser:
         back = np.concatenate([b[codes[:, i]] for i, b in enumerate(self.books)], 1)
         return codes.astype(np.uint8), np.linalg.norm(residual - back, axis=1)
 
-    def probes(self, x: np.ndarray, radius: float) -> list[np.ndarray]:
-        """Lists in which a vector within ``radius`` of each ``x`` can lie.
+    def probes(self, x: np.ndarray, radius: float) -> np.ndarray:
+        """Vectors x lists: can a vector within ``radius`` of each ``x`` lie there?
 
         Such a vector lies nearest to its own centre, so ``x`` is at most
-        ``radius`` beyond the plane half way between that centre and its own.
+        ``radius`` (its part ``along`` the way) beyond the plane half way between that centre and its own.
         """
         d = _square_distances(x, self.coarse)
         own = d.argmin(1)
         gap = np.sqrt(_square_distances(self.coarse, self.coarse))[own]
         beyond = d - d[np.arange(len(x)), own][:, None]
-        near = beyond <= 2 * gap * (radius + EPS) + EPS
+        near = beyond <= 2 * gap * (radius * self.along + EPS) + EPS
         near[np.arange(len(x)), own] = True
-        return [np.flatnonzero(r) for r in near]
+        return near
 
     def lower_bounds(self, residual: np.ndarray, codes: np.ndarray, missed: np.ndarray) -> np.ndarray:
         """Queries x members: asymmetric distances to the coded members, less what the codes miss."""
@@ -111,15 +122,18 @@ def _deal(batches: Iterator[pd.DataFrame], index: dict[int, tuple[int, Quantiser
         codes, missed = q.encode(x - q.coarse[own])
         member = pdf[["label", "node", "size", "embedding"]].assign(
             list=start + own, probe=False, codes=[c.tobytes() for c in codes], missed=missed)
-        probes = q.probes(x, radius)
-        at = np.repeat(np.arange(len(x)), [len(p) for p in probes])
+        at, to = np.nonzero(q.probes(x, radius))
         query = pdf.iloc[at][["label", "node", "size", "embedding"]].assign(
-            list=start + np.concatenate(probes), probe=True, codes=None, missed=0.0)
+            list=start + to, probe=True, codes=None, missed=0.0)
         yield pd.concat([member, query], ignore_index=True)
 
 
 def _search(batches: Iterator[pd.DataFrame], index: dict[int, tuple[int, Quantiser]], cosine: float) -> Iterator[pd.DataFrame]:
-    """(u, v, n): per query its links' number and a member they share a group with; per member its group."""
+    """(u, v, n): per query its links' number and a member they share a group with; per member its group.
+
+    A member that does not probe the list of a query that found it cannot find
+    the query in turn: the link is counted for it here.
+    """
     radius = np.sqrt(max(0.0, 2 - 2 * cosine))
     for (_, where, _, _), rows in runs_of(batches, ["label", "list", "mb", "qb"]):
         members, queries = [r for r in rows if not r[8]], [r for r in rows if r[8]]
@@ -133,6 +147,7 @@ def _search(batches: Iterator[pd.DataFrame], index: dict[int, tuple[int, Quantis
         codes = np.stack([np.frombuffer(r[7], np.uint8) for r in members])
         missed = np.array([r[9] for r in members])
         label = np.arange(len(names))
+        unseen = np.zeros(len(names), np.int64)
         us, ats, ns = [], [], []
         for i in range(0, len(queries), STEP):
             part = queries[i:i + STEP]
@@ -144,6 +159,9 @@ def _search(batches: Iterator[pd.DataFrame], index: dict[int, tuple[int, Quantis
             if not len(a):
                 continue
             found = near[np.ix_(a, b)] & (y[a] @ x[b].T >= cosine)
+            hits = np.flatnonzero(found.any(0))
+            blind = ~q.probes(x[b[hits]], radius)[:, _nearest(y[a], q.coarse)].T  # queries x members
+            unseen[b[hits]] += ((found[:, hits] & blind) * np.array([r[5] for r in part])[a][:, None]).sum(0)
             for row in np.flatnonzero(found.any(1)):
                 hit = b[found[row]]
                 merge_labels(label, hit)
@@ -151,14 +169,14 @@ def _search(batches: Iterator[pd.DataFrame], index: dict[int, tuple[int, Quantis
                 ats.append(hit[0])
                 ns.append(sizes[hit].sum())
         if us:
-            far = label != np.arange(len(names))
+            far = (label != np.arange(len(names))) | (unseen > 0)
             yield pd.DataFrame({"u": np.concatenate((us, names[far])),
                                 "v": np.concatenate((names[label[np.array(ats)]], names[label[far]])),
-                                "n": np.concatenate((ns, np.zeros(far.sum(), int))).astype(np.int64)})
+                                "n": np.concatenate((ns, unseen[far])).astype(np.int64)})
 
 
-def near_duplicates(vectors: DataFrame, *, cosine: float = 0.98, sample: int = 20_000,
-                    per_list: int = 800, max_lists: int = 1024) -> DataFrame:
+def near_duplicates(vectors: DataFrame, *, cosine: float = 0.98, sample: int = 20_000, sample_floats: int = 4_000_000,
+                    per_list: int = 800, max_lists: int = 1024, spread: float | None = SPREAD) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept, from (vec_id, embedding, label).
 
     Vectors link when their labels and lengths are equal and their cosine is at
@@ -167,9 +185,10 @@ def near_duplicates(vectors: DataFrame, *, cosine: float = 0.98, sample: int = 2
     one class, searched once; every copy counts as a link.  Repeated rows are
     copies too, a null vec_id names a component only where there is no other.
     Each vector length has a quantiser, fitted on its share of ``sample`` classes
-    (least hashes first; one class of a length that has none there), with one
+    (least hashes first, as many as hold ``sample_floats`` numbers; one class of a length that has none there), with one
     list for ``per_list`` classes, ``max_lists`` at most; every class is
-    indexed, and lists of any size are searched in bounded blocks.
+    indexed, and lists of any size are searched in bounded blocks.  ``spread``
+    is explained above; at its default the recall is measured in the tests.
     """
     spark = vectors.sparkSession
     e = F.col("embedding")
@@ -186,7 +205,8 @@ def near_duplicates(vectors: DataFrame, *, cosine: float = 0.98, sample: int = 2
 
     lengths = {r.dims: r.n for r in classes.groupBy(F.size("embedding").alias("dims")).agg(F.count("*").alias("n")).collect()}
     picked: dict[int, list] = {}
-    for r in classes.orderBy("node").limit(sample).select("embedding").collect():
+    longest = max(lengths, default=1)
+    for r in classes.orderBy("node").limit(max(1, min(sample, sample_floats // longest))).select("embedding").collect():
         picked.setdefault(len(r.embedding), []).append(r.embedding)
     if len(picked) < len(lengths):
         rare = classes.where(~F.size("embedding").isin(*picked)).groupBy(F.size("embedding").alias("dims"))
@@ -195,7 +215,7 @@ def near_duplicates(vectors: DataFrame, *, cosine: float = 0.98, sample: int = 2
     if sum(lengths.values()) > 1:
         index, start = {}, 0
         for dims in sorted(picked):
-            q = Quantiser.fit(_unit(picked[dims]), int(np.clip(lengths[dims] // per_list, 8, max_lists)))
+            q = Quantiser.fit(_unit(picked[dims]), int(np.clip(lengths[dims] // per_list, 8, max_lists)), spread=spread)
             index[dims] = start, q
             start += len(q.coarse)
         held = spark.sparkContext.broadcast(index)

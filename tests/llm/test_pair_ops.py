@@ -233,3 +233,25 @@ def test_pipeline_lines_with_a_hot_source(spark):
     got = {r.doc_id: r.text for r in corpus_pipeline.drop_boilerplate_lines(spark, documents(spark, rows), "").collect()}
     assert len(got) == len(rows) and [i for i in sorted(got) if passage in got[i]] == [1]
     assert all(prose(178, 60) in got[100 + i] for i in range(4))  # on few sites: stays
+
+
+def test_product_quantisation_recall_and_symmetric_counts(spark):
+    """64 dimensions, where probes allow for a random direction only: recall, no false link, one count for both sides."""
+    r = np.random.default_rng(12)
+    base = r.standard_normal((1500, 64))
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(base)]
+    for i in range(600):  # near ones, down to the threshold
+        rows.append((2000 + i, (base[i] + r.uniform(0.05, 0.21) * r.standard_normal(64)).tolist(), 0))
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    x = np.array([v[1] for v in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T >= 0.98
+    want = dict(zip([v[0] for v in rows], near.sum(1) - 1))
+    quantiser = pq_neardup.Quantiser.fit(x, 40)
+    assert quantiser.along < 1 and quantiser.probes(x, 0.2).sum(1).mean() < 0.6 * pq_neardup.Quantiser.fit(
+        x, 40, spread=None).probes(x, 0.2).sum(1).mean()
+    got = {v.vec_id: v.n_links for v in pq_neardup.near_duplicates(df, per_list=50).collect()}
+    assert all(got[i] <= n for i, n in want.items()) and sum(got.values()) >= 0.99 * sum(want.values()) > 400
+    assert sum(got.values()) % 2 == 0
+    whole = {v.vec_id: v.n_links for v in pq_neardup.near_duplicates(df, per_list=50, spread=None).collect()}
+    assert whole == want
