@@ -80,6 +80,20 @@ def runs_of(batches: Iterator[pd.DataFrame], by: list[str]) -> Iterator[tuple[tu
         yield key, [r[1] for r in run]
 
 
+def fresh_name(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores before it as long as ``docs`` has a column of that name."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def numbered_columns(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its columns named c0, c1, ..., which no other name here clashes with; and old name -> new name."""
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
 def merge_labels(label: np.ndarray, members: np.ndarray) -> bool:
     """Give all that share a label with ``members`` the least of these labels; is all one now?
 

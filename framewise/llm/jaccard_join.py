@@ -24,7 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framewise.llm.common import SpanHasher, connected_components, merge_labels, materialize, mix64, runs_of, shingle_hashes
+from framewise.llm.common import (SpanHasher, connected_components, materialize, merge_labels, mix64, numbered_columns, runs_of,
+                                  shingle_hashes)
 from framewise.llm.count_rtree import candidate_lists, groups_for, point
 
 #: Cells of the shingle frequency table: 4 MB of counters whatever the corpus.
@@ -252,6 +253,25 @@ def _verify(batches: Iterator[pd.DataFrame], k: int, num: int, den: int) -> Iter
     yield pd.DataFrame({"u": us, "v": vs}, dtype="int64")
 
 
+def _bitmap(hashes: DataFrame):
+    """A test of columns of hashes against ``hashes`` (``h``), true for all of them and few others; None if there are none."""
+    word, bit = F.pmod("h", F.lit(BITMAP)), F.expr("shiftleft(1L, int(pmod(h, 64)))")
+    bits = np.zeros(BITMAP // 64, np.int64)
+    rows = hashes.groupBy(F.shiftright(word, 6).alias("w")).agg(F.bit_or(bit).alias("b")).collect()
+    if not rows:
+        return None
+    for r in rows:
+        bits[r.w] = r.b
+    held = hashes.sparkSession.sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def maybe(column: pd.Series) -> pd.Series:
+        h = column.to_numpy(np.int64)
+        return pd.Series((held.value[(h % BITMAP) >> 6] >> (h % 64)) & 1 == 1)
+
+    return maybe
+
+
 def _classes(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """(doc_id, t, v, n) per document, and (v, component, doc_id, t) per class of equal sets.
 
@@ -290,18 +310,14 @@ def _classes(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, Da
         F.col("component").alias("cluster"), "v", "n", F.col("doc_id").alias("d"), F.col("t").alias("h")),
         "jaccard_members")
     # Only texts that may be members are shuffled: a fixed-size bitmap of text hashes sorts out most others.
-    word, bit = F.pmod("h", F.lit(BITMAP)), F.expr("shiftleft(1L, int(pmod(h, 64)))")
-    bits = np.zeros(BITMAP // 64, np.int64)
-    for r in members.groupBy(F.shiftright(word, 6).alias("w")).agg(F.bit_or(bit).alias("b")).collect():
-        bits[r.w] = r.b
-    marked = docs.sparkSession.sparkContext.broadcast(bits)
-
-    @F.pandas_udf("boolean")
-    def maybe_member(hashes: pd.Series) -> pd.Series:
-        h = hashes.to_numpy(np.int64)
-        return pd.Series((marked.value[(h % BITMAP) >> 6] >> (h % 64)) & 1 == 1)
-
-    wanted = docs.where("text IS NOT NULL").where(maybe_member("t"))
+    # Rows that repeat an id and a text are folded before that, however many they are.
+    repeats = texts.groupBy("doc_id", "t").agg(F.count("*").alias("n")).where("n > 1")
+    repeats = repeats.join(members, F.col("d").eqNullSafe(repeats["doc_id"]) & (F.col("h") == repeats["t"]), "left_semi").select(F.col("t").alias("h"))
+    some_member, some_repeat = _bitmap(members), _bitmap(repeats)
+    wanted = docs.where("text IS NOT NULL").where(F.lit(False) if some_member is None else some_member("t"))
+    if some_repeat is not None:
+        folded = wanted.where(some_repeat("t")).groupBy("doc_id", "t").agg(F.first("text").alias("text"))
+        wanted = wanted.where(~some_repeat("t")).unionByName(folded)
     sizes = members.groupBy("cluster").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"))
     blocks = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     own, other = F.pmod(F.col("v"), F.col("nb")).cast("int"), F.col("other")
@@ -349,14 +365,15 @@ def keep_one(docs: DataFrame, *, k: int = 5, num: int = 75, den: int = 100) -> D
     kept = materialize(texts.where("n > 0").groupBy("doc_id", "t").agg(F.count("*").alias("_copies"))
                        .join(first, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("t") == F.col("_h")))
                        .select("_d", "_h", "_copies"), "jaccard_kept")
-    cols = [F.col(f"`{c}`") for c in docs.columns]
-    blank = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    full = docs.where(~blank).withColumn("_fw_t", F.xxhash64("text"))
+    full, names = numbered_columns(docs)  # no name of theirs clashes with the ones here
+    key, text = names["doc_id"], names["text"]
+    blank = ~F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    named_rows = full.where(~blank).withColumn("own", F.xxhash64(text))
 
     def rows_of(some: DataFrame, how: str) -> DataFrame:
-        return full.join(some, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_d")) & (F.col("_fw_t") == F.col("_h")), how)
+        return named_rows.join(some, F.col(key).cast("bigint").eqNullSafe(F.col("_d")) & (F.col("own") == F.col("_h")), how)
 
-    single = rows_of(kept.where("_copies = 1"), "left_semi").select(*cols)
+    single = rows_of(kept.where("_copies = 1"), "left_semi").select(*names.values())
     folded = (rows_of(kept.where("_copies > 1"), "inner").groupBy("_d", "_h")
-              .agg(F.first(F.struct(*cols)).alias("_fw_row")).select("_fw_row.*"))
-    return docs.where(blank).unionByName(single).unionByName(folded)
+              .agg(F.first(F.struct(*names.values())).alias("row")).select("row.*"))
+    return full.where(blank).unionByName(single).unionByName(folded).toDF(*docs.columns)
