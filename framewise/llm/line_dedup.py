@@ -7,7 +7,7 @@
 3. Lines whose estimate is clearly at or above ``min_sites`` are boilerplate;
    the near-threshold ones get an exact distinct count.
 4. Documents lose these lines, except in the document of least id that holds
-   the line: each passage survives once.
+   the line: each passage survives there.
 """
 
 from __future__ import annotations
@@ -15,25 +15,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framewise.llm.common import materialize
+from framewise.llm.common import materialize, numbered_columns
 
 #: Relative half-width of the band around the threshold that is counted
 #: exactly: over five standard errors of a sketch with 2**12 registers (1.6 %).
 BAND = 0.1
 
 
-def _lines(docs: DataFrame, site: str, min_words: int) -> DataFrame:
+def _lines(docs: DataFrame, site: str, min_words: int, min_wide: int) -> DataFrame:
     """(doc key, position, line hashes, site) of the lines long enough to judge."""
     line = F.regexp_replace("line", r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
     words = F.size(F.split(line, r"[\x20\x09-\x0D]+"))
     return (docs.select("doc_id", F.xxhash64("text").alias("t"), F.col(site).cast("string").alias("site"),
                         F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
             .select("doc_id", "t", "pos", "site", line.alias("line"))
-            .where(words >= min_words)
+            .where((words >= min_words) | (F.octet_length("line") - F.length("line") >= min_wide))
             .select("doc_id", "t", "pos", "site", F.xxhash64("line").alias("h1"), F.hash(F.lit(7), "line").alias("h2")))
 
 
-def boilerplate_lines(lines: DataFrame, *, min_sites: int = 10, lg_k: int = 12) -> DataFrame:
+def boilerplate_lines(lines: DataFrame, *, min_sites: int = 5, lg_k: int = 12) -> DataFrame:
     """(h1, h2, n_sites, owner): hashes of the ``lines`` on at least ``min_sites`` sites.
 
     ``n_sites`` is the estimate, or the exact count near the threshold;
@@ -58,44 +58,47 @@ def boilerplate_lines(lines: DataFrame, *, min_sites: int = 10, lg_k: int = 12)
     return sure.unionByName(exact.where(F.col("n_sites") >= min_sites))
 
 
-def remove_boilerplate(docs: DataFrame, *, site: str = "source", min_sites: int = 10,
-                       min_words: int = 5, lg_k: int = 12) -> DataFrame:
-    """``docs`` with its boilerplate lines taken out of ``text``, plus ``_fw_lines`` and ``_fw_removed``.
-
-    Lines are split at ``\\n`` and compared without white space at their ends;
-    lines of fewer than ``min_words`` words are never judged.  Every row stays,
-    a text that loses all its lines becomes empty; null texts stay null and
-    have no lines.  Rows that repeat an id and a text get the same result; rows
-    of null id own nothing and lose every boilerplate line.
-    """
-    lines = materialize(_lines(docs, site, min_words), "line_hashes")  # the texts are split once
+def _cut(docs: DataFrame, site: str, min_sites: int, min_words: int, min_wide: int, lg_k: int) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with numbered columns, its texts without boilerplate, n_lines and n_removed; and the columns' names."""
+    lines = materialize(_lines(docs, site, min_words, min_wide), "line_hashes")  # the texts are split once
     bad = materialize(boilerplate_lines(lines, min_sites=min_sites, lg_k=lg_k), "line_bad")
     # Positions to take out per text: at most one row per document line.
     gone = (lines.join(bad, ["h1", "h2"])
-            .where(~F.col("doc_id").eqNullSafe(F.col("owner")))
-            .groupBy(F.col("doc_id").alias("_d"), F.col("t").alias("_t"))
-            .agg(F.collect_set("pos").alias("_gone")))
-    cols = [F.col(f"`{c}`") for c in docs.columns]
-    whole = docs.select(*cols, F.xxhash64("text").alias("_fw_t"), F.split("text", "\n", -1).alias("_fw_l"))
-    out = whole.join(gone, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_fw_t") == F.col("_t")), "left")
-    n = F.coalesce(F.size("_fw_l"), F.lit(0))
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_fw_l") - 1), "_gone")
-    text: Column = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(kept, lambda i: F.get("_fw_l", i)), "\n"))
-    return out.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns],
-                      F.when(F.col("text").isNull(), 0).otherwise(n).alias("_fw_lines"),
-                      F.coalesce(F.size("_gone"), F.lit(0)).alias("_fw_removed"))
-
-
-def dedup_report(docs: DataFrame, **kw) -> DataFrame:
-    """One row per document: doc_id, cleaned text, n_lines, n_removed."""
-    cut = remove_boilerplate(docs.select("doc_id", "text", kw.get("site", "source")), **kw)
-    return cut.select("doc_id", "text", F.col("_fw_lines").cast("long").alias("n_lines"),
-                      F.col("_fw_removed").cast("long").alias("n_removed"))
-
-
-def remaining(docs: DataFrame, **kw) -> DataFrame:
-    """The cleaned documents, without those that lost every line they had."""
-    cut = remove_boilerplate(docs, **kw)
-    empty = (F.col("_fw_removed") > 0) & (F.regexp_replace("text", r"[\x20\x09-\x0D]+", "") == "")
-    return cut.where(~F.coalesce(empty, F.lit(False))).select(*[F.col(f"`{c}`") for c in docs.columns])
+            .where(~F.coalesce(F.col("doc_id") == F.col("owner"), F.lit(False)))
+            .groupBy(F.col("doc_id").alias("d"), F.col("t").alias("t"))
+            .agg(F.collect_set("pos").alias("gone")))
+    whole, names = numbered_columns(docs)
+    key, text = names["doc_id"], names["text"]
+    whole = whole.select("*", F.xxhash64(text).alias("own"), F.split(text, "\n", -1).alias("split"))
+    out = whole.join(gone, F.col(key).eqNullSafe(F.col("d")) & (F.col("own") == F.col("t")), "left")
+    kept = F.array_except(F.sequence(F.lit(0), F.size("split") - 1), "gone")
+    cleaned: Column = F.when(F.col("gone").isNull(), F.col(text)).otherwise(
+        F.array_join(F.transform(kept, lambda i: F.get("split", i)), "\n"))
+    return out.select(*[cleaned.alias(c) if c == text else F.col(c) for c in names.values()],
+                      F.when(F.col(text).isNull(), 0).otherwise(F.coalesce(F.size("split"), F.lit(0))).alias("n_lines"),
+                      F.coalesce(F.size("gone"), F.lit(0)).alias("n_removed")), names
+
+
+def dedup_report(docs: DataFrame, *, site: str = "source", min_sites: int = 5, min_words: int = 5, min_wide: int = 40,
+                 lg_k: int = 12) -> DataFrame:
+    """One row per document: doc_id, text without boilerplate lines, n_lines, n_removed.
+
+    Lines are split at ``\\n`` and compared without white space at their ends.
+    A line is judged if it has ``min_words`` words, or ``min_wide`` bytes more
+    than characters (20 characters of a script without spaces); others stay.
+    A text that loses all its lines becomes empty; null texts stay null and
+    have no lines.  The document of least id that holds a line keeps it (each time it has it);
+    rows that repeat an id and a text get the same result; rows
+    of null id own nothing and lose every boilerplate line.  Other columns are ignored whatever their names.
+    """
+    cut, names = _cut(docs.select("doc_id", "text", site), site, min_sites, min_words, min_wide, lg_k)
+    return cut.select(F.col(names["doc_id"]).alias("doc_id"), F.col(names["text"]).alias("text"),
+                      F.col("n_lines").cast("long").alias("n_lines"), F.col("n_removed").cast("long").alias("n_removed"))
+
+
+def remaining(docs: DataFrame, *, site: str = "source", min_sites: int = 5, min_words: int = 5, min_wide: int = 40,
+              lg_k: int = 12) -> DataFrame:
+    """The cleaned documents, all other columns as they came, without those that lost every line they had."""
+    cut, names = _cut(docs, site, min_sites, min_words, min_wide, lg_k)
+    empty = (F.col("n_removed") > 0) & (F.regexp_replace(names["text"], r"[\x20\x09-\x0D]+", "") == "")
+    return cut.where(~F.coalesce(empty, F.lit(False))).select(*[F.col(c).alias(n) for n, c in names.items()])

@@ -11,9 +11,10 @@ WITH lines AS (
   FROM documents),
 judged AS (
   SELECT doc_id, source, pos, {_TRIM} AS t,
-         len(string_split_regex({_TRIM}, '[\x20\x09-\x0D]+')) >= 5 AS long FROM lines),
+         len(string_split_regex({_TRIM}, '[\x20\x09-\x0D]+')) >= 5
+           OR strlen({_TRIM}) - length({_TRIM}) >= 40 AS long FROM lines),
 bad AS (
-  SELECT t, min(doc_id) AS owner FROM judged WHERE long GROUP BY t HAVING count(DISTINCT source) >= 10),
+  SELECT t, min(doc_id) AS owner FROM judged WHERE long GROUP BY t HAVING count(DISTINCT source) >= 5),
 marked AS (
   SELECT l.doc_id, l.pos, l.line, (j.long AND b.t IS NOT NULL AND b.owner <> l.doc_id) AS gone
   FROM lines l JOIN judged j USING (doc_id, pos) LEFT JOIN bad b ON j.t = b.t),
