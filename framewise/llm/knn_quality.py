@@ -81,21 +81,24 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", learn: Co
     That bound (the exemplars with the least id hashes among the rows that
     ``learn`` admits) is the size of what is broadcast: ``max_exemplars`` times
     ``dims`` floats.  Labels other than 0 and 1, null ids and texts without
-    terms are left out; of several labels for one id the greatest counts.
+    terms are left out; of several labels for one id the greatest counts, of
+    several texts the one of least hash.
     """
     marks = labels.where(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).alias("_y")).dropna()
     if learn is not None:
         marks = marks.where(learn)
     found = docs.select("doc_id", "text").where("text <> ''").join(marks, "doc_id")
     h = F.xxhash64("doc_id")
-    cut = found.select(h.alias("h")).orderBy("h").limit(max_exemplars).agg(F.max("h")).first()[0]
+    cut = found.select("doc_id").distinct().select(h.alias("h")).orderBy("h").limit(max_exemplars).agg(F.max("h")).first()[0]
 
     @F.pandas_udf("binary")
     def terms_of(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: term_vector(t).tobytes())
 
-    rows = (found.where(h <= F.lit(cut)).select(F.col("_y").cast("int").alias("y"), terms_of("text").alias("x"))
-            .orderBy("y", "x").limit(max_exemplars).collect())
+    # One text an id, folded before its shuffle: rows that repeat an id are one exemplar.
+    chosen = found.where(h <= F.lit(cut)).groupBy("doc_id", "_y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    rows = (chosen.select(F.col("_y").cast("int").alias("y"), h.alias("h"), "doc_id", terms_of("text").alias("x"))
+            .orderBy("h", "doc_id").limit(max_exemplars).collect())
     if not rows:
         return Voter(np.zeros(TERMS + 1, np.float32), np.zeros((TERMS + 1, 1), np.float32),
                      np.zeros((0, 1), np.float32), np.zeros(0), 0.5, k, power)

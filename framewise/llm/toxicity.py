@@ -8,19 +8,20 @@ learns from inputs as imperfect as the ones it will get when scoring.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framewise.llm.common import materialize
+from framewise.llm.common import fresh_name, materialize
 
 #: Bias of a category without a positive label: a probability of 1e-13.
 NEVER = -30.0
-_WORD = re.compile(r"\w+")
+#: Words as the fit finds them in the JVM.
+_WORD = regex.compile(r"[\p{L}\p{N}_]+")
 
 
 @dataclass(frozen=True)
@@ -94,7 +95,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *,
     from document counts, ``min_chi`` at least (words that differ by chance only
     would add up in very long texts), and its models are ridge logistic regressions.  Null
     labels, ids and texts are left out; of several labels for one id a true one
-    wins.  A category without a positive label (so each one, if there are no labels)
+    wins, of several texts the one of least hash counts.  A category without a positive label (so each one, if there are no labels)
     is untrained: its probability is 0 but for rounding, so it rejects nothing.
     """
     names = list(categories)
@@ -105,8 +106,10 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *,
     h = F.xxhash64("doc_id")
     cut = marks.select(h.alias("h")).orderBy("h").limit(max_rows).agg(F.max("h")).first()[0]
     tokens = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0)))
-    marked = materialize(docs.select("doc_id", "text").dropna().join(F.broadcast(marks.where(h <= F.lit(cut))), "doc_id")
-                         .select("doc_id", *yc, tokens.alias("_w")), "toxicity_train")
+    chosen = docs.select("doc_id", "text").dropna().join(F.broadcast(marks.where(h <= F.lit(cut))), "doc_id")
+    # One text an id, folded before its shuffle: rows that repeat an id count once.
+    chosen = chosen.groupBy("doc_id", *yc).agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    marked = materialize(chosen.select("doc_id", *yc, tokens.alias("_w")), "toxicity_train")
     total = marked.agg(F.count("*"), *[F.sum(c) for c in yc]).first()
     n, pos = total[0], [t or 0 for t in total[1:]]
     counted = marked.select(*yc, F.explode("_w").alias("w")).groupBy("w").agg(
@@ -160,4 +163,5 @@ def classify(docs: DataFrame, model: ChainModel, *, category: str = "toxic", thr
 def reject(docs: DataFrame, model: ChainModel, *, category: str = "toxic", threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that the chain does not find toxic, all columns as they came."""
     k = model.categories.index(category)
-    return score(docs, model).where(F.col("_toxicity")[k] < threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
+    to = fresh_name(docs, "_toxicity")
+    return score(docs, model, to=to).where(F.col(to)[k] < threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
