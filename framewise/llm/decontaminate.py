@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from framewise.llm.common import fresh_name, materialize
 from framewise.llm.wu_manber import WuManber
 
 #: Bytes that are not part of a word become spaces; letters are lower case by then.
@@ -64,12 +65,14 @@ def search(text: str | None, found: list[WuManber], spans=(), items=()) -> tuple
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", window: int = 10,
-              block_chars: int = 32_000_000, to: str = "_hits") -> DataFrame:
+              block_chars: int = 2_000_000, to: str = "_hits") -> DataFrame:
     """``docs`` with the struct column ``to``: n_words, merged hit spans, sorted items hit.
 
     ``block_chars`` bounds the benchmark text behind one broadcast (a single
-    longer item makes a block of its own); the number of blocks follows the
-    benchmark's size.  Null and empty texts have no words; items of null or
+    longer item makes a block of its own): its matchers take some 130 times that
+    in memory, 260 MB at the default.  The number of blocks follows the
+    benchmark's size; a table is written after each but the last, so that no
+    two blocks' matchers meet in one task.  Null and empty texts have no words; items of null or
     wordless text have no windows; windows of items with a null id hit but
     name no item; repeated items count once.  A column named ``to`` is replaced.
     """
@@ -91,6 +94,8 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", wind
             return pd.DataFrame(rows, columns=["n_words", "spans", "items"])
 
         out = out.withColumn(to, look.asNondeterministic()(F.col(text), F.col(to)))
+        if b < blocks - 1:
+            out = materialize(out, "benchmark_hits")
     return out
 
 
@@ -113,5 +118,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark window, all columns as they came."""
-    hits = find_hits(docs, benchmark, **kw)
-    return hits.where(F.size("_hits.spans") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
+    to = fresh_name(docs, "_hits")
+    hits = find_hits(docs, benchmark, to=to, **kw)
+    return hits.where(F.size(F.col(to)["spans"]) == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
