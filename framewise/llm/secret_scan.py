@@ -107,16 +107,17 @@ def ownership(found: DataFrame) -> DataFrame:
     return owners.groupBy("h1", "h2").agg(F.sum("repos").alias("n_repos"), F.count("*").alias("n_owners"))
 
 
-def secrets(docs: DataFrame, *, owner: str = "source", example_owners: int = 3) -> DataFrame:
+def secrets(docs: DataFrame, *, owner: str = "source", example_owners: int = 3, example_repos: int = 25) -> DataFrame:
     """One row per document: counts and spans of what was found, and how its values are owned.
 
     doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_examples.
     Spans read ``kind:start:end`` (code points, end exclusive) by start, then
     kind (assign, access, hex, opaque).  All base spans are listed; an opaque
-    token is added when it looks random, is not within a base span, and fewer
-    than ``example_owners`` owners hold it.  ``n_live`` counts the values of
-    the document (base and added) that look random and have fewer owners than
-    that, ``n_examples`` those that have as many or more.  Null texts are
+    token is added when it looks random, is not within a base span, and is no
+    example.  An example is a value that ``example_owners`` owners hold, or
+    ``example_repos`` repositories, of one owner or more.  ``n_live`` counts the
+    values of the document (base and added) that look random and are no
+    examples, ``n_examples`` those that are.  Null texts are
     empty, repeated rows keep their rows, and a null owner is one owner.
     """
     found = materialize(scan(docs, owner=owner), "secret_scan")
@@ -125,7 +126,7 @@ def secrets(docs: DataFrame, *, owner: str = "source", example_owners: int = 3)
     freq = ownership(each.select("h1", "h2", "doc_id", "owner"))
     judged = each.select("row", "m", "h1", "h2").join(freq, ["h1", "h2"]).select(
         "row", F.struct("m.start", "m.rank", "m.end",
-                        (F.col("n_owners") < example_owners).alias("few"), looks_random(F.col("m.value")).alias("random")).alias("m"))
+                        ((F.col("n_owners") < example_owners) & (F.col("n_repos") < example_repos)).alias("few"), looks_random(F.col("m.value")).alias("random")).alias("m"))
     gathered = judged.groupBy(F.col("row").alias("_row")).agg(F.array_sort(F.collect_list("m")).alias("ms"))
     base = F.filter("ms", lambda m: m["rank"] < 3)
     added = F.filter("ms", lambda m: (m["rank"] == 3) & m["few"] & ~F.exists(

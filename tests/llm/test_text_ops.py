@@ -7,6 +7,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
 from llm_helpers import EDGE, documents, prose  # noqa: E402
@@ -69,7 +70,7 @@ def brute_lines(rows, min_sites, min_words=5):
     for i, text, site in rows:
         for line in (text or "").split("\n") if text is not None else []:
             key = line.strip(" \t\n\x0b\x0c\r")
-            if len(re.split(r"[\x20\x09-\x0D]+", key)) >= min_words:
+            if len(re.split(r"[\x20\x09-\x0D]+", key)) >= min_words or len(key.encode()) - len(key) >= 40:
                 sites.setdefault(key, set()).update([site] if site is not None else [])
                 if i is not None:
                     owner[key] = min(owner.get(key, i), i)
@@ -77,7 +78,7 @@ def brute_lines(rows, min_sites, min_words=5):
     out = []
     for i, text, _ in rows:
         out.append((i, None if text is None else "\n".join(
-            x for x in text.split("\n") if (k := x.strip(" \t\n\x0b\x0c\r")) not in bad or owner.get(k) == i)))
+            x for x in text.split("\n") if (k := x.strip(" \t\n\x0b\x0c\r")) not in bad or (i is not None and owner.get(k) == i))))
     return out
 
 
@@ -87,7 +88,7 @@ def test_line_spread_matches_brute_force(spark):
     rows += [(100 + i, f"seen on few sites only here\n{prose(i + 900, 7)}", f"site{i % 6}") for i in range(12)]
     rows += [(200 + i, footer, None) for i in range(2)] + [(r[0], r[1], "s") for r in EDGE]
     for sites in (10, 14, 15):
-        got = line_dedup.remove_boilerplate(documents(spark, rows), min_sites=sites)
+        got = line_dedup.dedup_report(documents(spark, rows), min_sites=sites)
         key = lambda r: (str(r[0]), str(r[1]))
         assert sorted([(r.doc_id, r.text) for r in got.collect()], key=key) == sorted(brute_lines(rows, sites), key=key)
     kept = line_dedup.remaining(documents(spark, rows))
@@ -96,6 +97,41 @@ def test_line_spread_matches_brute_force(spark):
     assert line_dedup.remaining(documents(spark, [])).count() == 0
 
 
+def test_lines_without_spaces_null_owners_and_hot_site(spark):
+    long, short = "本站所有内容版权归原作者所有转载请注明出处谢谢合作", "版权所有"
+    rows = [(i, f"{long}\n{short}\n{prose(i, 8)}", f"s{i % 12}") for i in range(24)]
+    rows += [(None, f"only rows without an id hold this line\n{prose(90 + i, 8)}", f"s{i}") for i in range(12)]
+    # A third of the rows on one site: the line is on five others.
+    hot = "a passage that the hot site has most often of all"
+    rows += [(500 + i, f"{hot}\n{prose(600 + i, 6)}", "hot" if i % 3 else f"s{i % 5}") for i in range(60)]
+    got = line_dedup.dedup_report(documents(spark, rows))
+    key = lambda r: (str(r[0]), str(r[1]))
+    out = sorted([(r.doc_id, r.text) for r in got.collect()], key=key)
+    assert out == sorted(brute_lines(rows, 5), key=key)
+    texts = [t for _, t in out]
+    assert sum(long in t for t in texts) == 1 == sum(hot in t for t in texts) and sum(short in t for t in texts) == 24
+    assert not any("without an id" in t for t in texts)
+
+
+CLASH = ["_d", "_t", "_gone", "_fw_t", "_fw_l", "_hits", "_toxicity", "c0", "c1", "d", "t", "gone", "own", "split", "n_lines",
+         "n_removed", "row", "_h", "_copies"]
+
+
+def test_stages_keep_columns_whose_names_clash(spark):
+    from framewise.llm import jaccard_join
+    docs = documents(spark, [(i, prose(i % 3, 60), f"s{i}") for i in range(8)] + [(9, "clean " + prose(50, 30), "s")] + EDGE)
+    for i, c in enumerate(CLASH):
+        docs = docs.withColumn(c, F.lit(i))
+    bench = spark.createDataFrame([(1, prose(70, 12))], "item_id bigint, text string")
+    model = toxicity.fit(docs, labels_df(spark, []), queries.harm_categories())
+    for stage in (lambda d: toxicity.reject(d, model), line_dedup.remaining, jaccard_join.keep_one,
+                  lambda d: decontaminate.clean(d, bench)):
+        out = stage(docs)
+        assert out.columns == docs.columns
+        for r in out.collect():
+            assert [r[c] for c in CLASH] == list(range(len(CLASH)))
+
+
 def test_neighbour_votes_on_held_out_rows(spark):
     rows = [(i, prose(i, 40) if i % 3 else " ".join(["zz%%% @@"] * (5 + i % 7))) for i in range(150)]
     labels = [(i, int(i % 3 > 0), 0) for i in range(150)]
@@ -105,6 +141,52 @@ def test_neighbour_votes_on_held_out_rows(spark):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def plain_votes(voter, texts):
+    """The vote by all cosines, one text after the other."""
+    out = []
+    for t in texts:
+        terms = knn_quality.term_vector(t)
+        if not terms.any():
+            out.append(voter.prior)
+            continue
+        sims = sorted(((float(voter.latent(terms[None, :])[0] @ v), float(y)) for v, y in zip(voter.vectors, voter.votes)), reverse=True)
+        near = [(max(0.0, min(1.0, s)) ** voter.power, y) for s, y in sims[: voter.k]]
+        total = sum(w for w, _ in near)
+        out.append(min(1.0, max(0.0, sum(w * y for w, y in near) / total)) if total > 0 else voter.prior)
+    return out
+
+
+def test_neighbour_votes_equal_all_cosines_and_repeats_are_one_exemplar(spark):
+    rows = [(i, prose(i, 40) if i % 3 else " ".join(["zz%%% @@"] * (5 + i % 7) + [f"w{i}"])) for i in range(90)]
+    labels = [(i, int(i % 3 > 0), 0) for i in range(90)]
+    voter = knn_quality.fit(documents(spark, rows), labels_df(spark, labels))
+    got = {r.doc_id: r.score for r in knn_quality.score(documents(spark, rows + EDGE[:4]), voter).collect()}
+    texts = dict(rows + EDGE[:4])
+    assert np.allclose([got[i] for i in texts], plain_votes(voter, texts.values()), atol=1e-5)
+    # One row repeated for a third of the table: one exemplar, and the same voter.
+    hot = knn_quality.fit(documents(spark, rows + [rows[5]] * 45), labels_df(spark, labels), max_exemplars=60)
+    once = knn_quality.fit(documents(spark, rows), labels_df(spark, labels), max_exemplars=60)
+    assert len(hot.votes) == len(once.votes) == 60 and np.array_equal(hot.vectors, once.vectors)
+    assert 0 < hot.votes.mean() < 1
+
+
+def test_toxicity_fit_equals_plain_chain_and_repeats_count_once(spark):
+    rows, labels = toxic_corpus()
+    cats = queries.harm_categories()
+    model = toxicity.fit(documents(spark, rows), labels_df(spark, labels), cats)
+    hot = toxicity.fit(documents(spark, rows + [rows[3]] * 200 + [(rows[3][0], "another text")]), labels_df(spark, labels), cats)
+    assert model.vocabulary == hot.vocabulary and all(np.allclose(a, b, atol=0.2) for a, b in zip(model.weights, hot.weights))
+    # The chain computed plainly: each document in turn, each category with those before it.
+    for text in [r[1] for r in rows[:40]] + [None, "", "x" * 5]:
+        words = set(re.findall(r"\w+", (text or "").lower()))
+        before = []
+        for w in model.weights:
+            x = [1.0] + [float(v in words) for v in sorted(model.vocabulary, key=model.vocabulary.get)]
+            x += [np.log(q / (1 - q)) for q in (min(max(p, 1e-4), 1 - 1e-4) for p in before)]
+            before.append(1 / (1 + np.exp(-np.clip(np.dot(w, x), -30, 30))))
+        assert np.allclose(model.probabilities([text])[0], before)
+
+
 def test_neighbour_votes_edges(spark):
     got = knn_quality.quality(documents(spark, EDGE), labels_df(spark, [(5, 1, 0), (7, 0, 0), (None, 1, 0), (9, None, 0)]))
     rows = got.collect()
