@@ -17,8 +17,8 @@ from framewise.llm.queries import PIECES, toxicity_model
 from framewise.session import materialize, ship_package
 
 
-#: Sites from which a line is boilerplate.  Earlier stages and a source that holds a third of the
-#: documents leave a passage fewer sites than ``op2_line_spread`` (10, as its SQL) asks for.
+#: Sites from which a line is boilerplate: earlier stages and a source that holds a third of the
+#: documents leave a passage fewer sites than it had.
 MIN_SITES = 5
 
 

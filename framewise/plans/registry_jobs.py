@@ -15,15 +15,10 @@ from framewise.sources import bindings as B
 from framewise.sources import images as SI
 
 
-_ANALYSES: dict[tuple[str, str], dict[str, str]] = {}
-
-
+@TB.once
 def _analysis(spark, d) -> dict[str, str]:
-    """J1's outputs; the job runs once a session and input, for all queries that read one of them."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _ANALYSES:
-        _ANALYSES[key] = J.analyse_crash_records(spark, TB.records(spark, d), shared_dir(spark, "job_analysis"), copy_source=True)
-    return _ANALYSES[key]
+    """J1's outputs."""
+    return J.analyse_crash_records(spark, TB.records(spark, d), shared_dir(spark, "job_analysis"), copy_source=True)
 
 
 @query("job_analysis_metrics")
@@ -65,6 +60,7 @@ for _name in JOB_OUTPUTS:
     query(f"job_analysis_{_name}")(_job_output(_name))
 
 
+@TB.once
 def _cleaned(spark, d) -> str:
     view = "crash_records_source"
     TB.cleaning_input(spark, d).createOrReplaceTempView(view)
@@ -90,6 +86,7 @@ def _job_severity_model(spark, d):
     return acc
 
 
+@TB.once
 def _ingested_table(spark, d) -> str:
     from framewise.plans.registry_media import _image_dir
     table = shared_dir(spark, "job_images")
@@ -112,6 +109,7 @@ def _job_profile_images(spark, d):
     return profile
 
 
+@TB.once
 def _resized(spark, d) -> dict[str, str]:
     """J5 over a folder that lacks every 7th image."""
     from framewise.plans.registry_media import _docs, _image_dir
@@ -137,6 +135,7 @@ def _job_resize_missing(spark, d):
     return spark.read.parquet(_resized(spark, d)["missing"])
 
 
+@TB.once
 def _fed_twice(spark, d) -> tuple[str, str]:
     """J3 and J4, twice: later frames of each video are stored and extracted before earlier ones."""
     from framewise.plans.registry_media import _image_dir

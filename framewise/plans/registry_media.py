@@ -111,6 +111,7 @@ def _batch_progress(spark, d):
 
 # ------------------------------------------------------------ image files
 
+@TB.once
 def _image_dir(spark, d, where: str = "true") -> str:
     """Write the embedding frames (those ``where`` keeps) as PNG objects under the shared folder."""
     from framewise.session import shared_dir
@@ -151,6 +152,7 @@ def _list_images(spark, d):
                          F.col("modificationTime").isNotNull().alias("has_time"))
 
 
+@TB.once
 def _ingested(spark, d):
     from framewise.session import shared_dir
     from framewise.sources import images as SI
@@ -212,6 +214,7 @@ def _ml_split(spark, d):
             .unionByName(test.withColumn("split", F.lit("test"))))
 
 
+@TB.once
 def _severity(spark, d):
     """(test rows, fitted model, its predictions of them)."""
     from framewise.operators.model import ml_split, predict, train_severity_model
@@ -273,11 +276,12 @@ def _incremental_density(spark, d):
     return spark.read.parquet(f"{root}/table").select("video", "frame", "traffic_density")
 
 
-def _folder_features(spark, d, name):
+@TB.once
+def _folder_features(spark, d):
     """Ingest the image folder, extract, and run both again: the second run finds nothing new."""
     from framewise.plans import jobs as J
     from framewise.session import shared_dir
-    folder, root = _image_dir(spark, d), shared_dir(spark, name)
+    folder, root = _image_dir(spark, d), shared_dir(spark, "folder_features")
     for _ in range(2):
         J.ingest_job(spark, folder, f"{root}/images", images_per_file=200)
         J.feature_job(spark, f"{root}/images", root, files_per_trigger=4, block=1)
@@ -287,14 +291,14 @@ def _folder_features(spark, d, name):
 @query("incremental_image_features")
 def _incremental_image_features(spark, d):
     from framewise.plans import jobs as J
-    feats = J.read_features(spark, _folder_features(spark, d, "incremental_images"))
+    feats = J.read_features(spark, _folder_features(spark, d))
     return feats.select("video", "frame", basename("path").alias("filename"), "traffic_density")
 
 
 @query("image_progress")
 def _image_progress(spark, d):
     """Stored and failed files over a folder that holds damaged ones."""
-    root = _folder_features(spark, d, "image_progress")
+    root = _folder_features(spark, d)
     return (spark.read.parquet(f"{root}/progress")
             .agg(F.sum("processed").alias("processed"), F.sum("failed").alias("failed")))
 

@@ -5,14 +5,37 @@ Every helper returns a DataFrame plan; nothing is read until an action runs.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 
 from framewise.operators import anomaly as A
 from framewise.operators import frames as FR
 from framewise.operators import metrics as M
+from framewise.session import table_exists
 from framewise.sources import bindings as B
 
 
+def once(make):
+    """``make(spark, sf_dir, ...)`` run once a session and input; for what several queries read and none changes.
+
+    Tables that are gone meanwhile are made anew.
+    """
+    made: dict = {}
+
+    def there(spark: SparkSession, value) -> bool:
+        paths = value.values() if isinstance(value, dict) else value if isinstance(value, tuple) else [value]
+        return all(table_exists(spark, p) for p in paths if isinstance(p, str))
+
+    @functools.wraps(make)
+    def get(spark: SparkSession, sf_dir: str, *args):
+        key = (id(spark), sf_dir, *args)
+        if key not in made or not there(spark, made[key][1]):
+            made[key] = spark, make(spark, sf_dir, *args)  # the session is held, so that its id stays its own
+        return made[key][1]
+    return get
+
+
 _READERS: dict[tuple[str, str], DataFrame] = {}
 
 

@@ -14,13 +14,13 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 IMPL = {
-    "S1": "sources.records.scan_records", "S2": "sources.records.scan_catalog",
+    "S1": "sources.records.scan_records, sources.bson_dump.scan_dump", "S2": "sources.catalog.save_bucketed, scan_catalog",
     "S3": "sources.records.scan_clean_parquet", "S4": "sources.images.scan_images",
     "S5": "sources.images.decode_images, image_rows", "S6": "operators.images.image_manifest",
     "S7": "sources.images.list_images", "S8": "sources.sinks.sink_parquet", "S9": "sources.sinks.sink_json",
     "S10": "sources.sinks.sink_csv", "S11": "sources.sinks.metrics_export",
-    "S12": "sources.images.ingest_images", "S13": "streaming.incremental.upsert_latest, write_upsert",
-    "S14": "operators.resize.resize_images + plans.jobs.resize_job", "S15": "sources.images.scan_image_table",
+    "S12": "sources.images.ingest_images", "S13": "sources.keyed_log.KeyedLog (streaming.incremental.upsert_latest, write_upsert)",
+    "S14": "sources.image_objects.ImageObjects, write_objects", "S15": "sources.images.scan_image_table",
     "P1": "operators.clean.project_columns", "P2": "operators.clean.drop_nulls",
     "P3": "operators.clean.drop_duplicates", "P4": "operators.clean.clean_records",
     "P5": "operators.frames.add_sequence_id", "P6": "operators.frames.to_frame_rows",
@@ -51,19 +51,21 @@ IMPL = {
     "I6": "not built (image library)", "I7": "not built (image library)",
     "I8": "not built (image library)", "I9": "operators.features.frame_features",
     "I10": "operators.images.split_decoded", "I11": "operators.images.missing_images",
-    "T1": "streaming.features_stream.run_image_folder_features, run_incremental",
-    "T2": "streaming.incremental.mark_processed", "T3": "streaming.incremental.running_total, features_stream.progress_totals",
+    "T1": "streaming.kept_features.run_table_features, features_stream.run_incremental",
+    "T2": "streaming.kept_features.marks_log, incremental.mark_processed", "T3": "streaming.incremental.running_total, features_stream.progress_totals",
     "M1": "operators.model.ml_split", "M2": "operators.model.severity_pipeline, train_severity_model",
-    "M3": "operators.model.model_accuracy",
+    "M3": "operators.model.model_accuracy, forest_nodes, score_with_nodes",
     "J1": "plans.jobs.analyse_crash_records", "J2": "plans.jobs.clean_job", "J3": "plans.jobs.ingest_job",
     "J4": "plans.jobs.feature_job", "J5": "plans.jobs.resize_job", "J6": "plans.jobs.weather_report",
     "J7": "plans.jobs.severity_job", "J8": "plans.jobs.profile_images",
 }
 
-EXTRA_QUERIES = {"T1": ["incremental_image_features", "incremental_density"],
-                 "A1": ["frame_cube"], "A3": ["sequence_stats_records"],
+EXTRA_QUERIES = {"T1": ["incremental_image_features", "incremental_density", "job_features_table"],
+                 "S1": ["scan_dump_records"], "S15": ["scan_dump_images"], "S2": ["scan_catalog_partition"], "S13": ["upsert_table"],
+                 "I4b": ["pixel_foreground_chunks"], "M2": ["severity_nodes"],
+                 "A1": ["frame_cube"], "A3": ["sequence_stats_records", "catalog_sequence_stats"],
                  # rows the inventory marks "with <parent>": checked by the parent's query
-                 "S14": ["resize_images"], "P14": ["metrics_export"], "P15": ["anomaly_summary"],
+                 "S14": ["job_resize"], "P14": ["metrics_export"], "P15": ["anomaly_summary"],
                  "O4": ["weather_counts", "crash_distribution"],
                  "I3": ["frame_features", "incremental_image_features"],
                  "I9": ["frame_features", "incremental_features"],
