@@ -45,7 +45,8 @@ NOTICES = {
 
 #: Hash functions, one a band: one agreeing minimum retrieves a window.  A
 #: window holding the least admitted share (0.75) of a template has Jaccard
-#: similarity above 0.17 with it, and is missed with probability below 1e-5.
+#: similarity above 0.17 with it, and is missed with probability below 1e-5;
+#: a template of one shingle has 1/8 of its window, and is missed with 2e-4.
 BANDS = 64
 LEAST_STRIDE = 4
 #: Shingles hashed at once: bounds memory on very long texts.
