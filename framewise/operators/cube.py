@@ -3,10 +3,10 @@
 Every frame-level report groups by a subset of (time_of_day, weather,
 egoinvolve, startframe, frame_number, crash_detected).  Aggregating the frame
 rows ONCE to that key set (with counts) and deriving each report from the
-cube turns N passes over the frame rows into one.  The cube's size is bounded
-by the category cardinalities (times x weathers x ego x start frames x frame
-numbers x flag values), not by the number of frames, so re-aggregating it is
-cheap and safe to run many times.
+cube turns N passes over the frame rows into one.  The cube has at most a row
+for each time, weather, ego value, start frame, frame number and flag value.
+Start frames are data, not categories: with as many of them as records the cube
+is as large as the frame rows, and only spares reading the source again.
 
 Each function returns exactly what its counterpart in ``reports``/``metrics``
 returns on the raw frame rows (checked by tests).
@@ -80,7 +80,7 @@ def crash_distribution(cube: DataFrame) -> DataFrame:
     total = F.sum("frame_count").over(Window.partitionBy())
     return (counts.select("crash_detected", label.alias("label"), "frame_count",
                           (F.try_divide(F.col("frame_count"), total) * 100).alias("percentage"))
-            .orderBy(F.desc("frame_count")))
+            .orderBy(F.desc("frame_count"), "crash_detected"))
 
 
 def frame_timeline(cube: DataFrame) -> DataFrame:

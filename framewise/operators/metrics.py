@@ -25,12 +25,6 @@ def with_one_row(df: DataFrame, row: DataFrame, name: str = "_row") -> DataFrame
     return df.withColumn(name, packed)
 
 
-def one_row(df: DataFrame, *cols: str):
-    """Columns of a one-row DataFrame as scalar-subquery columns (one subquery per use)."""
-    packed = df.select(F.struct(*[F.col(c) for c in (cols or df.columns)]).alias("r")).scalar()
-    return {c: packed.getField(c) for c in (cols or df.columns)}
-
-
 def crash_metrics(frames: DataFrame) -> DataFrame:
     """Total crashes, crash rate (mean flag), total frames, crash percentage."""
     return (frames

@@ -69,7 +69,7 @@ def crash_distribution(frames: DataFrame) -> DataFrame:
     total = F.sum("frame_count").over(Window.partitionBy())
     return (counts.select("crash_detected", label.alias("label"), "frame_count",
                           (F.try_divide(F.col("frame_count"), total) * 100).alias("percentage"))
-            .orderBy(F.desc("frame_count")))
+            .orderBy(F.desc("frame_count"), "crash_detected"))
 
 
 def _crash_count_by(frames: DataFrame, key: str) -> DataFrame:

@@ -110,10 +110,6 @@ def local_path(path: str) -> str:
     return path
 
 
-def is_local(path: str) -> bool:
-    return "://" not in path or path.startswith("file:") or os.path.isabs(path)
-
-
 def materialize(df, name: str, keep: list | None = None):
     """Cut lineage: write ``df`` as Parquet under the shared folder and read it back.
 

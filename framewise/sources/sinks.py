@@ -65,12 +65,3 @@ def run_writes(writes: dict, parallel: int = 8) -> dict:
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         futures = {name: pool.submit(fn) for name, fn in writes.items()}
     return {name: f.result() for name, f in futures.items()}
-
-
-def report_bundle(tables: dict[str, DataFrame], root: str, single_file_reports: bool = True,
-                  parallel: int = 1) -> dict:
-    """Write report tables as CSV under ``root/<name>``; frame-level data stays split."""
-    def writer(name, df):
-        return lambda: sink_csv(df, f"{root.rstrip('/')}/{name}",
-                                single_file=single_file_reports and name != "frame_level_data")
-    return run_writes({name: writer(name, df) for name, df in tables.items()}, parallel)
