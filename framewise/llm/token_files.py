@@ -41,7 +41,7 @@ from framewise.session import materialize, scratch, shared_dir
 
 MAGIC = b"FWTOKEN1"
 #: Bytes of text that are tokenized together, words that a worker remembers, blocks that are coded together.
-TOGETHER, REMEMBERED, BATCH = 1 << 20, 600_000, 16
+TOGETHER, REMEMBERED, BATCH = 1 << 20, 900_000, 16
 #: A file is closed after so many ids or documents.
 FILE_IDS, FILE_DOCS = 1 << 24, 1 << 20
 
