@@ -7,7 +7,6 @@ absent -- local runs and tests -- do we create one ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 import zipfile
