@@ -118,16 +118,17 @@ def ingest_job(spark: SparkSession, src: str, table_path: str, glob: str = "*",
 
 
 def feature_job(spark: SparkSession, image_table: str, out_root: str, files_per_trigger: int = 10,
-                block: int = 8) -> dict[str, str]:
+                block: int = 8, state_partitions: int | None = None) -> dict[str, str]:
     """J4: incremental, restartable feature extraction from the table that ``ingest_job`` writes.
 
-    ``block`` is the side of the pixel squares that the background test sees.
+    ``block`` is the side of the pixel squares that the background test sees,
+    ``state_partitions`` deals the videos' backgrounds, for good at the first run.
     Re-running it takes only what was ingested since the last run (the
     checkpoints lie under ``out_root``); ``read_features`` gives the result, and
     ``scan_image_table`` shows the processed marks."""
     from framewise.streaming.kept_features import run_table_features
     root = out_root.rstrip("/")
-    run_table_features(spark, image_table, root, files_per_trigger, block)
+    run_table_features(spark, image_table, root, files_per_trigger, block, state_partitions=state_partitions)
     return {name: f"{root}/{name}" for name in ("features", "dead_letter", "progress", "checkpoint")}
 
 

@@ -142,7 +142,7 @@ def _fed_twice(spark, d) -> tuple[str, str]:
     root = shared_dir(spark, "job_features")
     for where in ("vec_id % 3 <> 1", "vec_id % 3 = 1"):
         J.ingest_job(spark, _image_dir(spark, d, where), f"{root}/images", images_per_file=200)
-        J.feature_job(spark, f"{root}/images", root, files_per_trigger=4, block=1)
+        J.feature_job(spark, f"{root}/images", root, files_per_trigger=8, block=1, state_partitions=8)
     return f"{root}/images", root
 
 

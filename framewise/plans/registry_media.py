@@ -284,7 +284,7 @@ def _folder_features(spark, d):
     folder, root = _image_dir(spark, d), shared_dir(spark, "folder_features")
     for _ in range(2):
         J.ingest_job(spark, folder, f"{root}/images", images_per_file=200)
-        J.feature_job(spark, f"{root}/images", root, files_per_trigger=4, block=1)
+        J.feature_job(spark, f"{root}/images", root, files_per_trigger=8, block=1, state_partitions=8)
     return root
 
 
