@@ -105,3 +105,20 @@ def test_ingest_takes_every_file_once_under_its_full_path(spark, tmp_path):
     rows = SI.scan_image_table(spark, f"{tmp_path}/table").collect()
     assert len(rows) == 4 and len({r.path for r in rows}) == 4
     assert all(r.height == 4 + (10 if "/a/" in r.path else 200) % 7 for r in rows)
+
+
+def test_ingest_fills_its_files(spark, tmp_path):
+    """Scan splits of few images are put together; new files of a folder that is stored in part are added alone."""
+    import numpy as np
+    from framewise.sources.images import encode_png, ingest_images, scan_image_table
+    (tmp_path / "a").mkdir()
+    for i in range(1, 73):
+        (tmp_path / "a" / f"C_000001_{i:02d}.png").write_bytes(encode_png(np.full((2, 2, 3), i, np.uint8)))
+    table = f"{tmp_path}/t"
+    ingest_images(spark, f"{tmp_path}/a", table, skip_existing=True, images_per_file=36)
+    assert len(list((tmp_path / "t" / "pixels").glob("*.parquet"))) <= 4
+    (tmp_path / "a" / "C_000001_73.png").write_bytes(encode_png(np.full((2, 2, 3), 73, np.uint8)))
+    for _ in range(2):
+        ingest_images(spark, f"{tmp_path}/a", table, skip_existing=True, images_per_file=36)
+        rows = scan_image_table(spark, table).select("filename").collect()
+        assert len(rows) == 73 == len({r.filename for r in rows})
