@@ -117,8 +117,10 @@ def score_with_nodes(rows: DataFrame, nodes: DataFrame, codes: dict[str, list[st
                      key: str = "sequence_id") -> DataFrame:
     """``key, prediction`` from joins down the trees: one join a level, then the votes of all trees added.
 
-    ``key`` is unique, ``size`` is ``forest_size``.  A row goes down each tree;
-    the node table, which has the model's size, is the small side of every join.
+    ``key`` is unique, ``size`` is ``forest_size``.  Rows of equal codes go down
+    each tree as one: there are at most as many as the model's categories (and
+    one more a feature) combine to, however many rows.  The node table, which
+    has the model's size, is the small side of every join.
     Equal votes give the lower class.
     """
     def code(c: str):
@@ -130,14 +132,16 @@ def score_with_nodes(rows: DataFrame, nodes: DataFrame, codes: dict[str, list[st
     here = nodes.select([F.col(c).alias(f"_{c}") for c in nodes.columns])
     value = F.get("_x", F.col("_feature"))
     goes_left = F.coalesce(F.array_contains("_left_categories", value), value <= F.col("_threshold"))
-    step = rows.select(F.col(key).alias("_key"), F.array(*(code(c) for c in codes)).alias("_x"),
-                       F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"), F.lit(0).alias("node"))
+    coded = rows.select(F.col(key).alias("_key"), F.array(*(code(c) for c in codes)).alias("_x"))
+    step = coded.select("_x").distinct().select(
+        "_x", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"), F.lit(0).alias("node"))
     done = []
     for _ in range(levels + 1):
         met = step.join(here, (F.col("tree") == F.col("_tree")) & (F.col("node") == F.col("_node")))
-        done.append(met.where("_left < 0").select("_key", "_votes"))
-        step = met.where("_left >= 0").select("_key", "_x", "tree", F.when(goes_left, F.col("_left")).otherwise(F.col("_right")).alias("node"))
-    votes = reduce(DataFrame.unionByName, done).select("_key", F.posexplode("_votes").alias("class", "vote"))
-    votes = votes.groupBy("_key", "class").agg(F.sum("vote").alias("vote"))
-    best = votes.groupBy("_key").agg(F.max_by("class", F.struct("vote", -F.col("class"))).alias("prediction"))
-    return best.select(F.col("_key").alias(key), F.col("prediction").cast("double").alias("prediction"))
+        done.append(met.where("_left < 0").select("_x", "_votes"))
+        step = met.where("_left >= 0").select("_x", "tree", F.when(goes_left, F.col("_left")).otherwise(F.col("_right")).alias("node"))
+    votes = reduce(DataFrame.unionByName, done).select("_x", F.posexplode("_votes").alias("class", "vote"))
+    votes = votes.groupBy("_x", "class").agg(F.sum("vote").alias("vote"))
+    best = votes.groupBy("_x").agg(F.max_by("class", F.struct("vote", -F.col("class"))).alias("prediction"))
+    best = best.select(F.col("_x").alias("_best"), F.col("prediction").cast("double").alias("prediction"))
+    return coded.join(best, F.col("_x") == F.col("_best")).select(F.col("_key").alias(key), "prediction")

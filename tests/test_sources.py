@@ -186,3 +186,18 @@ def test_types_that_do_not_fit_are_refused_or_null():
     assert BD.conform(True, T.LongType()) is None and BD.conform(7, T.StringType()) == "7"
     with pytest.raises(ValueError):
         BD.conform(1, T.DateType())
+
+
+def test_rows_of_equal_codes_are_scored_once(spark):
+    """What goes down the trees does not grow with the rows."""
+    from framewise.operators import model as ML
+    nodes = spark.createDataFrame([(0, 0, 0, [0.0], None, 1, 2, [0.5, 0.5]), (0, 1, -1, None, None, -1, -1, [0.9, 0.1]),
+                                   (0, 2, -1, None, None, -1, -1, [0.2, 0.8])],
+                                  "tree int, node int, feature int, left_categories array<double>, threshold double, "
+                                  "left int, right int, votes array<double>")
+    rows = spark.range(50).selectExpr("id AS sequence_id", "CASE WHEN id % 2 = 1 THEN 'x' END AS c")
+    scored = ML.score_with_nodes(rows, nodes, {"c": ["x"]}, (1, 1))
+    assert {(r.sequence_id, r.prediction) for r in scored.collect()} == {(i, 0.0 if i % 2 else 1.0) for i in range(50)}
+    plan = scored._jdf.queryExecution().optimizedPlan().toString().split("Generate ")
+    exploded = [part for part in plan if part.startswith("explode")]
+    assert exploded and all("Aggregate" in part for part in exploded)
