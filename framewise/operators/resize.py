@@ -55,10 +55,16 @@ def _grey(sums: np.ndarray) -> np.ndarray:
     return np.clip((sums + (1 << (BITS - 1))) >> BITS, 0, 255)
 
 
+def _weighed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The product of whole numbers, in doubles, which hold sums of grey values times weights exactly."""
+    return (a.astype(np.float64) @ b.astype(np.float64)).astype(np.int64)
+
+
 def resize_array(img: np.ndarray, height: int, width: int) -> np.ndarray:
     """(h, w, c) uint8 → (height, width, c) uint8."""
-    wide = _grey(np.tensordot(img.astype(np.int64), resample_matrix(img.shape[1], width), axes=(1, 1)))  # (h, c, width)
-    out = _grey(np.tensordot(resample_matrix(img.shape[0], height), wide, axes=(1, 0)))                  # (height, c, width)
+    wide = _grey(_weighed(img.transpose(0, 2, 1), resample_matrix(img.shape[1], width).T))           # (h, c, width)
+    out = _grey(_weighed(resample_matrix(img.shape[0], height), wide.reshape(img.shape[0], -1)))      # (height, c * width)
+    out = out.reshape(height, img.shape[2], width)
     return out.transpose(0, 2, 1).astype(np.uint8)
 
 

@@ -128,3 +128,25 @@ def test_analysis_job_removes_its_intermediate_tables(spark):
     before = listing()
     J.analyse_crash_records(spark, TB.records(spark, SF001), tempfile.mkdtemp(prefix="fw-j1c-"))
     assert listing() == before
+
+
+def test_frame_tables_are_compressed(spark, tmp_path):
+    paths = J.analyse_crash_records(spark, TB.records(spark, SF001), f"{tmp_path}/j")
+    for name in ("frames_json", "frame_level_data"):
+        files = [f for f in os.listdir(paths[name]) if f.startswith("part-")]
+        assert files and all(f.endswith(".gz") for f in files)
+    assert spark.read.json(paths["frames_json"]).count() == 10000
+    assert spark.read.option("header", True).csv(paths["frame_level_data"]).count() == 10000
+
+
+def test_task_that_outlives_an_abort_stages_nothing(tmp_path):
+    from types import SimpleNamespace
+    from framewise.sources.image_objects import ImageObjectWriter
+    writer = ImageObjectWriter(f"{tmp_path}/o", False)
+    def rows():
+        yield SimpleNamespace(key="a/1.bin", content=b"one")
+        writer.abort([])
+        yield SimpleNamespace(key="b/2.bin", content=b"two")
+    with pytest.raises(OSError):
+        writer.write(rows())
+    assert not [p for p in tmp_path.rglob("*") if p.is_file()]
