@@ -9,7 +9,9 @@ No piece joins across a space (checked when the table is loaded), so words are
 encoded one by one, many words a step.  Every occurrence of a word in a document
 has skips of its own.  What the Python worker remembers, while its bounded memory
 lasts, is a tree per word: its segmentation after given skips, and the candidates
-that it merged since, any of which the next occurrence may skip first.
+that it merged since, any of which the next occurrence may skip first.  What is
+met once only (most words of a long tail) goes through one agenda with its own
+skips and is not remembered.
 """
 
 from __future__ import annotations
@@ -32,11 +34,12 @@ from pyspark.sql import types as T
 from framewise.llm.common import mix64
 
 SPACE = "▁"
-_UNITS = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
 #: Keys that both agendas are held against each other under; occurrences take any of ``_SLOTS`` keys.
 VARIANTS = 2
 #: Segmentations (of words after given skips) that are remembered, and the length from which a word is not.
 REMEMBERED, LONG = 600_000, 48
+#: In place of a node: met once, and never met.
+_ONCE, _NEW = -1, -2
 #: A unit that stands for a literal space mark in a text.
 _MARK = ""
 #: Characters of texts whose words are segmented together.
@@ -84,8 +87,67 @@ def _skips(alpha: float, seed: int) -> bytes:
     return (mix64(mix64(slots + np.uint64(1))) < np.uint64(int(alpha * ((1 << 64) - 1)))).astype(np.uint8).tobytes()
 
 
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The indices that slices of an array cover, slice by slice."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+class _Rows:
+    """Rows of unlike length, one after the other in an array that grows."""
+
+    def __init__(self, kind: str) -> None:
+        self.spans = np.zeros((2, 1024), np.int64)  # per row: start and length
+        self.values = np.zeros(4096, kind)
+        self.n = self.filled = 0
+
+    def __len__(self) -> int:
+        return self.n
+
+    def __getitem__(self, n: int) -> bytes:
+        start, size = self.spans[:, n].tolist()
+        return self.values[start:start + size].tobytes()
+
+    def extend(self, values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The numbers of the new rows."""
+        n, end = self.n + len(sizes), self.filled + len(values)
+        while n > self.spans.shape[1]:
+            self.spans = np.concatenate((self.spans, np.zeros_like(self.spans)), 1)
+        while end > len(self.values):
+            self.values = np.concatenate((self.values, np.zeros_like(self.values)))
+        new = np.arange(self.n, n)
+        self.spans[0, new], self.spans[1, new] = self.filled + np.cumsum(sizes) - sizes, sizes
+        self.values[self.filled:end] = values
+        self.n, self.filled = n, end
+        return new
+
+    def cut(self, n: int) -> None:
+        """Keep the first ``n`` rows."""
+        if n < self.n:
+            self.n, self.filled = n, int(self.spans[0, n])
+
+    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values of ``rows`` one after the other, and how many each has."""
+        starts, sizes = self.spans[:, rows]
+        return self.values[_spread(starts, sizes)], sizes
+
+
+@dataclass(frozen=True)
+class _Letters:
+    """Words as code points, one word after the other."""
+
+    codes: np.ndarray
+    starts: np.ndarray
+    sizes: np.ndarray
+
+    @classmethod
+    def of(cls, words: list[str]) -> _Letters:
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        return cls(np.frombuffer("".join(words).encode("utf-32-le"), "<u4"), np.cumsum(sizes) - sizes, sizes)
+
+
 class _Merges:
-    """The merge table as arrays: symbols are numbered, and pairs of them sorted for look-up."""
+    """The merge table as arrays: symbols are numbered, and pairs of them hashed for look-up."""
 
     def __init__(self, table: PieceTable) -> None:
         self.symbol = {p: n for n, p in enumerate(table.merges)}
@@ -96,9 +158,17 @@ class _Merges:
         self.order = np.unique([-score for score, _ in table.merges.values()], return_inverse=True)[1].astype(np.int32)
         pairs = {self.symbol[p[:k]] * (self.pad + 1) + self.symbol[p[k:]]: n for p, n in self.symbol.items()
                  for k in range(1, len(p)) if p[:k] in self.symbol and p[k:] in self.symbol}
-        keys = np.array(list(pairs), np.int64)
-        self.keys = np.sort(keys)
-        self.made = np.array(list(pairs.values()), np.int32)[np.argsort(keys)]
+        keys, made = np.array(list(pairs), np.int64), np.array(list(pairs.values()), np.int32)
+        # Pairs whose slot is taken go to the next table, which hashes them by another factor.
+        self.tables: list[tuple[np.int64, np.uint64, np.ndarray, np.ndarray]] = []
+        while len(keys):
+            factor = mix64(np.array([len(self.tables)], np.uint64)).astype(np.int64)[0] | np.int64(1)
+            shift = np.uint64(64 - max(8, (8 * len(keys)).bit_length()))
+            slots, first = np.unique((keys * factor).view(np.uint64) >> shift, return_index=True)
+            own, into = np.full(1 << (64 - int(shift)), -1, np.int64), np.full(1 << (64 - int(shift)), self.pad, np.int32)
+            own[slots], into[slots] = keys[first], made[first]
+            self.tables.append((factor, shift, own, into))
+            keys, made = np.delete(keys, first), np.delete(made, first)
         chars = [c for c in self.symbol if len(c) == 1]
         self.of_char = np.full(max(map(ord, chars), default=0) + 2, self.pad, np.int32)  # the last one: any higher
         self.of_char[[ord(c) for c in chars]] = [self.symbol[c] for c in chars]
@@ -106,8 +176,11 @@ class _Merges:
     def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The symbols that pairs merge into; ``pad`` where they do not."""
         key = left.astype(np.int64) * (self.pad + 1) + right
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.made[at], np.int32(self.pad))
+        found = np.full(key.shape, self.pad, np.int32)
+        for factor, shift, own, into in self.tables:
+            at = (key * factor).view(np.uint64) >> shift
+            np.copyto(found, into[at], where=own[at] == key)
+        return found
 
 
 class Encoder:
@@ -117,20 +190,38 @@ class Encoder:
         self.skip = np.frombuffer(self.skips, np.uint8).astype(bool)
         self.merges = _Merges(table)
         self.ids = {p: i for p, (_, i) in table.merges.items()}
+        self.byte_ids = np.array(table.byte_ids, "<i4")
+        self.spelt = pa.array(table.spelt, pa.large_binary())
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}              # word -> its node without skips; -1: not remembered
-        self.after: dict[int, int] = {}              # node << 8 | place of the candidate skipped next -> node
-        self.made: list[bytes] = []                  # per node: ids
-        self.spans = np.zeros((2, 1024), np.int64)   # per node: start and number of its candidates in places
-        self.places = np.zeros(4096, np.int32)       # of candidates in the table of skips, but for the key
-        self.filled = 0
+        self.known: dict[str, int] = {}   # word -> its node without skips, or _ONCE
+        self.after: dict[int, int] = {}   # node << 8 | place of the candidate skipped next -> node, or _ONCE
+        self.places = _Rows("<u2")        # per node: its candidates' places in the table of skips, but for the key
+        self.made = _Rows("<i4")          # per node: ids; then what the last call of ``_walk`` did not remember
+
+    @property
+    def spans(self) -> np.ndarray:
+        """Per node: start and number of its candidates in the values of ``places``."""
+        return self.places.spans
+
+    def _make_room(self) -> None:
+        if len(self.places) > REMEMBERED:
+            self._forget()
+        if len(self.known) > REMEMBERED:
+            self.known = {w: n for w, n in self.known.items() if n != _ONCE}
+        if len(self.after) > REMEMBERED:
+            self.after = {x: n for x, n in self.after.items() if n != _ONCE}
 
     def _keys(self, doc: int, n: int) -> np.ndarray:
         """The keys of ``n`` occurrences of words in a document."""
-        start = mix64(np.array([(doc ^ self.seed * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF], np.uint64))
-        return (mix64(start + np.arange(n, dtype=np.uint64)) % np.uint64(_SLOTS)).astype(np.int64)
+        return self._keys_of([doc], np.array([n]))
+
+    def _keys_of(self, docs: list[int], sizes: np.ndarray) -> np.ndarray:
+        """The keys of as many occurrences of words in each document."""
+        starts = mix64(np.array([(doc ^ self.seed * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF for doc in docs], np.uint64))
+        nth = _spread(np.zeros(len(sizes), np.int64), sizes).astype(np.uint64)
+        return (mix64(np.repeat(starts, sizes) + nth) & np.uint64(_SLOTS - 1)).astype(np.int64)
 
     def segment(self, unit: str, key: int) -> list[int]:
         """Piece ids of one unit of any length, with a heap as agenda."""
@@ -174,52 +265,55 @@ class Encoder:
 
     def _short(self, unit: str, key: int) -> list[str]:
         """The same by the steps of ``segment_many``, for a unit whose characters all have pieces."""
-        left, _, _ = self._steps(self.merges.of_char[[[ord(c) for c in unit]]], np.array([len(unit)]), np.array([key]))
+        flat, _ = self._steps(self.merges.of_char[[[ord(c) for c in unit]]], np.array([len(unit)]), np.array([key]))
+        left = flat[flat >= 0]
         names = list(self.merges.symbol)
         return [names[n] for n in left.tolist()]
 
     def segment_many(self, units: list[str], key: int) -> dict[str, bytes]:
         """Unit -> its ids as bytes under ``key``, for units shorter than ``LONG``; the same ids as ``segment``."""
-        return {units[i]: x for at, ids, _, _ in self._agendas(units, [key] * len(units)) for i, x in zip(at, ids)}
+        out: dict[str, bytes] = {}
+        for at, ids, sizes, _, _ in self._agendas(_Letters.of(units), np.arange(len(units)), np.full(len(units), key)):
+            ends = np.cumsum(sizes).tolist()
+            out |= {units[n]: ids[a:b].tobytes() for n, (a, b) in zip(at.tolist(), itertools.pairwise([0, *ends]))}
+        return out
 
-    def _agendas(self, units: list[str], keys: list[int], most: int | None = None) -> Iterator[tuple]:
-        """(indices of units, their ids, numbers of places, places) after at most ``most`` skips each.
+    def _agendas(self, letters: _Letters, words: np.ndarray, keys: np.ndarray, most: int | None = None) -> Iterator[tuple]:
+        """(which of ``words``, their ids, numbers of ids, places, numbers of places) after at most ``most`` skips each.
 
-        The places are those of the candidates that were merged after these skips.
+        ``words`` are numbers of words in ``letters``.  The places (with
+        ``most`` only) are those of the candidates that were merged after these skips.
 
-        Units of about one length go through their agendas together: a step
-        takes each unit's best candidate and merges or skips it.  A character
+        Words of about one length go through their agendas together: a step
+        takes each word's best candidate and merges or skips it.  A character
         without a piece merges with nothing and is spelt in bytes at the end.
         """
-        by_size: dict[int, list[int]] = {}
-        for n, u in enumerate(units):
-            by_size.setdefault((len(u) + 3) // 4 * 4, []).append(n)
-        for width, at in by_size.items():
-            some = [units[n] for n in at]
-            codes = np.frombuffer("".join([u.ljust(width, "\0") for u in some]).encode("utf-32-le"), "<u4").reshape(-1, width)
-            symbols = self.merges.of_char[np.minimum(codes, len(self.merges.of_char) - 1)]
-            sizes = np.array([len(u) for u in some])
-            inside = np.arange(width) < sizes[:, None]
-            spelt = ((symbols == self.merges.pad) & inside).any(1).tolist()
-            symbols[~inside] = self.merges.pad
-            left, counts, (row, place) = self._steps(symbols, sizes, np.array(keys, np.int64)[at], most)
-            raw = self.merges.piece[np.minimum(left, self.merges.pad - 1)].tobytes()
-            ends = np.cumsum(counts)
-            ids = [raw[4 * a:4 * b] for a, b in itertools.pairwise([0, *ends.tolist()])]
-            for r in itertools.compress(range(len(at)), spelt):
-                ids[r] = self._spell(some[r], left[ends[r] - counts[r]:ends[r]])
-            yield at, ids, np.bincount(row, minlength=len(at)), place
-
-    def _spell(self, unit: str, symbols: np.ndarray) -> bytes:
-        """Ids of ``symbols``, in which a pad stands for each character without a piece."""
-        without = iter([c for c in unit if c not in self.merges.symbol])
-        out: list[int] = []
-        for s in symbols.tolist():
-            out.extend([int(self.merges.piece[s])] if s < self.merges.pad else [self.table.byte_ids[b] for b in next(without).encode()])
-        return np.array(out, "<i4").tobytes()
+        m = self.merges
+        widths = (letters.sizes[words] + 3) // 4
+        by_width = np.argsort(widths, kind="stable")
+        for at in np.split(by_width, np.flatnonzero(np.diff(widths[by_width])) + 1):
+            if not len(at):
+                continue
+            some, width = words[at], 4 * int(widths[at[0]])
+            place = np.minimum(letters.starts[some][:, None] + np.arange(width), len(letters.codes) - 1)
+            sizes = letters.sizes[some]
+            symbols = m.of_char[np.minimum(letters.codes[place], len(m.of_char) - 1)]
+            symbols[np.arange(width) >= sizes[:, None]] = m.pad
+            flat, (row, merged) = self._steps(symbols, sizes, keys[at], most)
+            kept = np.flatnonzero(flat >= 0)
+            left, of = flat[kept], kept // width
+            ids, bare = m.piece[np.minimum(left, m.pad - 1)], left == m.pad
+            if bare.any():
+                chars = letters.codes[place.ravel()[kept[bare]]]
+                n = np.ones(len(left), np.int64)
+                n[bare] += (chars >= 0x80).astype(np.int64) + (chars >= 0x800) + (chars >= 0x10000)
+                raw = chars.astype("<u4").tobytes().decode("utf-32-le").encode()
+                ids, of = np.repeat(ids, n), np.repeat(of, n)
+                ids[np.repeat(bare, n)] = self.byte_ids[np.frombuffer(raw, np.uint8)]
+            yield at, ids, np.bincount(of, minlength=len(at)), merged, np.bincount(row, minlength=len(at))
 
     def _steps(self, symbols: np.ndarray, sizes: np.ndarray, keys: np.ndarray, most: int | None = None):
-        """The agendas of all rows: symbols left over, their number per row, and (row, place) of what was merged.
+        """The agendas of all rows: symbols left over (others: -1), and (row, place) of what was merged.
 
         With ``most``, a row skips no more after as many skips, and only merges after these are told.
         """
@@ -248,7 +342,7 @@ class Encoder:
             go = slice(None)
             if len(self.skip):
                 place = at * _LEFT + right * _RIGHT + m.size[both] * _SIZE
-                skip = self.skip[(keys[row] + place) % _SLOTS]
+                skip = self.skip[(keys[row] + place) & (_SLOTS - 1)]
                 if most is not None:
                     free = spent[row] == 0
                     told.append((row[free], place[free]))
@@ -273,95 +367,134 @@ class Encoder:
             flat_rank[i] = order[found]
         rows, places = map(np.concatenate, zip(*told)) if told else (np.zeros(0, int), np.zeros(0, int))
         by_row = np.argsort(rows, kind="stable")  # in the order of its steps
-        kept = flat >= 0
-        return flat[kept], kept.reshape(symbols.shape).sum(1), (rows[by_row], places[by_row] % _SLOTS)
-
-    def _units(self, text: str) -> list[str]:
-        """The units of ``text``; a literal space mark, which must not come back as a space, is a unit of its own."""
-        out: list[str] = []
-        for i, part in enumerate(text.split(SPACE)):
-            if i:
-                out.append(_MARK)
-            marked = (SPACE if i == 0 else "") + part.replace(" ", SPACE)
-            out.extend(_UNITS.findall(marked) if self.table.by_words else [marked] if marked else [])
-        return out
+        return flat, (rows[by_row], (places[by_row] & (_SLOTS - 1)).astype("<u2"))
 
-    def _add(self, units: list[str], keys: list[int], most: int) -> list[int]:
-        """New nodes: ``units`` after their first ``most`` skips under ``keys``."""
-        nodes = [0] * len(units)
-        for at, ids, sizes, places in self._agendas(units, keys, most):
-            node, end = len(self.made), self.filled + len(places)
-            while node + len(at) > self.spans.shape[1]:
-                self.spans = np.concatenate((self.spans, np.zeros_like(self.spans)), 1)
-            while end > len(self.places):
-                self.places = np.concatenate((self.places, np.zeros_like(self.places)))
-            self.made.extend(ids)
-            self.spans[0, node:node + len(at)] = self.filled + np.cumsum(sizes) - sizes
-            self.spans[1, node:node + len(at)] = sizes
-            self.places[self.filled:end] = places
-            self.filled = end
-            for n, i in enumerate(at, node):
-                nodes[i] = n
+    def _words(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The distinct units of ``texts``, the number of each occurrence's unit, and of the occurrences in each text.
+
+        A unit ends before a run of spaces and around a line end.  A literal space
+        mark, which must not come back as a space, is a unit of its own.
+        """
+        parts = [b" " + t.encode() if t else b"" for t in texts]
+        raw = b"".join(parts)
+        held = np.frombuffer(raw, np.uint8)
+        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+        begins = np.zeros(len(held) + 1, bool)
+        begins[0], begins[ends] = True, True
+        if self.table.by_words:
+            line = held == 0x0A
+            begins[:-1] |= line
+            begins[1:] |= line
+            space = held == 0x20
+            begins[1:-1] |= space[1:] & ~space[:-1]
+        if (mark := SPACE.encode()) in raw:
+            at = np.array([m.start() for m in re.finditer(mark, raw)])
+            begins[at], begins[at + len(mark)] = True, True
+        bounds = np.flatnonzero(begins)
+        if len(bounds) < 2:
+            return [], np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
+        units = pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(raw)).dictionary_encode()
+        words = pc.replace_substring(units.dictionary, " ", SPACE).to_numpy(zero_copy_only=False).tolist()
+        if (at := pc.index(units.dictionary, SPACE).as_py()) >= 0:
+            words[at] = _MARK
+        return words, units.indices.to_numpy().astype(np.int64), np.diff(np.searchsorted(bounds, ends), prepend=0)
+
+    def _add(self, letters: _Letters, words: np.ndarray, keys: np.ndarray, most: int | None) -> np.ndarray:
+        """New nodes: ``words`` after their first ``most`` skips under ``keys``; with None, all skips, and not remembered."""
+        nodes = np.zeros(len(words), np.int64)
+        for at, ids, sizes, places, n_places in self._agendas(letters, words, keys, most):
+            nodes[at] = self.made.extend(ids, sizes)
+            if most is not None:
+                self.places.extend(places, n_places)
         return nodes
 
     def _nodes(self, units: list[str], keys: np.ndarray) -> np.ndarray:
-        """The node of each occurrence; -1 for what is not remembered (the mark and long units).
+        """The node of each occurrence: the number of its ids in ``made``, until the next call."""
+        number = {w: n for n, w in enumerate(dict.fromkeys(units))}
+        return self._walk(list(number), np.fromiter(map(number.__getitem__, units), np.int64, len(units)), keys)
+
+    def _walk(self, words: list[str], which: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """The node of each occurrence ``which`` of ``words``, as ``_nodes``.
 
         An occurrence starts at its word's node and goes down by the first
-        candidate that its key skips, until it skips none.
+        candidate that its key skips, until it skips none.  A node that only one
+        occurrence has wanted so far is not made: the occurrence goes alone.
         """
-        new = list(set(units).difference(self.known))
-        short = [u for u in new if 0 < len(u) < LONG]
-        self.known.update(dict.fromkeys(new, -1))
-        self.known.update(zip(short, self._add(short, [0] * len(short), 0)))
-        nodes = np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
+        self.made.cut(len(self.places))
+        letters = _Letters.of(words)
+        held = np.fromiter(map(self.known.get, words, itertools.repeat(_NEW)), np.int64, len(words))
+        usual = (letters.sizes > 0) & (letters.sizes < LONG)
+        again = (held == _ONCE) | (np.bincount(which, minlength=len(words)) > 1)
+        first = np.flatnonzero(usual & (held == _NEW) & ~again)
+        self.known.update((words[n], _ONCE) for n in first.tolist())
+        roots = np.flatnonzero(usual & (held < 0) & again)
+        held[roots] = self._add(letters, roots, np.zeros(len(roots), np.int64), 0)
+        self.known.update((words[n], node) for n, node in zip(roots.tolist(), held[roots].tolist()))
+        nodes = held[which]
+        alone = [np.flatnonzero((nodes < 0) & usual[which])]
         open_ = np.flatnonzero(nodes >= 0) if len(self.skip) else np.zeros(0, int)
+        short = keys.astype(np.uint16)  # sums of these are modulo _SLOTS
         for depth in range(1, 4 * LONG):
             at = nodes[open_]
             starts, sizes = self.spans[:, at]
+            skipped = np.flatnonzero(self.skip[np.repeat(short[open_], sizes) + self.places.values[_spread(starts, sizes)]])
             ends = np.cumsum(sizes)
-            which = np.repeat(np.arange(len(open_)), sizes)
-            place = np.arange(len(which)) - np.repeat(ends - sizes, sizes)
-            skipped = np.flatnonzero(self.skip[(np.repeat(keys[open_], sizes) + self.places[np.repeat(starts, sizes) + place]) % _SLOTS])
-            skipped = skipped[np.diff(which[skipped], prepend=-1) > 0]  # the first of each occurrence
-            if not len(skipped):
+            of = np.searchsorted(ends, skipped, "right")
+            here = np.diff(of, prepend=-1) > 0  # the first of each occurrence
+            skipped, of = skipped[here], of[here]
+            if not len(of):
                 break
-            open_ = open_[which[skipped]]
-            steps, first, back = np.unique(at[which[skipped]] << 8 | place[skipped], return_index=True, return_inverse=True)
-            found = [self.after.get(x, -1) for x in steps.tolist()]
-            lack = [n for n, x in enumerate(found) if x < 0]
-            some = open_[first[lack]].tolist()
-            for n, node in zip(lack, self._add([units[i] for i in some], keys[some].tolist(), depth)):
-                found[n] = self.after[int(steps[n])] = node
-            nodes[open_] = np.array(found, np.int64)[back]
+            open_ = open_[of]
+            steps, some, back, times = np.unique(at[of] << 8 | skipped - ends[of] + sizes[of], return_index=True, return_inverse=True, return_counts=True)
+            found = np.fromiter(map(self.after.get, steps.tolist(), itertools.repeat(_NEW)), np.int64, len(steps))
+            once = (found == _NEW) & (times == 1)
+            self.after.update(dict.fromkeys(steps[once].tolist(), _ONCE))
+            lack = np.flatnonzero((found < 0) & ~once)
+            ones = open_[some[lack]]
+            found[lack] = self._add(letters, which[ones], keys[ones], depth)
+            self.after.update(zip(steps[lack].tolist(), found[lack].tolist()))
+            nodes[open_] = found[back]
+            alone.append(open_[found[back] < 0])
+            open_ = open_[found[back] >= 0]
+        ones = np.concatenate(alone)
+        nodes[ones] = self._add(letters, which[ones], keys[ones], None)
+        for n in np.flatnonzero(~usual[which]).tolist():
+            ids = self._rare(words[which[n]], int(keys[n]))
+            nodes[n] = self.made.extend(ids, np.array([len(ids)]))[0]
         return nodes
 
-    def _rare(self, unit: str, key: int) -> bytes:
-        ids = [self.table.byte_ids[b] for b in SPACE.encode()] if unit == _MARK else self.segment(unit, key)
-        return np.array(ids, "<i4").tobytes()
+    def _rare(self, unit: str, key: int) -> np.ndarray:
+        return self.byte_ids[list(SPACE.encode())] if unit == _MARK else np.array(self.segment(unit, key), "<i4")
 
-    def encode_many(self, texts: list[str | None], keys: list[int]) -> list[np.ndarray | None]:
-        """Ids per text; a text's key and a word's place in it choose the skips.  None gives None, the empty text no ids."""
-        out: list[np.ndarray | None] = []
-        at = 0
+    def encode_rows(self, texts: list[str | None], keys: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and how many each has; a text's key and a word's place in it choose the skips."""
+        out, sizes, at = [np.zeros(0, "<i4")], [np.zeros(0, np.int64)], 0
         while at < len(texts):
-            units, ends, held, first = [], [], 0, at
+            held, first = 0, at
             while at < len(texts) and held < TOGETHER:
-                units.extend(self._units(texts[at]) if texts[at] else [])
-                ends.append(len(units))
                 held += len(texts[at] or "")
                 at += 1
-            starts = [0, *ends[:-1]]
-            own = np.concatenate([self._keys(k, b - a) for k, a, b in zip(keys[first:at], starts, ends)])
-            if len(self.made) > REMEMBERED or len(self.known) > REMEMBERED:
-                self._forget()
-            nodes = self._nodes(units, own)
-            ids = [self.made[n] if n >= 0 else b"" for n in nodes.tolist()]
-            for n in np.flatnonzero(nodes < 0).tolist():
-                ids[n] = self._rare(units[n], int(own[n]))
-            out.extend(None if text is None else np.frombuffer(b"".join(ids[a:b]), "<i4")
-                       for text, a, b in zip(texts[first:at], starts, ends))
-        return out
+            words, which, n_units = self._words(texts[first:at])
+            self._make_room()
+            nodes = self._walk(words, which, self._keys_of(keys[first:at], n_units))
+            ids, n_ids = self.made.take(nodes)
+            sums = np.concatenate(([0], np.cumsum(n_ids)))[np.concatenate(([0], np.cumsum(n_units)))]
+            out.append(ids)
+            sizes.append(np.diff(sums))
+        return np.concatenate(out), np.concatenate(sizes)
+
+    def encode_many(self, texts: list[str | None], keys: list[int]) -> list[np.ndarray | None]:
+        """Ids per text, as ``encode_rows``.  None gives None, the empty text no ids."""
+        ids, sizes = self.encode_rows(texts, keys)
+        ends = itertools.pairwise([0, *np.cumsum(sizes).tolist()])
+        return [None if text is None else ids[a:b] for text, (a, b) in zip(texts, ends)]
+
+    def decode_rows(self, ids: np.ndarray, ends: np.ndarray) -> pa.LargeBinaryArray:
+        """The bytes of the pieces of each row, whose ids end before ``ends`` (begin with 0)."""
+        spelt = self.spelt.take(pa.array(ids))
+        _, offsets, raw = spelt.buffers()
+        bounds = np.frombuffer(offsets, np.int64, len(ids) + 1)[ends]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(bounds), raw])
 
     def encode(self, text: str, key: int = 0) -> list[int]:
         """Ids of one text."""
@@ -432,12 +565,15 @@ def tokenized(docs: DataFrame, table: PieceTable, **kw) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = _encoder(held.value, alpha, seed)
         for part in _bounded(batches, "text"):
-            texts = part["text"].to_pylist()
-            ids = e.encode_many(texts, part["_k"].to_pylist())
-            same = [t is None or decode_ids(held.value, i.tolist()) == t for i, t in zip(ids, texts)]
+            text = part["text"]
+            ids, sizes = e.encode_rows(text.to_pylist(), part["_k"].to_pylist())
+            ends = np.concatenate(([0], np.cumsum(sizes)))
+            marked = pc.if_else(pc.equal(text, ""), "", pc.binary_join_element_wise(" ", text, ""))
+            same = pc.fill_null(pc.equal(e.decode_rows(ids, ends), marked.cast(pa.large_binary())), True)
             yield pa.RecordBatch.from_arrays(
-                [part["doc_id"], pa.array([0 if i is None else len(i) for i in ids], pa.int64()),
-                 pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())],
+                [part["doc_id"], pa.array(sizes, pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()), mask=text.is_null()),
+                 same],
                 ["doc_id", "n_tokens", "token_ids", "lossless"])
 
     schema = T.StructType([docs.select("doc_id").schema[0], T.StructField("n_tokens", T.LongType()),

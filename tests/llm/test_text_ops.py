@@ -292,6 +292,47 @@ def test_pieces_remember_within_bounds(table, monkeypatch):
     assert whole[-2] is None and whole[-1].tolist() == []
 
 
+def test_pieces_met_once_take_one_agenda(table, monkeypatch):
+    units = list(dict.fromkeys(prose(k, 3).replace(" ", "") for k in range(900)))
+    text, rows = " ".join(units), []
+    steps = pieces.Encoder._steps
+    monkeypatch.setattr(pieces.Encoder, "_steps", lambda e, symbols, *a: rows.append(len(symbols)) or steps(e, symbols, *a))
+    e = pieces.Encoder(table, 0.3, 1)
+    got = e.encode(text, 4)
+    assert sum(rows) == sum(len(u) + 1 < pieces.LONG for u in units)  # one each, with skips or without
+    keys = e._keys(4, len(units))
+    assert got == [i for u, k in zip(units, keys) for i in e.segment(pieces.SPACE + u, int(k))]
+    # What comes again is remembered, and the same.
+    for _ in range(60):  # two for each skip of an occurrence
+        assert e.encode(text, 4) == got
+    rows.clear()
+    assert e.encode(text, 4) == got and not rows
+
+
+def test_pieces_of_any_units(table):
+    import dataclasses
+    import re
+    texts = ["", " ", "\n", "a", "\na", "a\n\n b ", "  a   b", "▁", "▁▁a", "a ▁b▁ \n▁", "日本 😀x\tñ\r\n ☃", "x" * 60 + " y", "\0 a", None]
+    texts += [prose(3, 200) + "\n" + "  é☃ ▁ x\n" * 3, " ".join("☃" * k for k in range(60))]
+    for by_words in (True, False):
+        e = pieces.Encoder(dataclasses.replace(table, by_words=by_words), 0.2, 5)
+        found = re.compile("▁+[^▁\n]*|[^▁\n]+|\n" if by_words else "(?s:.+)").findall
+        for key, (text, got) in enumerate(zip(texts, e.encode_many(texts, list(range(len(texts)))))):
+            if text is None:
+                assert got is None
+                continue
+            units = []
+            for n, part in enumerate(text.split("▁") if text else []):
+                units += ([None] if n else []) + found(("" if n else "▁") + part.replace(" ", "▁"))
+            keys = e._keys(key, len(units))
+            assert got.tolist() == [i for u, k in zip(units, keys)
+                                    for i in ([table.byte_ids[b] for b in "▁".encode()] if u is None else e.segment(u, int(k)))]
+            assert e.encode(text, key) == got.tolist() and pieces.decode_ids(table, got) == text
+    ids, sizes = e.encode_rows(texts, list(range(len(texts))))
+    raw = e.decode_rows(ids, np.concatenate(([0], np.cumsum(sizes)))).to_pylist()
+    assert raw == [b" " + t.encode() if t else b"" for t in texts]
+
+
 def test_pieces_operator_edges(spark, table):
     rows = pieces.tokenized(documents(spark, EDGE), table).collect()
     assert len(rows) == len(EDGE) and all(r.lossless for r in rows)
