@@ -122,3 +122,50 @@ def test_ingest_fills_its_files(spark, tmp_path):
         ingest_images(spark, f"{tmp_path}/a", table, skip_existing=True, images_per_file=36)
         rows = scan_image_table(spark, table).select("filename").collect()
         assert len(rows) == 73 == len({r.filename for r in rows})
+
+
+def test_ingest_takes_a_folder_in_pieces(spark, tmp_path, monkeypatch):
+    """No read takes more files than a piece holds, neighbours come together, and every file comes once."""
+    for folder in ("a", "b"):
+        (tmp_path / folder).mkdir()
+        for j in range(1, 8):
+            _write(tmp_path / folder, f"C_000001_{j:02d}.{'jpg' if j % 3 else 'png'}", np.full((3, 3, 3), j, np.uint8))
+    for name in ("_part.png", ".hidden.png", "x._COPYING_"):
+        (tmp_path / "a" / name).write_bytes(b"no image")
+    pieces, only = [], SI._only
+    monkeypatch.setattr(SI, "PIECE", 4)
+    monkeypatch.setattr(SI, "_only", lambda paths: pieces.append([p.rsplit("/", 2)[1:] for p in paths]) or only(paths))
+    before, table, src = spark.conf.get("spark.sql.files.openCostInBytes"), f"{tmp_path}/t", f"{tmp_path}/[ab]"
+    SI.ingest_images(spark, src, table, "*.png", skip_existing=True, images_per_file=2)
+    for _ in range(2):
+        SI.ingest_images(spark, src, table, skip_existing=True, images_per_file=2)
+    taken = [p for p in pieces if p[0] not in (["t", "a"], ["t", "b"]) and "." in p[0][1]]
+    assert max(map(len, taken)) == 4 and len(taken) == 2 * (1 + 3)
+    assert all(p == sorted(p) for p in taken)
+    for part in ("pixels", "documents"):
+        rows = spark.read.parquet(f"{table}/{part}")
+        assert rows.count() == rows.select("path").distinct().count() == 14
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+
+
+def test_listing_leaves_folders_of_folders_to_the_readers(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    assert SI._listing(spark, f"{tmp_path}", "*") is None
+    _write(tmp_path, "b.png", np.zeros((2, 2, 3), np.uint8))
+    _write(tmp_path, "a b.png", np.zeros((2, 2, 3), np.uint8))
+    assert [p.rsplit("/", 1)[1] for p in SI._listing(spark, f"{tmp_path}", "*.png")] == ["a b.png", "b.png"]
+    (tmp_path / "day=1").mkdir()
+    _write(tmp_path / "day=1", "c.png", np.zeros((2, 2, 3), np.uint8))
+    assert SI._listing(spark, f"{tmp_path}", "*") is None
+    SI.ingest_images(spark, f"{tmp_path}", f"{tmp_path}/../{tmp_path.name}-t")
+    assert spark.read.parquet(f"{tmp_path}/../{tmp_path.name}-t/documents").count() == SI.list_images(spark, f"{tmp_path}").count()
+
+
+def test_a_task_takes_many_small_files(spark, tmp_path):
+    """A small file costs a scan little, so a folder is read by a task for some thousand small files, not for each few."""
+    for j in range(120):
+        _write(tmp_path, f"C_000001_{j:03d}.png", np.zeros((2, 2, 3), np.uint8))
+    cores = spark.sparkContext.defaultParallelism
+    with SI.session_settings(spark, {"spark.sql.files.maxPartitionBytes": "4m"}):
+        SI.ingest_images(spark, str(tmp_path), f"{tmp_path}-t")
+    assert len(spark.read.parquet(f"{tmp_path}-t/documents").inputFiles()) <= 2 * cores
